@@ -55,6 +55,17 @@ def extract(document: Column, path: str) -> Column:
     return found
 
 
+def variant_path(path: str) -> str:
+    """The path of a dotted ``path`` in the form VARIANT functions take.
+
+    Quotes, question marks and backslashes in keys cannot be written that way.
+    """
+    keys = path.split(".")
+    if not all(_PLAIN_KEY.fullmatch(key) for key in keys):
+        raise ValueError(f"unsupported key in path {path!r}")
+    return "$" + "".join(f"['{key}']" for key in keys)
+
+
 def extract_member(members: Column, path: str) -> Column:
     """Like ``extract``, starting from the members of an object."""
     first, _, rest = path.partition(".")

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.envelope import ENVELOPE, ORDER
+from millrace.functions import json_text as J
 from millrace.operators.slices import (
     HIGHEST,
     LOWEST,
@@ -46,11 +47,17 @@ def batch(df: DataFrame, max_size: int, interval_ms: int, max_rows: int = MAX_RO
     A batch has the first event's source, the first one's type plus ``_batch``,
     the last one's topic and the payloads in order. Its time is that of the
     event that filled it, else of the tick that closed it, else, at the end of
-    the input, of its last event.
+    the input, of its last event. Payloads that are not JSON cannot go into an
+    array: their events stay as they are.
     """
     if interval_ms <= 0 or max_size <= 0:
         raise ValueError("batch size and interval must be positive")
-    return into_batches(df, F.lit(max_size), F.lit(interval_ms), plan_slices(df, max_rows))
+    plan = plan_slices(df, max_rows)
+    whole = F.col("payload").isNull() | F.col("_doc").isNotNull()
+    checked = J.with_document(df).withColumn("_whole", whole).drop("_doc")
+    return into_batches(
+        checked, F.lit(max_size), F.lit(interval_ms), plan, subject=F.col("_whole")
+    )
 
 
 def into_batches(
