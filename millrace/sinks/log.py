@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.slices import bounded_join
+from millrace.session import checkpointed
+
 # How long a log keeps events unless told otherwise.
 DEFAULT_MAX_AGE_MS = 72 * 3_600_000
 
@@ -67,39 +70,32 @@ def keep_newest(
     sized = messages.withColumns(
         {"_bytes": size.cast("long"), "_hour": F.floor(F.col("timestamp") / HOUR_MS)}
     )
-    hours = _edge(sized.groupBy(log, "_hour").agg(F.sum("_bytes").alias("_sum")), [log], "_hour", max_bytes)
-    edge_hour = hours.select(log, F.col("_hour").alias("_edge_hour"), "_newer")
-    by_hour = sized.join(edge_hour, log, "left")
-    in_edge = by_hour.filter("_hour = _edge_hour")
-    instants = _edge(
-        in_edge.groupBy(log, "_newer", "timestamp").agg(F.sum("_bytes").alias("_sum")),
-        [log],
-        "timestamp",
-        max_bytes,
-        F.col("_newer"),
-    ).select(log, F.col("timestamp").alias("_edge_time"), F.col("_newer").alias("_left"))
+    # Both tables of edges hold one row per log at most.
+    hours = sized.groupBy(log, "_hour").agg(F.sum("_bytes").alias("_sum"), F.lit(0).alias("_newer"))
+    hours = checkpointed(_edge(hours, log, "_hour", max_bytes))
+    in_hour = bounded_join(sized, hours, [log, "_hour"], hours.count(), "inner")
+    times = in_hour.groupBy(log, "timestamp", "_newer").agg(F.sum("_bytes").alias("_sum"))
+    times = checkpointed(_edge(times, log, "timestamp", max_bytes).withColumnRenamed("timestamp", "_edge"))
+    rows = bounded_join(sized, times, [log], times.count())
     newest = Window.partitionBy(log).orderBy(F.desc("seq"), F.desc("stream_id"))
     last = (
-        in_edge.join(instants, log)
-        .filter("timestamp = _edge_time")
-        .withColumn("_upto", F.col("_left") + F.sum("_bytes").over(newest))
+        rows.filter("timestamp = _edge")
+        .withColumn("_upto", F.col("_newer") + F.sum("_bytes").over(newest))
         .filter(F.col("_upto") <= max_bytes)
     )
-    whole = by_hour.join(instants, log, "left").filter(
-        "_edge_hour is null or timestamp > coalesce(_edge_time, -9223372036854775808)"
-    )
     names = messages.columns
+    whole = rows.filter("_edge is null or timestamp > _edge")
     return whole.select(names).unionByName(last.select(names))
 
 
-def _edge(sums: DataFrame, keys: list[str], time: str, limit: int, start: Column | None = None) -> DataFrame:
-    """Per key, the newest ``time`` whose sum goes over the limit, with the bytes newer than it."""
-    newer = Window.partitionBy(*keys).orderBy(F.desc(time)).rowsBetween(Window.unboundedPreceding, -1)
-    ahead = F.coalesce(F.sum("_sum").over(newer), F.lit(0)) + (F.lit(0) if start is None else start)
+def _edge(sums: DataFrame, log: str, time: str, limit: int) -> DataFrame:
+    """Per log, the newest ``time`` whose sum goes over the limit, with the bytes newer than it."""
+    newer = Window.partitionBy(log).orderBy(F.desc(time)).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.coalesce(F.sum("_sum").over(newer), F.lit(0)) + F.col("_newer")
     return (
         sums.withColumn("_ahead", ahead)
         .filter((F.col("_ahead") <= limit) & (F.col("_ahead") + F.col("_sum") > limit))
-        .select(*keys, time, F.col("_ahead").alias("_newer"))
+        .select(log, time, F.col("_ahead").alias("_newer"))
     )
 
 
