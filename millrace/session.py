@@ -15,14 +15,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from the copy.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, named by ``spark.checkpoint.dir``.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``. A
-    temporary one is made only where the setting is missing and Spark runs on
+    A temporary one is made only where the setting is missing and Spark runs on
     this machine alone; anywhere else a missing setting is an error.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -31,4 +29,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="millrace-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and continue from the copy."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
