@@ -23,16 +23,20 @@ SPECIAL_TEXT = r"(?i)\A([+-]?inf|[+-]?infinity|nan)\z"
 
 
 def with_document(df: DataFrame, text: str = "payload", document: str = "_doc") -> DataFrame:
-    """Add the parsed VARIANT of ``text``; NULL where the text is not one JSON value."""
+    """Add the parsed VARIANT of ``text``; NULL where the text is not one JSON value.
+
+    The column comes out of a generator. A filter on it, or on what is derived
+    from it, is therefore not pushed below, where it would parse all over again.
+    """
     echo = F.xxhash64(F.col(text))
     pair = F.try_parse_json(
         F.concat(F.lit("["), F.col(text), F.lit(","), echo.cast("string"), F.lit("]"))
     ).try_cast("array<variant>")
     whole = (F.size("_pair") == 2) & (F.try_variant_get(F.get("_pair", F.lit(1)), "$", "bigint") == echo)
+    found = F.when(whole, F.get("_pair", F.lit(0)))
     return (
         df.withColumn("_pair", pair)
-        .withColumn(document, F.when(whole, F.get("_pair", F.lit(0))))
-        .drop("_pair")
+        .select(*df.columns, F.explode(F.array(found)).alias(document))
     )
 
 

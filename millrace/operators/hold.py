@@ -53,8 +53,7 @@ def hold(df: DataFrame, keys: list[str], plan: SlicePlan | None, mark: str | Non
 
 def _entries(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row per slice of a cut stream, holding the value the slice is entered with."""
-    slim = sliced_only(rows).filter(F.col("_value").isNotNull())
-    slim = slim.select(*keys, "_slice", *ORDER, "_value", "_delta")
+    slim = sliced_only(rows).select(*keys, "_slice", *ORDER, "_value", "_delta")
     key_fields = [T.StructField(f.name, f.dataType) for f in slim.select(*keys, "_slice").schema]
     classes = T.StructType(
         [
@@ -195,7 +194,8 @@ def _describer(group: list[str]):
                     if state is not None:
                         finish(owners[row - 1] if row else before, state)
                     state = _Slice(delta)
-                state.take(value)
+                if value is not None:
+                    state.take(value)
             if len(done) >= 10_000:
                 yield flush()
         if state is not None:

@@ -122,7 +122,8 @@ def batches_sql(size: int, interval: int, source: str = "e", keys: str = "stream
              arg_max(m.topic, m.rn) as topic, any_value(f.seq) as seq, count(*) as events,
              '[' || string_agg(m.payload, ',' order by m.rn) || ']' as payload,
              case when count(*) = {size} or max(m.rn) = any_value(l.last_rn) then max(m.timestamp)
-                  else any_value({due}) end as timestamp
+                  else any_value({due}) end as timestamp,
+             any_value({due}) as due, max(m.rn) = any_value(l.last_rn) as is_last
       from opened b
       join lasts l on {same("l", "b")}
       join {source} f on {same("f", "b")} and f.rn = b.first_rn
