@@ -9,6 +9,7 @@ in its place. One parse gives both the verdict and the value.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,10 @@ from pyspark.sql import functions as F
 _PLAIN_KEY = re.compile(r"[^'\"?\\]+")
 FIELDS = "map<string,variant>"
 
+# How JSON texts begin.
+ANY_START = r"\A[ \t\r\n]*[\[{\"0-9tfn-]"
+OBJECT_START = r"\A[ \t\r\n]*\{"
+
 # The number spellings a numeric string may have.
 DECIMAL_TEXT = r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 SPECIAL_TEXT = r"(?i)\A([+-]?inf|[+-]?infinity|nan)\z"
@@ -29,9 +34,9 @@ def with_document(df: DataFrame, text: str = "payload", document: str = "_doc")
     from it, is therefore not pushed below, where it would parse all over again.
     """
     echo = F.xxhash64(F.col(text))
-    pair = F.try_parse_json(
-        F.concat(F.lit("["), F.col(text), F.lit(","), echo.cast("string"), F.lit("]"))
-    ).try_cast("array<variant>")
+    wrapped = F.concat(F.lit("["), F.col(text), F.lit(","), echo.cast("string"), F.lit("]"))
+    # Plain text is told by its first character, without the cost of a failed parse.
+    pair = F.when(F.col(text).rlike(ANY_START), F.try_parse_json(wrapped).try_cast("array<variant>"))
     whole = (F.size("_pair") == 2) & (F.try_variant_get(F.get("_pair", F.lit(1)), "$", "bigint") == echo)
     found = F.when(whole, F.get("_pair", F.lit(0)))
     return (
@@ -45,17 +50,22 @@ def fields(document: Column) -> Column:
     return document.try_cast(FIELDS)
 
 
+def is_object(document: Column, text: str = "payload") -> Column:
+    """Whether ``document``, parsed from ``text``, is an object."""
+    return document.isNotNull() & F.col(text).rlike(OBJECT_START)
+
+
 def extract(document: Column, path: str) -> Column:
     """The value at a dotted ``path``: NULL when missing, VARIANT null when null.
 
     Only objects are traversed, and a key never contains a dot.
     """
+    keys = path.split(".")
+    if all(_PLAIN_KEY.fullmatch(key) for key in keys):
+        return F.try_variant_get(document, variant_path(path), "variant")
     found = document
-    for key in path.split("."):
-        if _PLAIN_KEY.fullmatch(key):
-            found = F.try_variant_get(found, f"$['{key}']", "variant")
-        else:
-            found = F.try_element_at(fields(found), F.lit(key))
+    for key in keys:
+        found = F.try_element_at(fields(found), F.lit(key))
     return found
 
 
@@ -70,21 +80,36 @@ def variant_path(path: str) -> str:
     return "$" + "".join(f"['{key}']" for key in keys)
 
 
+def flat_object(document: Column, mapping: dict[str, str], tags: dict[str, str]) -> Column:
+    """Text of the object with the values ``mapping`` (new key to path) finds, and ``tags``.
+
+    Keys are sorted; a key whose path finds nothing is left out.
+    """
+    values = {name: F.to_json(extract(document, path)) for name, path in mapping.items()}
+    values |= {name: F.lit(_quoted(value)) for name, value in tags.items()}
+    members = [F.concat(F.lit(f"{_quoted(name)}:"), values[name]) for name in sorted(values)]
+    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+
+
+def _quoted(text: str) -> str:
+    return json.dumps(text, ensure_ascii=False)
+
+
+def extract_mapped(document: Column, mapping: dict[str, str], tags: dict[str, str], path: str) -> Column:
+    """The value at ``path`` in what ``flat_object`` builds, straight from the document."""
+    first, dot, rest = path.partition(".")
+    if first in tags:
+        return F.lit(None).cast("variant") if dot else F.lit(tags[first]).cast("variant")
+    if first in mapping:
+        return extract(document, mapping[first] + dot + rest)
+    return F.lit(None).cast("variant")
+
+
 def extract_member(members: Column, path: str) -> Column:
     """Like ``extract``, starting from the members of an object."""
-    first, _, rest = path.partition(".")
+    first, dot, rest = path.partition(".")
     found = F.try_element_at(members, F.lit(first))
-    return extract(found, rest) if "." in path else found
-
-
-def flatten(document: Column, mapping: dict[str, str]) -> Column:
-    """Members of the flat object that ``mapping`` (new key to path) describes."""
-    pairs = [
-        part
-        for name, path in sorted(mapping.items())
-        for part in (F.lit(name), extract(document, path))
-    ]
-    return F.map_filter(F.create_map(*pairs), lambda _, value: value.isNotNull())
+    return extract(found, rest) if dot else found
 
 
 def tag(members: Column, tags: dict[str, str]) -> Column:

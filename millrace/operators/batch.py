@@ -299,28 +299,21 @@ def _follower(scope: list[str]):
 
 def _builder(group: list[str], extra: list[str]):
     names = [*ENVELOPE.fieldNames(), *extra]
+    flags = ["_seed", "_joins", "_size", "_interval", "_due", "_more"]
+    time_at, text_at, topic_at = (names.index(name) for name in ("timestamp", "payload", "topic"))
 
     def kernel(batches):
         key = due = None
         more = False
         payloads: list[str] = []
-        head = topic = time = None
-        types = None
+        head = topic = time = types = None
         out: list[tuple] = []
 
         def close(at):
-            out.append(
-                (
-                    head["stream_id"],
-                    topic,
-                    head["source"],
-                    head["type"] + "_batch",
-                    at,
-                    "[" + ",".join(payloads) + "]",
-                    head["seq"],
-                    *(head[name] for name in extra),
-                )
-            )
+            line = dict(zip(names, head))
+            line |= {"topic": topic, "type": line["type"] + "_batch", "timestamp": at}
+            line["payload"] = "[" + ",".join(payloads) + "]"
+            out.append(tuple(line.values()))
             payloads.clear()
 
         def shipped():
@@ -333,19 +326,20 @@ def _builder(group: list[str], extra: list[str]):
                 continue
             types = types or [batch_.schema.field(name).type for name in names]
             starts, key = group_starts(batch_, group, key)
-            columns = batch_.select([*names, "_seed", "_joins", "_size", "_interval", "_due", "_more"]).to_pylist()
-            for start, row in zip(starts.tolist(), columns):
+            rows = zip(*(batch_.column(name).to_pylist() for name in names))
+            told = (batch_.column(name).to_pylist() for name in flags)
+            for start, row, seed, joins, size, interval, opening, goes_on in zip(starts.tolist(), rows, *told):
                 if start:
                     if payloads:
                         close(due if more else time)
                     due, more = None, False
-                if row["_seed"]:
-                    due, more = row["_due"], row["_more"]
+                if seed:
+                    due, more = opening, goes_on
                     continue
-                if not row["_joins"]:
-                    out.append(tuple(row[name] for name in names))
+                if not joins:
+                    out.append(row)
                     continue
-                time, size, interval = row["timestamp"], row["_size"], row["_interval"]
+                time = row[time_at]
                 if due is None:
                     due = time + interval
                 if time >= due:
@@ -354,8 +348,8 @@ def _builder(group: list[str], extra: list[str]):
                     due += interval * ((time - due) // interval + 1)
                 if not payloads:
                     head = row
-                payloads.append("null" if row["payload"] is None else row["payload"])
-                topic = row["topic"]
+                payloads.append("null" if row[text_at] is None else row[text_at])
+                topic = row[topic_at]
                 if len(payloads) == size:
                     close(time)
                     due = time + interval

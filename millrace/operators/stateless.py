@@ -13,31 +13,24 @@ def filter_types(df: DataFrame, match_types) -> DataFrame:
     return df.filter(F.col("type").isin(list(match_types))) if match_types else df
 
 
-def members(document: Column, mapping: dict[str, str]) -> Column:
-    """Members of the payload after ``mapping``; NULL where it is no object.
-
-    A payload of JSON ``null`` has no members, so a mapping makes ``{}`` of it.
-    """
-    if not mapping:
-        return J.fields(document)
-    shaped = J.fields(document).isNotNull() | F.is_variant_null(document)
-    return F.when(shaped, J.flatten(document, mapping))
-
-
-def _rewritten(df: DataFrame, members_: Column) -> DataFrame:
-    return (
-        J.with_document(df)
-        .withColumn("_members", members_)
-        .withColumn("payload", F.coalesce(J.render(F.col("_members")), F.col("payload")))
-        .drop("_doc", "_members")
-    )
+def shaped(document: Column) -> Column:
+    """Whether a mapping applies: to objects, and to JSON ``null``, which has no members."""
+    return J.is_object(document) | F.is_variant_null(document)
 
 
 def transform(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Replace object payloads by ``{new key: value at path}``; other payloads stay."""
-    return _rewritten(df, members(F.col("_doc"), mapping)) if mapping else df
+    if not mapping:
+        return df
+    document = F.col("_doc")
+    flat = F.when(shaped(document), J.flat_object(document, mapping, {}))
+    rewritten = F.coalesce(flat, F.col("payload"))
+    return J.with_document(df).withColumn("payload", rewritten).drop("_doc")
 
 
 def enrich(df: DataFrame, tags: dict[str, str]) -> DataFrame:
     """Set string tags at the root of object payloads; other payloads stay."""
-    return _rewritten(df, J.tag(J.fields(F.col("_doc")), tags)) if tags else df
+    if not tags:
+        return df
+    tagged = J.render(J.tag(J.fields(F.col("_doc")), tags))
+    return J.with_document(df).withColumn("payload", F.coalesce(tagged, F.col("payload"))).drop("_doc")

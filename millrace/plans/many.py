@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.functions import json_text as J
 from millrace.operators.slices import LOWEST, MAX_ROWS, bounded_join, plan_slices
 from millrace.operators.stateful import payload_key
+from millrace.operators.stateless import shaped
 from millrace.plans.pipeline import condition, payload_bytes
 from millrace.plans.spec import PipelineSpec
 
@@ -115,7 +116,6 @@ def _prepared(rows: DataFrame) -> DataFrame:
         F.transform_values(mapping, lambda _, path: F.try_variant_get(document, path, "variant")),
         lambda _, value: value.isNotNull(),
     )
-    shaped = J.fields(document).isNotNull() | F.is_variant_null(document)
     tagged = F.map_concat(
         F.map_filter("_members", lambda key, _: ~F.map_contains_key(tags, key)),
         F.transform_values(tags, lambda _, value: value.cast("variant")),
@@ -124,7 +124,7 @@ def _prepared(rows: DataFrame) -> DataFrame:
     rows = J.with_document(rows)
     rows = rows.withColumn("_whole", payload.isNull() | document.isNotNull())
     rows = rows.withColumn(
-        "_members", F.when(mapping.isNull(), J.fields(document)).when(shaped, mapped)
+        "_members", F.when(mapping.isNull(), J.fields(document)).when(shaped(document), mapped)
     )
     rows = rows.withColumn("_key", payload_key(F.coalesce(flat, payload)))
     rows = rows.withColumn("_members", F.when(tags.isNull(), F.col("_members")).otherwise(tagged))

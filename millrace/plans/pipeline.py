@@ -21,7 +21,7 @@ from millrace.operators.stateful import (
     payload_key,
     threshold,
 )
-from millrace.operators.stateless import enrich, filter_types, members, transform
+from millrace.operators.stateless import enrich, filter_types, shaped, transform
 from millrace.plans.spec import PipelineSpec
 from millrace.session import checkpointed
 
@@ -94,30 +94,29 @@ def prepared(rows: DataFrame, spec: PipelineSpec) -> DataFrame:
     ``_key`` identifies the payload for dedup, ``_number`` is the threshold's
     value and ``_whole`` tells whether the payload can go into an array.
     """
-    reshaped = bool(spec.mapping or spec.tags)
-    if reshaped or spec.threshold or spec.batch:
+    mapping, tags, limit = spec.mapping, spec.tags, spec.threshold
+    document, payload = F.col("_doc"), F.col("payload")
+    if mapping or tags or limit or spec.batch:
         rows = J.with_document(rows)
     if spec.batch:
-        rows = rows.withColumn("_whole", F.col("payload").isNull() | F.col("_doc").isNotNull())
-    if reshaped:
-        rows = rows.withColumn("_members", members(F.col("_doc"), spec.mapping))
+        rows = rows.withColumn("_whole", payload.isNull() | document.isNotNull())
+    found = J.extract(document, limit.path) if limit else None
+    compared = final = payload
+    if mapping:
+        compared = F.coalesce(F.when(shaped(document), J.flat_object(document, mapping, {})), payload)
+        final = F.coalesce(F.when(shaped(document), J.flat_object(document, mapping, tags)), payload)
+        if limit:
+            found = F.when(shaped(document), J.extract_mapped(document, mapping, tags, limit.path))
+    elif tags:
+        rows = rows.withColumn("_members", J.tag(J.fields(document), tags))
+        final = F.coalesce(J.render(F.col("_members")), payload)
+        if limit:
+            found = J.extract_member(F.col("_members"), limit.path)
     if spec.ttl_ms is not None:
-        compared = F.col("payload")
-        if spec.mapping:
-            compared = F.coalesce(J.render(F.col("_members")), compared)
         rows = rows.withColumn("_key", payload_key(compared))
-    if spec.tags:
-        rows = rows.withColumn("_members", J.tag(F.col("_members"), spec.tags))
-    if spec.threshold:
-        path = spec.threshold.path
-        if reshaped:
-            found = J.extract_member(F.col("_members"), path)
-        else:
-            found = J.extract(F.col("_doc"), path)
+    if limit:
         rows = rows.withColumn("_found", found).withColumn("_number", J.number(F.col("_found")))
-    if reshaped:
-        rows = rows.withColumn("payload", F.coalesce(J.render(F.col("_members")), F.col("payload")))
-    return rows.drop("_doc", "_members", "_found")
+    return rows.withColumn("payload", final).drop("_doc", "_members", "_found")
 
 
 def condition(

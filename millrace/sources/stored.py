@@ -30,6 +30,12 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Input of one micro-batch unless told otherwise. Rows of one key that arrive in
+# the same micro-batch meet in one task, so a stream needs such a bound.
+MICRO_BATCH_BYTES = "4g"
+
+
 def stream_parquet(spark: SparkSession, path: str, **options) -> DataFrame:
-    """New files of stored envelopes as a stream; rate options bound a micro-batch."""
-    return spark.readStream.schema(ENVELOPE).options(**options).parquet(path)
+    """New files of stored envelopes as a stream; options go to the reader."""
+    bounded = {"maxBytesPerTrigger": MICRO_BATCH_BYTES} if "maxFilesPerTrigger" not in options else {}
+    return spark.readStream.schema(ENVELOPE).options(**(bounded | options)).parquet(path)
