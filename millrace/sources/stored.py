@@ -32,7 +32,7 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 # Input of one micro-batch unless told otherwise. Rows of one key that arrive in
 # the same micro-batch meet in one task, so a stream needs such a bound.
-MICRO_BATCH_BYTES = "4g"
+MICRO_BATCH_BYTES = "1g"
 
 
 def stream_parquet(spark: SparkSession, path: str, **options) -> DataFrame:

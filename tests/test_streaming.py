@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import tests_folds as folds
 from millrace import ENVELOPE, PipelineSpec, run
+from millrace.metrics import observed
 from millrace.plans.spec import Batch, Threshold
 from millrace.sinks.publish import publishable, start_append
 from millrace.sources.stored import stream_parquet
@@ -142,10 +143,12 @@ def test_whole_chain_to_the_log(events, spark, tmp_path):
         pass
     config = SPECS["both"]
     spec = PipelineSpec(**{**config.__dict__, "batch": Batch(3, 10_000_000)})
-    stream = run_stream(stream_parquet(spark, f"{tmp_path}/in", maxFilesPerTrigger=1), spec, "0 seconds")
-    good, _ = publishable(stream)
+    arriving = observed(stream_parquet(spark, f"{tmp_path}/in", maxFilesPerTrigger=1), "arrived")
+    good, _ = publishable(run_stream(arriving, spec, "0 seconds"))
     query = start_append(good, f"{tmp_path}/log", f"{tmp_path}/checkpoint", availableNow=True)
     assert query.awaitTermination(240)
+    seen = [p["observedMetrics"]["arrived"]["events"] for p in query.recentProgress if p["numInputRows"]]
+    assert sum(seen) == len(rows)
     want = run(df, spec).filter(F.size(F.from_json("payload", "array<string>")) == 3)
     stored = spark.read.parquet(f"{tmp_path}/log")
     assert lines(stored) == lines(want) and stored.count() > 5
