@@ -39,10 +39,14 @@ def hold(df: DataFrame, keys: list[str], plan: SlicePlan | None, mark: str | Non
 
     Rows whose ``_value`` is NULL pass and leave the state alone. Held rows are
     removed; with ``mark`` they stay and that column says whether a row passed.
+    Where there is a column ``_hot``, only keys it marks are cut into slices.
     """
-    names = df.columns
-    output = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+    names = [name for name in df.columns if name != "_hot"]
+    output = T.StructType([T.StructField(name, df.schema[name].dataType) for name in names])
     rows = with_slices(df, plan).withColumn("_seed", F.lit(False))
+    if "_hot" in df.columns:
+        whole = F.lit(LOWEST)
+        rows = rows.withColumn("_slice", F.when(F.col("_hot"), F.col("_slice")).otherwise(whole)).drop("_hot")
     group = [*keys, "_slice"]
     if plan is not None:
         rows = rows.unionByName(_entries(rows, keys), allowMissingColumns=True)

@@ -40,6 +40,7 @@ HIGHEST = 2**63 - 1
 class SlicePlan:
     """Where heavy streams are cut."""
 
+    rows: int  # events of a slice, about
     streams: DataFrame  # start and length of each heavy stream's time units
     stream_rows: int
     units: DataFrame  # each unit's first slice, and where slices begin in it
@@ -90,7 +91,7 @@ def plan_slices(df: DataFrame, max_rows: int = MAX_ROWS) -> SlicePlan | None:
             F.min("_place").alias("_base"), F.array_sort(F.collect_list("_begin")).alias("_begins")
         )
         found = checkpointed(found.unionByName(cut))
-    return SlicePlan(heavy, streams, found, units.count())
+    return SlicePlan(rows, heavy, streams, found, units.count())
 
 
 def _with_unit(df: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions import json_text as J
 from millrace.operators.hold import hold
-from millrace.operators.slices import MAX_ROWS, SlicePlan, plan_slices
+from millrace.operators.slices import MAX_ROWS, SlicePlan, bounded_join, plan_slices
+from millrace.session import checkpointed
 
 
 def payload_key(payload: Column) -> Column:
@@ -35,10 +36,25 @@ def hold_repeats(
     subject: Column | None = None,
 ) -> DataFrame:
     """Dedup of a frame that carries ``_key``; only rows that are ``subject`` take part."""
+    keys = [*scope, "_key"]
+    if plan is not None:
+        # A heavy stream is no trouble here as long as none of its payloads is heavy.
+        hot, hot_rows = hot_keys(df, keys, plan)
+        plan = plan if hot_rows else None
+        if hot_rows:
+            df = bounded_join(df, hot.withColumn("_hot", F.lit(True)), keys, hot_rows)
     time = F.col("timestamp").cast("double")
     timed = df.withColumn("_value", time if subject is None else F.when(subject, time))
     timed = timed.withColumn("_delta", (ttl_ms + 1).cast("double"))
-    return hold(timed, [*scope, "_key"], plan, mark).drop("_value", "_delta")
+    return hold(timed, keys, plan, mark).drop("_value", "_delta")
+
+
+def hot_keys(df: DataFrame, keys: list[str], plan: SlicePlan) -> tuple[DataFrame, int]:
+    """Keys with more rows than a slice holds, and their number, which ``plan`` bounds."""
+    heavy = bounded_join(df, plan.streams.select("stream_id"), ["stream_id"], plan.stream_rows, "left_semi")
+    counts = heavy.groupBy(*keys).agg(F.count("*").alias("_n"))
+    hot = checkpointed(counts.filter(F.col("_n") > plan.rows).select(*keys))
+    return hot, hot.count()
 
 
 def threshold(df: DataFrame, path: str, delta: float, max_rows: int = MAX_ROWS) -> DataFrame:

@@ -31,6 +31,7 @@ SIX_HOURS = 6 * 3_600_000
 DAY = 24 * 3_600_000
 # Small enough that even the test tables have streams that are cut.
 CUT_ROWS = 2_000
+CUT_KEY_ROWS = 50
 
 SHOWN = ["stream_id", "topic", "source", "type", "timestamp", "payload", "seq"]
 SHOWN_SQL = ", ".join(SHOWN)
@@ -108,8 +109,8 @@ def dedup_ttl(spark, sf_dir):
 
 @query(DEDUP_SQL)
 def dedup_ttl_cut_stream(spark, sf_dir):
-    """The same with the stream cut into many slices."""
-    kept = dedup(one_stream(spark, sf_dir), SIX_HOURS, CUT_ROWS)
+    """The same with the stream, and each payload in it, cut into many slices."""
+    kept = dedup(one_stream(spark, sf_dir), SIX_HOURS, CUT_KEY_ROWS)
     return kept.select("seq", "timestamp", "payload")
 
 
