@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, chat, decontamination, exact_dedup, licenses, near_dedup, sharding, token_counts, toxicity
-from millrace.llm.common import documents
+from millrace.llm.common import documents, few_at_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,8 +20,7 @@ ORACLES: dict[str, str] = {}
 def query(sql: str | None = None):
     def register(function: Query) -> Query:
         def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # Texts may be long: few of them at once in a worker.
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+            few_at_once(spark)
             return function(spark, sf_dir)
 
         QUERIES[function.__name__] = configured
