@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontamination, exact_dedup, licenses, near_dedup, sharding, token_counts, toxicity
+from millrace.llm import bpe, chat, decontamination, exact_dedup, licenses, near_dedup, quality, sharding, token_counts, toxicity
 from millrace.llm.common import documents, few_at_once
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,3 +117,9 @@ def op9_decontamination(spark, sf_dir):
 @query()
 def op10_minhash_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
+@query()
+def op5_quality(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    return quality.judged(documents(spark, sf_dir), labels)
