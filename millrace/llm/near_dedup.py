@@ -11,12 +11,13 @@ however deep its branches get, and by all of them with chance 4e-6; with no larg
 nodes, 1e-10. Nodes of up to LEAF classes are compared exhaustively: sketches first, and what they
 leave (a pair at the threshold fails with chance 1e-5) on the full sets.
 
-Only components are asked for, so links inside one need not be listed. In a node, the sketches
-propose a forest of links, the likeliest first; they are confirmed on full sets; then all
-pairs that still lie in different components are tested, each once. Large nodes are thinned
-likewise before they branch: their classes are compared to one of them, and a node whose classes
-lie in one component is done. One in which few lie outside its main component is compared in
-blocks, those few against all. So no group, however large, is expanded into pairs or met by one task.
+Only components are asked for, so links inside one need not be listed. Sketches cut a node into
+the parts that possible links join; equal parts of several nodes are looked at once. A part gets
+the full sets of its classes, and pairs are tested with the likeliest first until its classes are
+joined or no pair is left; pairs of one component are passed over. Large nodes are thinned before
+they branch: their classes are compared to one of them, and a node whose classes lie in one
+component is done. One in which few lie outside its main component is compared in blocks, those few
+against all. So no group, however large, is expanded into pairs or met by one task.
 
 Defined results: a text without words has an empty set and is linked with nothing, nor
 are two of them; a null text counts as empty; rows that share a doc_id are linked each by its
@@ -76,6 +77,16 @@ def linked(one: np.ndarray, two: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * shared >= percent * (len(one) + len(two) - shared)
 
 
+def linked_to(one: np.ndarray, others: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
+    """Which of several sets are linked to one."""
+    sizes = np.array([len(o) for o in others])
+    together = np.concatenate(others)
+    at = np.searchsorted(one, together)
+    at[at == len(one)] = 0
+    shared = np.add.reduceat((one[at] == together).astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * shared >= percent * (sizes + len(one) - shared)
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set_key and sketch of every row; the last two null without words."""
     docs = pick(docs, "doc_id", "text").select("doc_id", text_or_empty().alias("text"))
@@ -214,26 +225,38 @@ class Block:
         same[same < POSSIBLE * COORDINATES] = 0
         return same
 
-    def proposals(self) -> tuple[np.ndarray, np.ndarray]:
-        """A forest of likely links, best first; all possible ones where they are few."""
+    def parts(self) -> np.ndarray:
+        """For each class a number of the part of the block that chains of possible links join it to; -1 without any."""
+        same = self.equal_tokens() > 0
+        same |= same.T
+        part = np.arange(len(self.cids))
+        for i in range(len(part)):
+            near = np.unique(part[same[i]])
+            if len(near) > 1 or len(near) == 1 and near[0] != part[i]:
+                part[np.isin(part, near)] = part[i]
+        return np.where(same.any(1), part, -1)
+
+    def links(self, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        """A forest of links, tested on the full sets, that joins all classes that links join.
+
+        Pairs come up with the likeliest first. Those of one component by then need no test, and no
+        pair is tested twice.
+        """
         same = self.equal_tokens()
-        rows, columns = np.nonzero(same)
-        if len(rows) <= 2 * len(self.cids):
-            return rows, columns
         same = np.maximum(same, same.T)
         labels, made = self.labels.copy(), []
-        for level in range(COORDINATES, int(LIKELY * COORDINATES) - 1, -4):
+        for level in [*range(COORDINATES, int(LIKELY * COORDINATES), -4), 1]:
             for i in np.flatnonzero((same >= level).any(1)):
-                at = np.flatnonzero((same[i] >= level) & (labels != labels[i]))
-                while len(at):
-                    j = at[np.argmax(same[i, at])]
-                    made.append((i, j))
-                    labels[labels == labels[j]] = labels[i]
-                    at = at[labels[at] != labels[i]]
-        return tuple(np.array(made, dtype=np.int64).reshape(-1, 2).T)
-
-    def open_pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.nonzero(self.equal_tokens())
+                step = 4
+                while len(at := np.flatnonzero((same[i] >= level) & (labels != labels[i]))):
+                    at = at[np.argsort(-same[i, at].astype(int), kind="stable")[:step]]
+                    step *= 4
+                    same[i, at] = same[at, i] = 0
+                    for j in at[linked_to(sets[i], [sets[j] for j in at])]:
+                        if labels[j] != labels[i]:
+                            made.append((i, j))
+                            labels[labels == labels[j]] = labels[i]
+        return made
 
 
 class Join:
@@ -275,41 +298,43 @@ class Join:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
 
         joined = pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two")
-        self.add(saved(joined.mapInArrow(run, "a long, b long")), pairs)
-
-    def add(self, links: DataFrame, pairs: DataFrame) -> None:
+        links = saved(joined.mapInArrow(run, "a long, b long"))
         self.tested = pairs if self.tested is None else self.tested.union(pairs)
         self.links = links if self.links is None else self.links.union(links)
         self.roots = components(self.links)
 
-    def leaves(self) -> DataFrame:
-        """Rows (block, cid, left, right) of all nodes that are to be compared."""
+    def compared(self) -> DataFrame:
+        """Rows (block, cid, left, right) of all parts of nodes in which links are possible."""
         level = saved(_sized(self.classes.select("cid", _root_nodes().alias("node"))))
-        wanted = level.select("cid").distinct().join(self.classes, "cid").select("cid", "set_key", "min_id")
+        blocks = [self._parts(self._leaves(level))]
+        large = level.filter(F.col("size") > self.leaf).select("node", "cid")
+        wanted = blocks[0].select("cid").union(large.select("cid")).distinct()
+        wanted = wanted.join(self.classes, "cid").select("cid", "set_key", "min_id")
         self.sets = saved(_sets(self.docs, wanted).dropDuplicates(["cid"]) if self._repeated() else _sets(self.docs, wanted))
-        blocks, depth = [], 0
-        while True:
-            small = _distinct_nodes(level.filter(F.col("size") <= self.leaf))
-            blocks.append(saved(small.select(F.col("node").alias("block"), "cid", F.lit(True).alias("left"), F.lit(True).alias("right"))))
-            large = level.filter(F.col("size") > self.leaf).select("node", "cid")
-            if large.isEmpty():
-                break
+        depth = 0
+        while not large.isEmpty():
             self._thin(large, depth)
             rows = self.labelled(large)
             shares = rows.groupBy("node", "comp").agg(F.count("*").alias("n"))
             main = shares.groupBy("node").agg(F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("main"))
-            rest = main.select("node", "size", "main.comp", (F.col("size") - F.col("main.n")).alias("outside"))
-            rows = saved(rows.join(rest.filter("outside > 0").withColumnRenamed("comp", "main"), "node"))
+            rest = main.select("node", "size", F.col("main.comp").alias("main"), (F.col("size") - F.col("main.n")).alias("outside"))
+            rows = saved(rows.join(rest.filter("outside > 0"), "node"))
             few = F.lit(True) if depth >= DEEPEST else F.col("outside") <= self.leaf
-            blocks.append(saved(self._grid(rows.filter(few))))
+            blocks.append(self._parts(self._grid(rows.filter(few))))
             going = self.sketched(rows.filter(~few).select("node", "cid"))
             level = saved(_sized(going.select("cid", _branches().alias("node"))))
+            blocks.append(self._parts(self._leaves(level)))
+            large = level.filter(F.col("size") > self.leaf).select("node", "cid")
             depth += 1
         out = blocks[0]
         for block in blocks[1:]:
             out = out.union(block)
         return out
 
+    def _leaves(self, level: DataFrame) -> DataFrame:
+        small = _distinct_nodes(level.filter(F.col("size") <= self.leaf))
+        return small.select(F.col("node").alias("block"), "cid", F.lit(True).alias("left"), F.lit(True).alias("right"))
+
     def _repeated(self) -> bool:
         """Whether rows share doc_id and set, and so would give a set twice."""
         return not self.rows.filter("n_shingles > 0").groupBy("doc_id", "set_key").count().filter("count > 1").isEmpty()
@@ -335,51 +360,49 @@ class Join:
         both = left.union(right).select(F.xxhash64("node", "i", "j").alias("block"), "cid", "left")
         return both.groupBy("block", "cid").agg(F.max("left").alias("left"), F.max(~F.col("left")).alias("right"))
 
-    def _compared(self, blocks: DataFrame, method: str) -> DataFrame:
-        """block, a, b: what a method of Block gives for each block."""
+    def _parts(self, blocks: DataFrame) -> DataFrame:
+        """The parts of blocks in which links are possible, as blocks of their own."""
         rows = self.labelled(self.sketched(blocks)).select("block", "cid", "comp", "n", "sketch", "left", "right")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for table in _groups(batches):
                 block = Block.of(table)
-                i, j = getattr(block, method)()
-                if len(i):
-                    name = pa.array([table.column("block")[0].as_py()] * len(i), pa.int64())
-                    yield pa.RecordBatch.from_arrays([name, pa.array(block.cids[i]), pa.array(block.cids[j])], ["block", "a", "b"])
+                part = block.parts()
+                at = np.flatnonzero(part >= 0)
+                if len(at):
+                    name = table.column("block")[0].as_py() ^ shingles.mixed(block.cids[part[at]].astype(np.uint64)).astype(np.int64)
+                    columns = [name, block.cids[at], block.left[at], block.right[at]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["block", "cid", "left", "right"])
 
-        pairs = rows.repartition("block").sortWithinPartitions("block").mapInArrow(run, "block long, a long, b long")
-        return pairs.select("block", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        rows = rows.repartition("block").sortWithinPartitions("block")
+        return saved(rows.mapInArrow(run, "block long, cid long, left boolean, right boolean"))
 
-    def _test_in_blocks(self, pairs: DataFrame) -> None:
-        """Test pairs (block, a, b) where the sets of their block are at hand, so that a set is moved once for all its pairs."""
-        members = pairs.select("block", F.explode(F.array("a", "b")).alias("cid")).distinct()
-        sets = members.join(self.sets, "cid").select("block", "cid", "found", F.lit(None).cast("long").alias("b"))
-        asked = pairs.select("block", F.col("a").alias("cid"), F.lit(None).cast("binary").alias("found"), "b")
+    def _linked(self, blocks: DataFrame) -> DataFrame:
+        """Links (a, b) that join the components of each block."""
+        rows = self.labelled(self.sketched(blocks).join(self.sets, "cid"))
+        rows = rows.select("block", "cid", "comp", "n", "sketch", "left", "right", "found")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for table in _groups(batches):
-                sets, links = {}, []
-                for cid, found, other in zip(*(table.column(i).to_pylist() for i in (1, 2, 3))):
-                    if found is not None:
-                        sets[cid] = np.frombuffer(found, dtype=np.uint64)
-                    elif linked(sets[cid], sets[other]):
-                        links.append((cid, other))
-                if links:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
-
-        rows = sets.union(asked).repartition("block").sortWithinPartitions("block", F.col("b").asc_nulls_first())
-        self.add(saved(rows.mapInArrow(run, "a long, b long")), pairs.select("a", "b"))
+                block = Block.of(table)
+                sets = [np.frombuffer(f, dtype=np.uint64) for f in table.column("found").to_pylist()]
+                if links := block.links(sets):
+                    i, j = np.array(links).T
+                    yield pa.RecordBatch.from_arrays([pa.array(block.cids[i]), pa.array(block.cids[j])], ["a", "b"])
+
+        rows = rows.repartition("block").sortWithinPartitions("block")
+        return saved(rows.mapInArrow(run, "a long, b long"))
 
     def run(self) -> DataFrame:
         """member (a class) and root of all classes that have links."""
-        blocks = self.leaves()
-        self.confirm(self._compared(blocks, "proposals").select("a", "b").distinct())
-        labels = self.labelled(blocks)
-        mixed = labels.groupBy("block").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("block")
-        pairs = self._compared(blocks.join(mixed, "block"), "open_pairs").groupBy("a", "b").agg(F.min("block").alias("block"))
-        pairs = saved(pairs.join(self.tested, ["a", "b"], "left_anti").select("block", "a", "b"))
-        if not pairs.isEmpty():
-            self._test_in_blocks(pairs)
+        blocks = self.compared()
+        parts = blocks.groupBy("block").agg(
+            F.count("*").alias("size"),
+            F.sum(F.shiftright(F.xxhash64("cid", "left", "right"), 16)).alias("who"),
+        )
+        distinct = parts.groupBy("size", "who").agg(F.min("block").alias("block")).select("block")
+        links = self._linked(blocks.join(distinct, "block"))
+        self.roots = components(links if self.links is None else links.union(self.links))
         return self.roots
 
 
