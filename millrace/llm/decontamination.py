@@ -43,7 +43,7 @@ SENTENCE_WORDS = (
     "all some many there then find given suppose let calculate compute"
 ).split()
 
-_TOKEN = r"[0-9]+(?:[.,][0-9]+)*|[\p{L}\p{M}]+"
+_TOKEN = r"[0-9]+(?:[.,][0-9]+)*|[\p{L}\p{M}][\p{L}\p{M}\p{N}]*"
 
 
 def tokens(text: Column) -> Column:

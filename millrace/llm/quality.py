@@ -186,7 +186,9 @@ def _losses_by_join(docs: DataFrame, scores: DataFrame, order: int) -> DataFrame
 
     counted = docs.select("row", "text").mapInArrow(run, "row long, gram long, n long").join(scores, "gram")
     sums = counted.groupBy("row").agg(F.sum(F.col("n") * F.col("loss").cast("float")).alias("loss"))
-    return docs.select("row", "bytes").join(sums, "row", "left")
+    # Equal rows were summed up together.
+    equal = docs.groupBy("row").agg(F.first("bytes").alias("bytes"), F.count("*").alias("copies"))
+    return equal.join(sums, "row", "left").select("row", "bytes", (F.col("loss") / F.col("copies")).alias("loss"))
 
 
 def _row() -> Column:
