@@ -20,7 +20,7 @@ from millrace.sources.dispatch import collect_events
 from millrace.sources.sse import sse_events
 from millrace.sources.stored import from_json_lines
 
-TOKEN = "secret123"
+TOKEN = "k7-open-door"
 
 
 def _event_capture(spark, sf_dir, *columns):

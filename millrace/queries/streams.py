@@ -26,23 +26,38 @@ from millrace.queries.tables import (
     wide_payload,
 )
 from millrace.session import shared_folder
-from millrace.sinks.publish import publishable, start_append
+from millrace.sinks.publish import publishable, start_append, with_partitions
 from millrace.streaming.pipeline import run_stream
+from millrace.streaming.stages import open_batches
 
 
-def _arriving(spark, sf_dir, **columns):
-    """The events as a stream of files."""
-    schema = table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return event_envelopes(events, **columns)
+#: Files that the events land in, and the rows from which on there are more of them.
+FILES, FILE_ROWS = 5, 1_000_000
+
+
+def _arriving(spark, sf_dir, backwards=False, **columns):
+    """The events as a stream: files of successive times, each of which is a micro-batch."""
+    events = table(spark, sf_dir, "events")
+    parts = max(FILES, events.count() // FILE_ROWS)
+    edges = events.select(F.percentile_approx("event_id", [i / parts for i in range(1, parts)])).first()[0] or []
+    part = F.size(F.filter(F.lit(edges) if edges else F.array().cast("array<bigint>"), lambda edge: F.col("event_id") > edge))
+    landed = f"{shared_folder(spark)}/events-{uuid.uuid4().hex}"
+    order = range(parts - 1, -1, -1) if backwards else range(parts)
+    for place, number in enumerate(order):
+        events.filter(part == number).coalesce(1).write.parquet(f"{landed}/{place}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{landed}/*")
+    return event_envelopes(stream, **columns)
 
 
 def _drained(spark, stream):
-    """What the stream has appended to its log once all files are through."""
+    """What the stream has appended to its log once all files are through, and batches left open."""
     folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     messages, _ = publishable(stream)
-    start_append(messages, f"{folder}/log", f"{folder}/checkpoint", availableNow=True).awaitTermination()
-    return spark.read.parquet(f"{folder}/log")
+    query = start_append(messages, f"{folder}/log", f"{folder}/checkpoint", availableNow=True)
+    query.awaitTermination()
+    log = spark.read.parquet(f"{folder}/log")
+    tail, _ = publishable(open_batches(spark, f"{folder}/checkpoint"))
+    return log.unionByName(with_partitions(tail).select(log.columns))
 
 
 @query(
@@ -69,12 +84,11 @@ def stream_threshold(spark, sf_dir):
     f"""with recursive {env_sql()}, {ordered_sql("env")}, {batches_sql(4, DAY)}
     select stream_id, topic, type, payload, seq,
            case when events = 4 then timestamp else due end as timestamp
-    from batches
-    where events = 4 or not is_last or due < (select max(timestamp) from env)"""
+    from batches"""
 )
 def stream_batch(spark, sf_dir):
-    """A batch that is still open when the files end stays in the state."""
-    stream = run_stream(_arriving(spark, sf_dir), PipelineSpec(batch=Batch(4, DAY)), "0 seconds")
+    """All batches, also those that are still open when the files end."""
+    stream = run_stream(_arriving(spark, sf_dir), PipelineSpec(batch=Batch(4, DAY)))
     return _drained(spark, stream).select("stream_id", "topic", "type", "payload", "seq", "timestamp")
 
 
@@ -85,3 +99,11 @@ def stream_batch(spark, sf_dir):
 def stream_full_chain(spark, sf_dir):
     stream = run_stream(_arriving(spark, sf_dir, payload=wide_payload()), PipelineSpec.from_dict(SPEC))
     return _drained(spark, stream).select("stream_id", "seq", "type", "timestamp", "payload")
+
+
+@query("""select event_id as seq, '[{"id":' || event_id || '}]' as payload from events""")
+def stream_out_of_order(spark, sf_dir):
+    """Files in reversed time through dedup and batches of one: every event comes out."""
+    payload = F.concat(F.lit('{"id":'), F.col("event_id"), F.lit("}"))
+    stream = _arriving(spark, sf_dir, backwards=True, stream=F.lit("all"), payload=payload)
+    return _drained(spark, run_stream(stream, PipelineSpec(ttl_ms=0, batch=Batch(1, DAY)))).select("seq", "payload")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -16,18 +14,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, named by ``spark.checkpoint.dir``.
-
-    A temporary one is made only where the setting is missing and Spark runs on
-    this machine alone; anywhere else a missing setting is an error.
-    """
+    """The folder all executors share, named by ``spark.checkpoint.dir``."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="millrace-checkpoint-")
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 

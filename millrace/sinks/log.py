@@ -50,9 +50,20 @@ def routed(messages: DataFrame, logs: dict[str, list[str]]) -> DataFrame:
     return messages.withColumn("log", choice)
 
 
+def unrouted(messages: DataFrame, logs: dict[str, list[str]]) -> DataFrame:
+    """The messages that no log captures, to be set aside."""
+    return routed(messages, logs).filter("log is null").drop("log")
+
+
 def keep_young(messages: DataFrame, now_ms: int, max_age_ms: int = DEFAULT_MAX_AGE_MS) -> DataFrame:
-    """Drop messages older than the age limit; a limit of 0 keeps all."""
-    return messages.filter(F.col("timestamp") >= now_ms - max_age_ms) if max_age_ms else messages
+    """Drop messages older than the age limit; a limit of 0 keeps all. Of a log, older days are not read."""
+    if not max_age_ms:
+        return messages
+    oldest = now_ms - max_age_ms
+    young = messages.filter(F.col("timestamp") >= oldest)
+    if "day" not in messages.columns:
+        return young
+    return young.filter(F.col("day") >= F.to_date(F.timestamp_millis(F.lit(oldest))))
 
 
 def keep_newest(
@@ -100,5 +111,8 @@ def _edge(sums: DataFrame, log: str, time: str, limit: int) -> DataFrame:
 
 
 def replay(messages: DataFrame, pattern: str) -> DataFrame:
-    """Messages whose topic matches, in publish order."""
+    """Messages whose topic matches, in publish order. Of a log, only what the first token leaves is read."""
+    first = pattern.split(".")[0]
+    if "topic_root" in messages.columns and first not in ("*", ">"):
+        messages = messages.filter(F.col("topic_root") == first)
     return messages.filter(captured_by([pattern])).orderBy("timestamp", "seq", "stream_id")

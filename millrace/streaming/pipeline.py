@@ -21,20 +21,19 @@ def configure_state(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def run_stream(df: DataFrame, spec: PipelineSpec, delay: str = "10 minutes") -> DataFrame:
-    """Apply ``spec`` to every stream of a streaming frame.
+def run_stream(df: DataFrame, spec: PipelineSpec, live: bool = False) -> DataFrame:
+    """Apply ``spec`` to every stream of a streaming frame; no row is dropped for being late.
 
-    ``delay`` is how late a row may come. A changed spec takes a new checkpoint:
-    state starts afresh, as it does for a changed pipeline on batch frames.
+    On a ``live`` stream batches also close, and dedup forgets, by the clock; such a query does
+    not end by itself, so a run with ``availableNow`` leaves ``live`` off. A changed spec takes a new
+    checkpoint: state starts afresh, as it does for a changed pipeline on batch frames.
     """
     configure_state(df.sparkSession)
     rows = prepared(filter_types(df, spec.match_types), spec)
-    if spec.ttl_ms is not None or spec.batch:
-        rows = stages.with_watermark(rows, delay)
     if spec.ttl_ms is not None:
-        rows = stages.dedup(rows, spec.ttl_ms)
+        rows = stages.dedup(rows, spec.ttl_ms, live)
     if spec.threshold:
         rows = stages.threshold(rows, spec.threshold.path, spec.threshold.delta)
     if spec.batch:
-        rows = stages.batch(rows, spec.batch.max_size, spec.batch.interval_ms)
+        rows = stages.batch(rows, spec.batch.max_size, spec.batch.interval_ms, live)
     return rows.select(COLUMNS)

@@ -2,16 +2,21 @@
 
 Each stage keeps as little state as its rule allows: dedup one time per payload
 until its time-to-live is over, the threshold one number per stream, a batch its
-open members. Rows of one micro-batch are taken in ``(timestamp, seq)`` order. A
-row that comes later than the watermark allows is dropped by Spark in front of
-dedup and batch.
+open members. Rows of one micro-batch are taken in ``(timestamp, seq)`` order, and
+micro-batches as they come. No row is too late: there is no watermark, a late row
+is taken in the micro-batch it arrives in. For dedup only a payload that was
+already kept at a later time is then a duplicate. On a live stream, what a stage no
+longer needs goes by the clock: dedup forgets a payload that has not been kept for
+its time-to-live and ``GRACE_MS`` on top. A replay, which runs through a finished
+input, has no clock: it forgets nothing, and batches that are still open at its end
+are read from the state with ``open_batches``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -20,12 +25,8 @@ from millrace.envelope import COLUMNS, ENVELOPE
 from millrace.functions import json_text as J
 from millrace.operators.stateful import payload_key
 
-EVENT_TIME = "event_time"
-
-
-def with_watermark(df: DataFrame, delay: str) -> DataFrame:
-    """Add the event time and tell Spark how late rows may be."""
-    return df.withColumn(EVENT_TIME, F.timestamp_millis("timestamp")).withWatermark(EVENT_TIME, delay)
+#: How long, by the clock, a payload is remembered beyond its time-to-live.
+GRACE_MS = 24 * 3_600_000
 
 
 def _in_order(rows: Iterator[Row]) -> list[Row]:
@@ -39,12 +40,12 @@ def _only(row: Row, names: list[str]) -> Row:
 class _Dedup(StatefulProcessor):
     """Holds the time at which a payload was last kept."""
 
-    def __init__(self, ttl: int, names: list[str]):
-        self.ttl, self.names = ttl, names
+    def __init__(self, ttl: int, names: list[str], live: bool):
+        self.ttl, self.names, self.live = ttl, names, live
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.kept = handle.getValueState("kept", "kept bigint")
+        self.kept = handle.getValueState("kept", "kept bigint, timer bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         held = self.kept.get()
@@ -54,15 +55,16 @@ class _Dedup(StatefulProcessor):
                 last = row.timestamp
                 yield _only(row, self.names)
         if last != before:
-            if before is not None:
-                self.handle.deleteTimer(before + self.ttl + 1)
-            self.kept.update((last,))
-            self.handle.registerTimer(last + self.ttl + 1)
+            timer = None
+            if self.live:
+                if held and held[1] is not None:
+                    self.handle.deleteTimer(held[1])
+                timer = timerValues.getCurrentProcessingTimeInMs() + self.ttl + GRACE_MS
+                self.handle.registerTimer(timer)
+            self.kept.update((last, timer))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        held = self.kept.get()
-        if held and held[0] + self.ttl < expiredTimerInfo.getExpiryTimeInMs():
-            self.kept.clear()
+        self.kept.clear()
         return iter(())
 
 
@@ -93,19 +95,19 @@ class _Threshold(StatefulProcessor):
 class _Batch(StatefulProcessor):
     """Holds the open tick and the members of the open batch."""
 
-    def __init__(self, size: int, interval: int):
-        self.size, self.interval = size, interval
+    def __init__(self, size: int, interval: int, live: bool):
+        self.size, self.interval, self.live = size, interval, live
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.due = handle.getValueState("due", "due bigint")
+        self.due = handle.getValueState("due", "due bigint, timer bigint")
         self.open = handle.getListState(
             "open", "topic string, source string, type string, payload string, seq bigint"
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         held = self.due.get()
-        before = due = held[0] if held else None
+        due = held[0] if held else None
         members = [Row(*member) for member in self.open.get()]
         for row in _in_order(rows):
             time = row.timestamp
@@ -123,21 +125,25 @@ class _Batch(StatefulProcessor):
                 due = time + self.interval
         if due is None:
             return
-        if due != before:
-            if before is not None:
-                self.handle.deleteTimer(before)
-            self.due.update((due,))
+        timer = held[1] if held else None
+        if self.live:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            timer = timerValues.getCurrentProcessingTimeInMs() + self.interval if members else None
+            if timer is not None:
+                self.handle.registerTimer(timer)
+        self.due.update((due, timer))
         if members:
             self.open.put(members)
-            self.handle.registerTimer(due)
         else:
             self.open.clear()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         members = [tuple(member) for member in self.open.get()]
         due = self.due.get()
-        if members and due and due[0] <= expiredTimerInfo.getExpiryTimeInMs():
+        if members and due:
             yield self._closed(key, members, due[0])
+            self.due.update((due[0] + self.interval, None))
             self.open.clear()
 
     def _closed(self, key, members: list[tuple], time: int) -> Row:
@@ -149,19 +155,23 @@ class _Batch(StatefulProcessor):
         return Row(**dict(zip(COLUMNS, line)))
 
 
-def dedup(df: DataFrame, ttl_ms: int) -> DataFrame:
-    """Dedup of a watermarked stream; ``_key`` is used where it is there."""
+def _time_mode(live: bool) -> str:
+    """Timers keep a query going for ever, so a replay must have none."""
+    return "ProcessingTime" if live else "None"
+
+
+def dedup(df: DataFrame, ttl_ms: int, live: bool = False) -> DataFrame:
+    """Dedup of a stream; ``_key`` is used where it is there."""
     if ttl_ms < 0:
         return df
     keyed = df if "_key" in df.columns else df.withColumn("_key", payload_key(F.col("payload")))
     keyed = keyed.withColumn("_key", F.hex("_key"))
     fields = [field for field in df.schema if field.name != "_key"]
     return keyed.groupBy("stream_id", "_key").transformWithState(
-        statefulProcessor=_Dedup(ttl_ms, [field.name for field in fields]),
+        statefulProcessor=_Dedup(ttl_ms, [field.name for field in fields], live),
         outputStructType=T.StructType([T.StructField(f.name, f.dataType) for f in fields]),
         outputMode="Append",
-        timeMode="EventTime",
-        eventTimeColumnName=EVENT_TIME,
+        timeMode=_time_mode(live),
     )
 
 
@@ -172,20 +182,19 @@ def threshold(df: DataFrame, path: str, delta: float) -> DataFrame:
         valued = J.with_document(df).withColumn("_found", J.extract(F.col("_doc"), path))
         valued = valued.withColumn("_number", J.number(F.col("_found"))).drop("_doc", "_found")
     fields = [field for field in df.schema if field.name != "_number"]
-    timed = any(field.name == EVENT_TIME for field in fields)
     return valued.groupBy("stream_id").transformWithState(
         statefulProcessor=_Threshold(float(delta), [field.name for field in fields]),
         outputStructType=T.StructType([T.StructField(f.name, f.dataType) for f in fields]),
         outputMode="Append",
         timeMode="None",
-        eventTimeColumnName=EVENT_TIME if timed else "",
     )
 
 
-def batch(df: DataFrame, max_size: int, interval_ms: int) -> DataFrame:
-    """Batches of a watermarked stream; ``_whole`` is used where it is there.
+def batch(df: DataFrame, max_size: int, interval_ms: int, live: bool = False) -> DataFrame:
+    """Batches of a stream; ``_whole`` is used where it is there.
 
-    A batch closes by time once the watermark has passed its tick.
+    A batch closes by time when an event at or after its tick arrives; on a ``live`` stream also
+    when no event has come for its interval by the clock.
     """
     if interval_ms <= 0 or max_size <= 0:
         raise ValueError("batch size and interval must be positive")
@@ -194,8 +203,35 @@ def batch(df: DataFrame, max_size: int, interval_ms: int) -> DataFrame:
         whole = F.col("payload").isNull() | F.col("_doc").isNotNull()
         checked = J.with_document(df).withColumn("_whole", whole).drop("_doc")
     return checked.groupBy("stream_id").transformWithState(
-        statefulProcessor=_Batch(max_size, interval_ms),
+        statefulProcessor=_Batch(max_size, interval_ms, live),
         outputStructType=T.StructType([T.StructField(f.name, f.dataType) for f in ENVELOPE]),
         outputMode="Append",
-        timeMode="EventTime",
+        timeMode=_time_mode(live),
+    )
+
+
+def open_batches(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Batches that were open when the query of ``checkpoint`` ended, with the time of their last event's tick.
+
+    They stand in the state, so a restarted query goes on with them; one that is over hands them out here.
+    """
+    operators = spark.read.format("state-metadata").load(checkpoint).filter(F.col("operatorProperties").contains('"open"'))
+    number = operators.select("operatorId").first()
+    if number is None:
+        return spark.createDataFrame([], ENVELOPE)
+    state = spark.read.format("statestore").option("operatorId", number[0])
+    members = state.option("stateVarName", "open").option("flattenCollectionTypes", "false").load(checkpoint)
+    due = spark.read.format("statestore").option("operatorId", number[0]).option("stateVarName", "due").load(checkpoint)
+    rows = members.select(F.col("key").getField("stream_id").alias("stream_id"), F.col("list_value").alias("m")).join(
+        due.select(F.col("key").getField("stream_id").alias("stream_id"), F.col("value.due").alias("due")), "stream_id"
+    )
+    texts = F.transform("m", lambda member: F.coalesce(member["payload"], F.lit("null")))
+    return rows.filter(F.size("m") > 0).select(
+        "stream_id",
+        F.element_at("m", -1)["topic"].alias("topic"),
+        F.element_at("m", 1)["source"].alias("source"),
+        F.concat(F.element_at("m", 1)["type"], F.lit("_batch")).alias("type"),
+        F.col("due").alias("timestamp"),
+        F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias("payload"),
+        F.element_at("m", 1)["seq"].alias("seq"),
     )

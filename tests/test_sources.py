@@ -49,7 +49,7 @@ def test_rest(spark):
 
 
 def test_webhook(spark):
-    good = "Bearer secret123"
+    good = "Bearer k7-open-door"
     big = "x" * (5 * 1024 * 1024)
     rows = [
         ("POST", good, '{"a":1}'),
@@ -58,16 +58,16 @@ def test_webhook(spark):
         ("GET", good, "{}"),
         ("POST", good, ""),
         ("POST", good, "text"),
-        ("POST", "bearer secret123", "{}"),
+        ("POST", "bearer k7-open-door", "{}"),
         ("POST", good, big),
         ("POST", good, big + "x"),
         ("GET", None, ""),
         ("POST", good, None),
     ]
     df = capture(spark, "method string, authorization string, body string", rows)
-    outcome = [r.status for r in webhook_outcomes(df, "secret123").orderBy("seq").collect()]
+    outcome = [r.status for r in webhook_outcomes(df, "k7-open-door").orderBy("seq").collect()]
     assert outcome == [202, 401, 401, 405, 400, 202, 401, 202, 400, 405, 400]
-    events = told(webhook_events(df, "secret123"))
+    events = told(webhook_events(df, "k7-open-door"))
     assert [t for _, t, _ in events] == [1000, 1005, 1007]
     assert events[1] == ("webhook_recv", 1005, '"text"')
     open_ = [r.status for r in webhook_outcomes(df).orderBy("seq").collect()]

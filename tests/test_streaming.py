@@ -14,6 +14,7 @@ from millrace.plans.spec import Batch, Threshold
 from millrace.sinks.publish import publishable, start_append
 from millrace.sources.stored import stream_parquet
 from millrace.streaming.pipeline import run_stream
+from millrace.streaming.stages import open_batches
 
 
 def arrivals(seed, n=240):
@@ -44,7 +45,7 @@ def land(df, folder, parts):
 
 
 def follow(spark, folder, spec, once=True):
-    stream = run_stream(stream_parquet(spark, f"{folder}/in", maxFilesPerTrigger=1), spec, "0 seconds")
+    stream = run_stream(stream_parquet(spark, f"{folder}/in", maxFilesPerTrigger=1), spec)
     query = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", f"{folder}/checkpoint")
@@ -79,32 +80,25 @@ def test_stream_equals_batch(events, spark, tmp_path, name, restart):
     assert lines(spark.read.parquet(f"{tmp_path}/out")) == lines(run(df, spec))
 
 
-def test_dedup_state_is_cleared(events, spark, tmp_path):
-    rows = [(1000 + i * 100, json.dumps(i % 50)) for i in range(200)]
-    for _ in land(events(rows), str(tmp_path), 4):
+def test_no_row_is_too_late(events, spark, tmp_path):
+    """Five files in reversed time: unique payloads all come out, in batches of one too."""
+    rows = [(100_000_000 - i * 60_000, json.dumps(i)) for i in range(200)]
+    for _ in land(events(rows), str(tmp_path), 5):
         pass
-    query = follow(spark, str(tmp_path), PipelineSpec(ttl_ms=300))
-    states = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+    follow(spark, str(tmp_path), PipelineSpec(ttl_ms=0, batch=Batch(1, 1000)))
     assert spark.read.parquet(f"{tmp_path}/out").count() == 200
-    assert states[-1]["numRowsTotal"] <= 20
 
 
-def closed(rows, size, interval, until):
-    """Batches of a stream that are closed once the watermark is at ``until``."""
+def closed(rows, size, interval):
+    """Batches of each stream; the last one is stamped with its tick."""
     out = []
     for stream in "ab":
         own = [r for r in rows if r["stream_id"] == stream and r["payload"] != "oops"]
         times = [r["timestamp"] for r in own]
-        due = None
         for at, members in folds.batches(times, size, interval):
             out.append((stream, at, [own[m]["payload"] for m in members]))
-        last = out[-1]
-        if len(last[2]) < size:
-            # The end of the input closes nothing on a stream: only its tick does.
-            out.pop()
-            due = open_tick(times, size, interval)
-            if due < until:
-                out.append((stream, due, last[2]))
+        if len(out[-1][2]) < size:
+            out.append((stream, open_tick(times, size, interval), out.pop()[2]))
     return sorted(out)
 
 
@@ -127,12 +121,12 @@ def test_stream_batches(events, spark, tmp_path, restart):
         if restart:
             follow(spark, str(tmp_path), spec)
     follow(spark, str(tmp_path), spec)
-    out = spark.read.parquet(f"{tmp_path}/out")
+    out = spark.read.parquet(f"{tmp_path}/out").unionByName(open_batches(spark, f"{tmp_path}/checkpoint"))
     got = sorted(
         (r.stream_id, r.timestamp, [json.dumps(m) for m in json.loads(r.payload)])
         for r in out.filter("type like '%_batch'").collect()
     )
-    assert got == closed(rows, 4, 150, rows[-1]["timestamp"])
+    assert got == closed(rows, 4, 150)
     assert out.filter("payload = 'oops'").count() == sum(r["payload"] == "oops" for r in rows)
 
 
@@ -144,7 +138,7 @@ def test_whole_chain_to_the_log(events, spark, tmp_path):
     config = SPECS["both"]
     spec = PipelineSpec(**{**config.__dict__, "batch": Batch(3, 10_000_000)})
     arriving = observed(stream_parquet(spark, f"{tmp_path}/in", maxFilesPerTrigger=1), "arrived")
-    good, _ = publishable(run_stream(arriving, spec, "0 seconds"))
+    good, _ = publishable(run_stream(arriving, spec))
     query = start_append(good, f"{tmp_path}/log", f"{tmp_path}/checkpoint", availableNow=True)
     assert query.awaitTermination(240)
     seen = [p["observedMetrics"]["arrived"]["events"] for p in query.recentProgress if p["numInputRows"]]
