@@ -200,10 +200,10 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, severity (expected grade), p_toxic and kept (not rejected) for every row of ``docs``."""
     docs = pick(docs, "doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    given = docs.sparkSession.sparkContext.broadcast(model)
+    given = docs.sparkSession.sparkContext.broadcast((model.index, model.weights, model.thresholds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = given.value.scorer()
+        score = Model(*given.value).scorer()
         for batch in batches:
             found = [score(text or "") for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -218,11 +218,11 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that are not rejected, all columns as they were."""
-    given = docs.sparkSession.sparkContext.broadcast(model)
+    given = docs.sparkSession.sparkContext.broadcast((model.index, model.weights, model.thresholds))
 
     @F.pandas_udf("boolean")
     def clean(texts):
-        score = given.value.scorer()
+        score = Model(*given.value).scorer()
         return texts.map(lambda text: score(text)[1] < 0.5)
 
     return docs.filter(clean(text_or_empty()))
