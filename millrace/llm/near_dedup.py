@@ -87,9 +87,15 @@ def linked_to(one: np.ndarray, others: list[np.ndarray], percent: int = PERCENT)
     return 100 * shared >= percent * (sizes + len(one) - shared)
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key and sketch of every row; the last two null without words."""
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and text_key, which with doc_id finds a text again: doc_ids alone may be null or shared by many rows."""
     docs = pick(docs, "doc_id", "text").select("doc_id", text_or_empty().alias("text"))
+    return docs.withColumn("text_key", F.xxhash64("text"))
+
+
+def sketches(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, n_shingles, set_key and sketch of every row; the last two null without words."""
+    docs = _keyed(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,17 +106,18 @@ def sketches(docs: DataFrame) -> DataFrame:
                 keys.append(set_key(found) if len(found) else None)
                 drawn.append(sketch(found).tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(drawn, pa.binary())],
-                ["doc_id", "n_shingles", "set_key", "sketch"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(drawn, pa.binary())],
+                ["doc_id", "text_key", "n_shingles", "set_key", "sketch"],
             )
 
-    return docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, set_key binary, sketch binary")
+    return docs.mapInArrow(run, f"doc_id {kind}, text_key long, n_shingles long, set_key binary, sketch binary")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """cid and ``found``, the full set, of the classes ``wanted`` (cid, set_key, min_id)."""
-    docs = pick(docs, "doc_id", "text").select("doc_id", text_or_empty().alias("text"))
-    rows = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["min_id"])).select("cid", "set_key", "text")
+    """cid and ``found``, the full set, of the classes ``wanted`` (cid, set_key, min_id, min_key)."""
+    docs = _keyed(docs)
+    same = docs["doc_id"].eqNullSafe(wanted["min_id"]) & (docs["text_key"] == wanted["min_key"])
+    rows = docs.join(wanted, same).select("cid", "set_key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -265,10 +272,13 @@ class Join:
     def __init__(self, docs: DataFrame, leaf: int = LEAF):
         self.docs, self.leaf = docs, leaf
         self.rows = saved(sketches(docs))
+        place = F.struct("doc_id", "text_key")
+        first = F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), place)), F.min(place))
         self.classes = saved(
             self.rows.filter("n_shingles > 0")
             .groupBy("set_key")
-            .agg(F.min("doc_id").alias("min_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+            .agg(first.alias("first"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+            .select("set_key", F.col("first.doc_id").alias("min_id"), F.col("first.text_key").alias("min_key"), "n", "sketch")
             .withColumn("cid", F.monotonically_increasing_id())
         )
         self.sets: DataFrame | None = None
@@ -309,7 +319,7 @@ class Join:
         blocks = [self._parts(self._leaves(level))]
         large = level.filter(F.col("size") > self.leaf).select("node", "cid")
         wanted = blocks[0].select("cid").union(large.select("cid")).distinct()
-        wanted = wanted.join(self.classes, "cid").select("cid", "set_key", "min_id")
+        wanted = wanted.join(self.classes, "cid").select("cid", "set_key", "min_id", "min_key")
         self.sets = saved(_sets(self.docs, wanted).dropDuplicates(["cid"]) if self._repeated() else _sets(self.docs, wanted))
         depth = 0
         while not large.isEmpty():
@@ -336,8 +346,8 @@ class Join:
         return small.select(F.col("node").alias("block"), "cid", F.lit(True).alias("left"), F.lit(True).alias("right"))
 
     def _repeated(self) -> bool:
-        """Whether rows share doc_id and set, and so would give a set twice."""
-        return not self.rows.filter("n_shingles > 0").groupBy("doc_id", "set_key").count().filter("count > 1").isEmpty()
+        """Whether rows share doc_id and text, and so would give a set twice."""
+        return not self.rows.filter("n_shingles > 0").groupBy("doc_id", "text_key").count().filter("count > 1").isEmpty()
 
     def _thin(self, large: DataFrame, depth: int) -> None:
         """Compare the classes of each large node to one of them."""

@@ -63,6 +63,20 @@ def test_components_against_brute_force(spark, leaf):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_texts_are_found_again_where_all_rows_share_a_doc_id(spark, doc_id):
+    given = [(doc_id, r[1], 1, 1, "") for r in rows(3)]
+    docs = spark.createDataFrame(given, SCHEMA).repartition(4)
+    got = near_dedup.near_duplicates(docs).collect()
+    key = lambda r: tuple(-1 if x is None else x for x in r)
+    assert sorted(map(key, ((r.doc_id, r.n_shingles, r.component_id) for r in got))) == sorted(map(key, brute(given)))
+    join = near_dedup.Join(docs)
+    found = near_dedup._sets(docs, join.classes.select("cid", "set_key", "min_id", "min_key"))
+    texts = {r[1]: len(shingle_set(r[1])) > 0 for r in given}
+    assert found.select("cid").distinct().count() == join.classes.count()
+    assert found.count() <= sum(texts[r[1]] for r in given)
+
+
 def test_dedup_keeps_columns_and_an_empty_table(spark):
     docs = spark.createDataFrame([(2, "a b c d e f", 1, 1, "s"), (1, "A b c d e f", 2, 2, "t"), (3, None, 1, 1, "")], SCHEMA)
     got = near_dedup.dedup(docs)
