@@ -53,7 +53,7 @@ def batch(df: DataFrame, max_size: int, interval_ms: int, max_rows: int = MAX_RO
     if interval_ms <= 0 or max_size <= 0:
         raise ValueError("batch size and interval must be positive")
     plan = plan_slices(df, max_rows)
-    whole = F.col("payload").isNull() | F.col("_doc").isNotNull()
+    whole = F.col("payload").isNull() | J.is_json(F.col("_doc"))
     checked = J.with_document(df).withColumn("_whole", whole).drop("_doc")
     return into_batches(
         checked, F.lit(max_size), F.lit(interval_ms), plan, subject=F.col("_whole")

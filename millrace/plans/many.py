@@ -122,7 +122,7 @@ def _prepared(rows: DataFrame) -> DataFrame:
     )
     flat = F.when(mapping.isNotNull(), F.coalesce(J.render(F.col("_members")), payload))
     rows = J.with_document(rows)
-    rows = rows.withColumn("_whole", payload.isNull() | document.isNotNull())
+    rows = rows.withColumn("_whole", payload.isNull() | J.is_json(document))
     rows = rows.withColumn(
         "_members", F.when(mapping.isNull(), J.fields(document)).when(shaped(document), mapped)
     )

@@ -99,7 +99,7 @@ def prepared(rows: DataFrame, spec: PipelineSpec) -> DataFrame:
     if mapping or tags or limit or spec.batch:
         rows = J.with_document(rows)
     if spec.batch:
-        rows = rows.withColumn("_whole", payload.isNull() | document.isNotNull())
+        rows = rows.withColumn("_whole", payload.isNull() | J.is_json(document))
     found = J.extract(document, limit.path) if limit else None
     compared = final = payload
     if mapping:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions import json_text as J
@@ -17,7 +20,7 @@ from millrace.sources.captures import (
     websocket_events,
 )
 from millrace.sources.dispatch import collect_events
-from millrace.sources.sse import sse_events
+from millrace.sources.sse import running_total, sse_events
 from millrace.sources.stored import from_json_lines
 
 TOKEN = "k7-open-door"
@@ -168,18 +171,24 @@ def sse_lines(spark, sf_dir, one_connection=False):
     name = F.when(F.col("role") == "user", F.array(F.lit(": no name"))).otherwise(
         F.array(F.lit(": named"), F.concat(F.lit("event: "), "role"))
     )
-    lines = turns.select("conv_id", "turn", F.posexplode(F.concat(name, data, F.array(F.lit("")))).alias("n", "line"))
-    # Room for 10,000 lines in a turn and 1,000 turns in a conversation.
-    place = (F.col("conv_id") * 1000 + F.col("turn")) * 10_000 + F.col("n")
-    connection = F.lit("c") if one_connection else F.col("conv_id").cast("string")
-    return lines.select(
+    blocks = turns.select(
         F.lit("chat").alias("stream_id"),
         F.lit("chat.turns").alias("topic"),
-        connection.alias("conn_id"),
-        place.alias("seq"),
+        (F.lit("c") if one_connection else F.col("conv_id").cast("string")).alias("conn_id"),
         (F.col("conv_id") * 1000 + F.col("turn")).alias("recv_ms"),
-        "line",
+        F.concat(name, data, F.array(F.lit(""))).alias("_lines"),
+        F.struct("conv_id", "turn").alias("_place"),
+        F.floor((F.col("conv_id") if one_connection else F.col("turn")) / 1000).alias("_slice"),
     )
+    return numbered_lines(blocks)
+
+
+def numbered_lines(blocks):
+    """The lines of ``_lines`` one by one, numbered along each connection in the order of ``_place``."""
+    sized = blocks.withColumn("_n", F.size("_lines").cast("long"))
+    ahead = running_total(sized, ["stream_id", "conn_id"], "_slice", "_place", "_n", "_ahead_of")
+    lines = ahead.select("stream_id", "topic", "conn_id", "recv_ms", "_ahead_of", F.posexplode("_lines").alias("n", "line"))
+    return lines.withColumn("seq", F.col("_ahead_of") + F.col("n")).drop("_ahead_of", "n")
 
 
 SSE_SQL = """select conv_id * 1000 + turn as timestamp, text,
@@ -201,7 +210,59 @@ def sse_blocks(spark, sf_dir):
 @query(SSE_SQL)
 def sse_one_connection(spark, sf_dir):
     """All turns on one connection, which is worked on in slices."""
-    return _turns(sse_events(sse_lines(spark, sf_dir, one_connection=True), 100_000_000))
+    return _turns(sse_events(sse_lines(spark, sf_dir, one_connection=True), 1000))
+
+
+@query(
+    r"""with lined as (select doc_id, ltrim(replace(text, ' ', chr(10)), chr(10)) as text from documents)
+    select doc_id as timestamp, text from lined where text <> ''"""
+)
+def sse_long_blocks(spark, sf_dir):
+    """A document as a block with a line for each word, tens of thousands of them in long ones."""
+    words = F.transform(F.split("text", "[ \n]"), lambda word: F.concat(F.lit("data: "), word))
+    blocks = table(spark, sf_dir, "documents").select(
+        F.lit("docs").alias("stream_id"),
+        F.lit("docs.words").alias("topic"),
+        F.col("source").alias("conn_id"),
+        F.col("doc_id").alias("recv_ms"),
+        F.concat(words, F.array(F.lit(""))).alias("_lines"),
+        F.col("doc_id").alias("_place"),
+        F.floor(F.col("doc_id") / 10_000).alias("_slice"),
+    )
+    return _turns(sse_events(numbered_lines(blocks))).select("timestamp", "text")
+
+
+def past_limits(user: Column) -> dict[str, Column]:
+    """Texts about as deep or long as a usual parser takes, with brackets and digits by ``user``."""
+    depth = (F.lit(980) + F.pmod(user, F.lit(22))).cast("int")
+    return {
+        "arrays": F.concat(F.repeat(F.lit("["), depth), F.repeat(F.lit("]"), depth)),
+        "objects": F.concat(F.repeat(F.lit('{"a":'), depth), F.lit('"["'), F.repeat(F.lit("}"), depth)),
+        "unclosed": F.concat(F.repeat(F.lit("["), depth), F.repeat(F.lit("]"), depth - 1)),
+        "digits": F.concat(F.lit("[-1."), F.repeat(F.lit("3"), depth), F.lit("]")),
+        "points": F.concat(F.lit("[1."), F.repeat(F.lit("3"), depth), F.lit(".5]")),
+    }
+
+
+@query(
+    """with d as (select event_id, cast(980 + user_id % 22 as bigint) as depth from events),
+    t as (select event_id, ([
+             {'kind': 'arrays', 'ok': true, 'text': repeat('[', depth) || repeat(']', depth)},
+             {'kind': 'objects', 'ok': true, 'text': repeat('{"a":', depth) || '"["' || repeat('}', depth)},
+             {'kind': 'unclosed', 'ok': false, 'text': repeat('[', depth) || repeat(']', depth - 1)},
+             {'kind': 'digits', 'ok': true, 'text': '[-1.' || repeat('3', depth) || ']'},
+             {'kind': 'points', 'ok': false, 'text': '[1.' || repeat('3', depth) || '.5]'}][event_id % 5 + 1]) as x from d)
+    select event_id as seq, x.kind as kind, md5(if(x.ok, x.text, to_json(x.text)::varchar)) as payload from t"""
+)
+def json_past_parser_limits(spark, sf_dir):
+    """Response bodies at the limits of a parser: JSON passes as it stands, the rest becomes a string."""
+    choice = F.pmod("event_id", F.lit(5))
+    texts = past_limits(F.col("user_id"))
+    kind = reduce(lambda found, item: found.when(choice == item[0], item[1]), enumerate(map(F.lit, texts)), F)
+    body = reduce(lambda found, item: found.when(choice == item[0], item[1]), enumerate(texts.values()), F)
+    captures = _event_capture(spark, sf_dir, kind.alias("kind"), F.lit(200).alias("status"), body.alias("body"))
+    events = rest_events(captures.withColumn("topic", F.col("kind")))
+    return events.select("seq", F.col("topic").alias("kind"), F.md5("payload").alias("payload"))
 
 
 @query(

@@ -10,8 +10,16 @@ from millrace.queries.registry import query
 from millrace.queries.stages import DAY
 from millrace.queries.tables import env_sql, table, user_events
 from millrace.session import shared_folder
-from millrace.sinks.log import keep_newest, keep_young, replay, routed
-from millrace.sinks.publish import append, publishable, serialised, valid_topic
+from millrace.sinks.log import keep_newest, keep_young, replay, routed, unrouted
+from millrace.sinks.publish import (
+    append,
+    append_all,
+    publishable,
+    published,
+    quarantined,
+    serialised,
+    valid_topic,
+)
 
 MESSAGE_SQL = (
     "'{\"source\":\"' || source || '\",\"type\":\"' || type || '\",\"timestamp\":' || timestamp"
@@ -42,6 +50,20 @@ def publish_accepted(spark, sf_dir):
     return good.select("seq", "message")
 
 
+@query(
+    f"""with {env_sql()}
+    select stream_id, seq, topic, type <> 'error' as published, payload || if(type = 'error', '}}', '') as payload,
+           case when type <> 'error' then {MESSAGE_SQL} end as message from env"""
+)
+def publish_one_pass(spark, sf_dir):
+    """Log and quarantine from one write, each read back on its own."""
+    path = f"{shared_folder(spark)}/log-{uuid.uuid4().hex}"
+    append_all(_damaged(spark, sf_dir), path)
+    good = published(spark, path).withColumn("published", F.lit(True))
+    bad = quarantined(spark, path).withColumn("published", F.lit(False))
+    return good.unionByName(bad).select("stream_id", "seq", "topic", "published", "payload", "message")
+
+
 @query(
     """select topic, regexp_full_match(topic, '[a-zA-Z0-9._-]+') as valid
        from (select url as topic from pages
@@ -75,6 +97,16 @@ def subject_routing(spark, sf_dir):
     return routed(user_events(spark, sf_dir), LOGS).select("seq", "topic", "log")
 
 
+@query(
+    f"""with {env_sql()}
+    select seq, topic from env
+    where not regexp_full_match(topic, 'shop(\\.[^.]+)?\\.purchase|shop\\.signup(\\.[^.]+)*|[^.]+\\.view|web(\\.[^.]+)+')"""
+)
+def routing_quarantine(spark, sf_dir):
+    """What no log captures is set aside."""
+    return unrouted(user_events(spark, sf_dir), LOGS).select("seq", "topic")
+
+
 @query(f"with {env_sql()} select seq, topic, timestamp from env where regexp_full_match(topic, 'shop(\\.[^.]+)+') and topic <> 'shop'")
 def subject_replay(spark, sf_dir):
     return replay(user_events(spark, sf_dir), "shop.>").select("seq", "topic", "timestamp")

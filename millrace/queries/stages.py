@@ -461,7 +461,7 @@ SPELLINGS_SQL = """spelled as (
 )
 def json_check_and_wrap(spark, sf_dir):
     df = J.with_document(_spellings(table(spark, sf_dir, "events")), "text")
-    valid = F.col("_doc").isNotNull()
+    valid = J.is_json(F.col("_doc"), "text")
     return df.select(
         "event_id",
         "spelling",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,12 +30,15 @@ def serialised(events: DataFrame) -> DataFrame:
         F.coalesce("payload", F.lit("null")),
         F.lit("}"),
     )
-    whole = F.col("payload").isNull() | F.col("_doc").isNotNull()
+    whole = F.col("payload").isNull() | J.is_json(F.col("_doc"))
     return J.with_document(events).withColumn("message", F.when(whole, text)).drop("_doc")
 
 
 def publishable(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split into events with their ``message`` and events whose payload is not JSON."""
+    """Split into events with their ``message`` and events whose payload is not JSON.
+
+    Writing both runs ``events`` twice; ``append_all`` and ``start_append_all`` write them in one pass.
+    """
     checked = serialised(events)
     good = checked.filter("message is not null")
     return good, checked.filter("message is null").drop("message")
@@ -51,16 +54,49 @@ def with_partitions(messages: DataFrame) -> DataFrame:
     )
 
 
+LOG_PARTITIONS = ["day", "topic_root"]
+
+
 def append(messages: DataFrame, path: str) -> None:
     """Append to the log. Rows of a partition come together, so files stay few and large."""
-    rows = with_partitions(messages)
-    rows.hint("rebalance", F.col("day"), F.col("topic_root")).write.mode("append").partitionBy(
-        "day", "topic_root"
-    ).parquet(path)
+    _append(with_partitions(messages), path, LOG_PARTITIONS)
+
+
+def append_all(events: DataFrame, path: str) -> None:
+    """Append events to the log and bad ones to the quarantine under ``path``, in one pass."""
+    _append(with_partitions(_marked(events)), path, ["published", *LOG_PARTITIONS])
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The log that ``append_all`` or ``start_append_all`` wrote; nothing of the quarantine is read."""
+    return spark.read.parquet(path).filter("published = 'true'").drop("published")
+
+
+def quarantined(spark: SparkSession, path: str) -> DataFrame:
+    """The events that were set aside next to that log; their ``message`` is NULL."""
+    return spark.read.parquet(path).filter("published = 'false'").drop("published")
+
+
+def _marked(events: DataFrame) -> DataFrame:
+    return serialised(events).withColumn("published", F.col("message").isNotNull())
+
+
+def _append(rows: DataFrame, path: str, by: list[str]) -> None:
+    together = rows.hint("rebalance", *(F.col(name) for name in by))
+    together.write.mode("append").partitionBy(*by).parquet(path)
 
 
 def start_append(messages: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Append a stream to the log; a restart with the same checkpoint goes on where it stopped."""
-    writer = with_partitions(messages).writeStream.format("parquet").outputMode("append")
-    writer = writer.partitionBy("day", "topic_root").option("checkpointLocation", checkpoint)
+    return _start(with_partitions(messages), path, LOG_PARTITIONS, checkpoint, trigger)
+
+
+def start_append_all(events: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Like ``append_all`` on a stream: one query, one state, for the log and the quarantine."""
+    return _start(with_partitions(_marked(events)), path, ["published", *LOG_PARTITIONS], checkpoint, trigger)
+
+
+def _start(rows: DataFrame, path: str, by: list[str], checkpoint: str, trigger: dict) -> StreamingQuery:
+    writer = rows.writeStream.format("parquet").outputMode("append")
+    writer = writer.partitionBy(*by).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start(path)

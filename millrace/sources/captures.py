@@ -33,7 +33,7 @@ def websocket_events(frames: DataFrame) -> DataFrame:
 def json_or_string(df: DataFrame, text: str, output: str) -> DataFrame:
     """Add ``output``: ``text`` itself where it is JSON, else as a JSON string."""
     parsed = J.with_document(df, text, "_parsed")
-    value = F.when(F.col("_parsed").isNotNull(), F.col(text)).otherwise(J.as_json_string(F.col(text)))
+    value = F.when(J.is_json(F.col("_parsed"), text), F.col(text)).otherwise(J.as_json_string(F.col(text)))
     return parsed.withColumn(output, value).drop("_parsed")
 
 

@@ -3,8 +3,8 @@
 The lines of a connection form blocks that end with a blank line. A block with
 data becomes an event; an event name stays pending until one does. Connections
 live long, so one may hold a large share of all lines: everything that runs
-along a connection runs inside slices of at most ``SLICE`` consecutive lines or
-blocks, and only one row per slice is looked at across slices.
+along a connection runs inside slices of about ``SLICE`` counted lines or blocks,
+and only one row per slice is looked at across slices.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.envelope import envelopes
 from millrace.functions import json_text as J
+from millrace.operators.slices import plan_slices, with_slices
 
 # What a line and an event without a name look like.
 DEFAULT_TYPE = "sse_message"
@@ -30,7 +31,7 @@ def sse_events(lines: DataFrame, slice_rows: int = SLICE) -> DataFrame:
     An event takes the sequence number and time of the blank line that ends it.
     """
     text = F.regexp_replace("line", r"\r\z", "")
-    told = lines.withColumns(
+    told = _sliced(lines, slice_rows).withColumns(
         {
             "_blank": (text == "").cast("long"),
             "_name": F.when(text.startswith(NAME_PREFIX), _trimmed(F.substr(text, F.lit(7)))),
@@ -38,17 +39,26 @@ def sse_events(lines: DataFrame, slice_rows: int = SLICE) -> DataFrame:
                 ~text.startswith(NAME_PREFIX) & text.startswith(DATA_PREFIX),
                 F.regexp_replace(F.substr(text, F.lit(6)), r"\A ", ""),
             ),
-            "_slice": F.floor(F.col("seq") / slice_rows),
         }
     )
-    blocks = _blocks(running_total(told, CONNECTION, "_slice", "seq", "_blank", "_block"))
+    counted = running_total(told, CONNECTION, "_slice", "seq", "_blank", "_block")
+    # What follows the last blank line is no block yet.
+    blocks = _blocks(counted.filter("_block < _total"))
     typed = _with_pending_name(blocks, slice_rows).filter("_text is not null")
     parsed = J.with_document(typed, "_text", "_doc")
-    payload = F.when(F.col("_doc").isNotNull(), F.col("_text")).otherwise(J.as_data_object(F.col("_text")))
+    payload = F.when(J.is_json(F.col("_doc"), "_text"), F.col("_text")).otherwise(J.as_data_object(F.col("_text")))
     type_ = F.when(F.col("_type") == "", DEFAULT_TYPE).otherwise(F.coalesce("_type", F.lit(DEFAULT_TYPE)))
     return envelopes(parsed, type_, payload)
 
 
+def _sliced(lines: DataFrame, slice_rows: int) -> DataFrame:
+    """Add ``_slice``: connections of more than ``slice_rows`` lines are cut by their counted lines."""
+    place = lines.select(F.struct(*CONNECTION).alias("stream_id"), F.col("seq").alias("timestamp"))
+    plan = plan_slices(place, slice_rows)
+    named = lines.withColumns({"_stream": F.col("stream_id"), "stream_id": F.struct(*CONNECTION), "timestamp": F.col("seq")})
+    return with_slices(named, plan).withColumn("stream_id", F.col("_stream")).drop("_stream", "timestamp")
+
+
 def _trimmed(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
 
@@ -56,7 +66,7 @@ def _trimmed(text: Column) -> Column:
 def running_total(
     df: DataFrame, keys: list[str], slice_: str, order: str, value: str, output: str
 ) -> DataFrame:
-    """Add the sum of ``value`` over all rows of ``keys`` before this one.
+    """Add the sum of ``value`` over all rows of ``keys`` before this one, and ``_total``, that over all.
 
     The sum runs inside each slice and starts from the total of the slices
     before, which is computed on one row per slice.
@@ -65,7 +75,11 @@ def running_total(
     before = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     ahead = Window.partitionBy(*keys).orderBy(slice_).rowsBetween(Window.unboundedPreceding, -1)
     totals = df.groupBy(*group).agg(F.sum(value).alias("_sum"))
-    totals = totals.select(*group, F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_ahead"))
+    totals = totals.select(
+        *group,
+        F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_ahead"),
+        F.sum("_sum").over(Window.partitionBy(*keys)).alias("_total"),
+    )
     inside = df.withColumn(output, F.coalesce(F.sum(value).over(before), F.lit(0)))
     joined = inside.join(totals, group)
     return joined.withColumn(output, F.col(output) + F.col("_ahead")).drop("_ahead")

@@ -200,7 +200,7 @@ def batch(df: DataFrame, max_size: int, interval_ms: int, live: bool = False) ->
         raise ValueError("batch size and interval must be positive")
     checked = df
     if "_whole" not in df.columns:
-        whole = F.col("payload").isNull() | F.col("_doc").isNotNull()
+        whole = F.col("payload").isNull() | J.is_json(F.col("_doc"))
         checked = J.with_document(df).withColumn("_whole", whole).drop("_doc")
     return checked.groupBy("stream_id").transformWithState(
         statefulProcessor=_Batch(max_size, interval_ms, live),

@@ -10,7 +10,16 @@ from pyspark.sql import functions as F
 from millrace import PipelineSpec, metrics, run
 from millrace.plans.spec import Threshold
 from millrace.sinks.log import captured_by, keep_newest, keep_young, replay, routed
-from millrace.sinks.publish import append, publishable, serialised, valid_topic
+from millrace.sinks.publish import (
+    append,
+    append_all,
+    publishable,
+    published,
+    quarantined,
+    serialised,
+    start_append_all,
+    valid_topic,
+)
 
 
 def test_envelope_text(events):
@@ -86,6 +95,17 @@ def test_append_and_read_back(events, spark, tmp_path):
     }
 
 
+def test_one_pass_for_log_and_quarantine(events, spark, tmp_path):
+    rows = [{"topic": "rt.a", "payload": p, "timestamp": 86_400_000 + i} for i, p in enumerate(["1", "oops", None, "{}"])]
+    append_all(events(rows), f"{tmp_path}/log")
+    events(rows).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(events(rows).schema).parquet(f"{tmp_path}/in")
+    start_append_all(stream, f"{tmp_path}/live", f"{tmp_path}/checkpoint", availableNow=True).awaitTermination()
+    for path in (f"{tmp_path}/log", f"{tmp_path}/live"):
+        assert sorted(r.seq for r in published(spark, path).collect()) == [0, 2, 3]
+        assert [(r.seq, r.payload, r.message) for r in quarantined(spark, path).collect()] == [(1, "oops", None)]
+
+
 def test_counters(events):
     rows = [{"type": t, "payload": json.dumps({"v": v})} for t, v in zip("aabaaa", [1, 1, 9, 5, 5.1, 7])]
     rows.append({"type": "a", "payload": "é"})

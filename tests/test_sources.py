@@ -48,6 +48,34 @@ def test_rest(spark):
     ]
 
 
+def nested(depth, closed=None):
+    return "[" * depth + "]" * (depth if closed is None else closed)
+
+
+def test_texts_the_parser_refuses(spark):
+    key = "k" * 60_000
+    texts = {
+        nested(1100): True, nested(1100, 1099): False, nested(1100, 1101): False,
+        nested(10_000): True, nested(10_001): False,
+        '{"a":' * 1100 + '"]\\""' + "}" * 1100: True, '{"a":' * 1100 + '"\\q"' + "}" * 1100: False,
+        '{"a" : [ 1,' * 600 + "null" + "] }" * 600: True, '{"a" : [ 1,' * 600 + "nul" + "] }" * 600: False,
+        "7" * 1500: True, "0" + "7" * 1500: False, "-1." + "7" * 1500 + "e-5": True, "1." + "7" * 1500 + ".5": False,
+        f'{{"{key}":[true]}}': True, f'{{"{key}":[true,]}}': False, f'{{"{key}\t":1}}': False, f'{{"{key}":1}} x': False,
+    }
+    events = rest_events(capture(spark, "status int, body string", [(200, text) for text in texts]))
+    whole = [payload == text for (_, _, payload), text in zip(told(events), texts)]
+    assert whole == list(texts.values())
+
+
+def test_sse_with_sparse_numbers(spark):
+    """Slices hold counted lines, however far apart their numbers are."""
+    lines = ["event: a", "data: 1", "", "data: 2", "", "", "event: b", "", "data: 3", "", "data: open"]
+    rows = [("s", "t.x", i**9, i, "c", line) for i, line in enumerate(lines)]
+    df = spark.createDataFrame(rows, BASE + "conn_id string, line string")
+    for slice_rows in (1, 3, 100):
+        assert [(t, p) for t, _, p in told(sse_events(df, slice_rows))] == [("a", "1"), ("sse_message", "2"), ("b", "3")]
+
+
 def test_webhook(spark):
     good = "Bearer k7-open-door"
     big = "x" * (5 * 1024 * 1024)
