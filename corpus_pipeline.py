@@ -17,6 +17,10 @@ from millrace.llm.common import few_at_once
 from millrace.session import shared_folder
 
 
+#: Near copies share this percentage of their five-word shingles or more; op10 alone is bound to 85.
+NEAR_PERCENT = 80
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model fitted on the labelled ones of ``docs`` rejects go."""
     few_at_once(spark)
@@ -33,7 +37,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies, the row with the smallest doc_id stays."""
     few_at_once(spark)
-    return near_dedup.dedup(docs)
+    return near_dedup.dedup(docs, percent=NEAR_PERCENT)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,11 +5,12 @@ Documents with equal sets are one class. Each class goes down a forest: at the r
 takes the branches of ROOTS fixed coordinates, and in every node of more than LEAF classes
 those of one or two coordinates that the node's path draws, one branch for the token it has
 there. A branch thus holds the classes that agree in all tokens drawn on its path. A pair
-with similarity s stays together along a branch with chance s per level, and 1.5 branches
-go on from a node, so that a pair with s = 0.85 is missed by one root with chance 0.35
-however deep its branches get, and by all of them with chance 4e-6; with no large
-nodes, 1e-10. Nodes of up to LEAF classes are compared exhaustively: sketches first, and what they
-leave (a pair at the threshold fails with chance 1e-5) on the full sets.
+with similarity s stays together along a branch with chance s per level, and 1.275 / t branches
+go on from a node, t being the threshold. A pair with s = t is missed by one root with chance
+(1 - t) / (1.275 - t) however deep its branches get (0.35 at t = 0.85, 0.42 at 0.80), and there are
+as many roots (12, 15) as bring the chance that all miss it to 4e-6; with no large nodes it
+is 1e-10 and 3e-11. Nodes of up to LEAF classes are compared exhaustively: sketches first, and what
+they leave (a pair at the threshold fails with chance 2e-5 at the most) on the full sets.
 
 Only components are asked for, so links inside one need not be listed. Sketches cut a node into
 the parts that possible links join; equal parts of several nodes are looked at once. A part gets
@@ -27,6 +28,7 @@ table gives an empty result. Columns other than doc_id and text do not matter.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,15 +43,15 @@ from millrace.llm.components import components
 
 #: Minwise tokens of a sketch, 32 bits each.
 COORDINATES = 96
-ROOTS = 12
 #: Classes of a node that are compared exhaustively.
 LEAF = 2048
 #: Nodes this deep are compared in blocks whatever their size; paths get there only at similarities near 1.
 DEEPEST = 24
-#: Links have 100 * intersection >= PERCENT * union.
+#: Links have 100 * intersection >= PERCENT * union, if nothing else is asked for.
 PERCENT = 85
-#: Shares of equal tokens from which sketches propose a pair at first, and at all.
-LIKELY, POSSIBLE = 0.8, 0.68
+#: Branches of a node that a pair at the threshold shares, on average; chances that it shares no
+#: node however deep, and that its sketches do not propose it.
+SHARED, MISSED, REFUSED = 1.275, 4e-6, 2e-5
 
 _DRAW = np.random.Generator(np.random.PCG64(77))
 _FACTORS = _DRAW.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -69,6 +71,43 @@ def set_key(found: np.ndarray) -> bytes:
     return sums.tobytes()
 
 
+@dataclass(frozen=True)
+class Law:
+    """What follows from the threshold, so that pairs at it are found with the same chance at any."""
+
+    percent: int = PERCENT
+
+    def __post_init__(self):
+        if not 65 <= self.percent <= 100:
+            raise ValueError("the threshold lies between 65 and 100: below, two branches of a node do not suffice")
+
+    @property
+    def two(self) -> float:
+        """Share of the nodes that have two branches, not one."""
+        return SHARED * 100 / self.percent - 1
+
+    @property
+    def roots(self) -> int:
+        share = self.percent / 100
+        return max(1, math.ceil(math.log(MISSED) / math.log(max((1 - share) / (SHARED - share), MISSED))))
+
+    @property
+    def likely(self) -> float:
+        """Equal tokens from which sketches propose a pair at first."""
+        return (self.percent - 5) / 100 * COORDINATES
+
+    @property
+    def possible(self) -> int:
+        """Equal tokens from which sketches propose a pair at all."""
+        share, below, least = self.percent / 100, 0.0, 0
+        while least < COORDINATES:
+            below += math.comb(COORDINATES, least) * share**least * (1 - share) ** (COORDINATES - least)
+            if below > REFUSED:
+                break
+            least += 1
+        return least
+
+
 def linked(one: np.ndarray, two: np.ndarray, percent: int = PERCENT) -> bool:
     small, large = (one, two) if len(one) <= len(two) else (two, one)
     at = np.searchsorted(large, small)
@@ -134,18 +173,18 @@ def _token(coordinate: Column | int) -> Column:
     return F.substr(F.col("sketch"), place * 4 + 1, F.lit(4))
 
 
-def _root_nodes() -> Column:
-    return F.explode(F.array(*(F.xxhash64(F.lit(c), _token(c)) for c in range(ROOTS))))
+def _root_nodes(law: Law) -> Column:
+    return F.explode(F.array(*(F.xxhash64(F.lit(c), _token(c)) for c in range(law.roots))))
 
 
-def _branches() -> Column:
-    """The nodes below ``node``: for every other node one, else two, at coordinates that its path draws."""
+def _branches(law: Law) -> Column:
+    """The nodes below ``node``: for a share of the nodes two, else one, at coordinates that its path draws."""
 
     def child(salt: int) -> Column:
         drawn = F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(COORDINATES)).cast("int")
         return F.xxhash64("node", drawn, _token(drawn))
 
-    two = F.pmod(F.xxhash64("node", F.lit(0)), F.lit(2)) == 0
+    two = F.pmod(F.xxhash64("node", F.lit(0)), F.lit(10_000)) < round(10_000 * law.two)
     return F.explode(F.when(two, F.array(child(1), child(2))).otherwise(F.array(child(1))))
 
 
@@ -165,17 +204,18 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(len(column), COORDINATES)
 
 
-def _pairs_by_sketch(rows: DataFrame) -> DataFrame:
+def _pairs_by_sketch(rows: DataFrame, law: Law) -> DataFrame:
     """a, b of the rows (cid, n, sketch, other, other_n, other_sketch) whose sketches and sizes make a link likely."""
+    likely = law.likely
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                same = (_matrix(batch.column(2)) == _matrix(batch.column(5))).sum(1) >= LIKELY * COORDINATES
+                same = (_matrix(batch.column(2)) == _matrix(batch.column(5))).sum(1) >= likely
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3)], ["a", "b"]).filter(pa.array(same))
 
     pairs = rows.select("cid", "n", "sketch", "other", "other_n", "other_sketch").filter("cid <> other")
-    pairs = pairs.filter(100 * F.least("n", "other_n") >= PERCENT * F.greatest("n", "other_n"))
+    pairs = pairs.filter(100 * F.least("n", "other_n") >= law.percent * F.greatest("n", "other_n"))
     return _ordered(pairs.mapInArrow(run, "a long, b long"))
 
 
@@ -210,12 +250,13 @@ class Block:
     drawn: np.ndarray
     left: np.ndarray
     right: np.ndarray
+    law: Law
 
     @classmethod
-    def of(cls, table: pa.Table) -> Block:
+    def of(cls, table: pa.Table, law: Law) -> Block:
         get = lambda name: table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
         drawn = _matrix(table.column("sketch").combine_chunks())
-        return cls(get("cid"), np.unique(get("comp"), return_inverse=True)[1], get("n"), drawn, get("left"), get("right"))
+        return cls(get("cid"), np.unique(get("comp"), return_inverse=True)[1], get("n"), drawn, get("left"), get("right"), law)
 
     def equal_tokens(self) -> np.ndarray:
         """For each pair how many tokens agree; zero where it is out of the question or comes up twice."""
@@ -225,11 +266,11 @@ class Block:
         for i in np.flatnonzero(self.left):
             fits = self.right & (self.labels != self.labels[i]) & ~(self.left & self.right[i] & (places <= i))
             sizes = self.sizes
-            fits &= 100 * np.minimum(sizes, sizes[i]) >= PERCENT * np.maximum(sizes, sizes[i])
+            fits &= 100 * np.minimum(sizes, sizes[i]) >= self.law.percent * np.maximum(sizes, sizes[i])
             at = np.flatnonzero(fits)
             if len(at):
                 same[i, at] = (self.drawn[at] == self.drawn[i]).sum(1)
-        same[same < POSSIBLE * COORDINATES] = 0
+        same[same < self.law.possible] = 0
         return same
 
     def parts(self) -> np.ndarray:
@@ -252,14 +293,14 @@ class Block:
         same = self.equal_tokens()
         same = np.maximum(same, same.T)
         labels, made = self.labels.copy(), []
-        for level in [*range(COORDINATES, int(LIKELY * COORDINATES), -4), 1]:
+        for level in [*range(COORDINATES, int(self.law.likely), -4), 1]:
             for i in np.flatnonzero((same >= level).any(1)):
                 step = 4
                 while len(at := np.flatnonzero((same[i] >= level) & (labels != labels[i]))):
                     at = at[np.argsort(-same[i, at].astype(int), kind="stable")[:step]]
                     step *= 4
                     same[i, at] = same[at, i] = 0
-                    for j in at[linked_to(sets[i], [sets[j] for j in at])]:
+                    for j in at[linked_to(sets[i], [sets[j] for j in at], self.law.percent)]:
                         if labels[j] != labels[i]:
                             made.append((i, j))
                             labels[labels == labels[j]] = labels[i]
@@ -269,8 +310,8 @@ class Block:
 class Join:
     """The steps of the join over the classes of a table."""
 
-    def __init__(self, docs: DataFrame, leaf: int = LEAF):
-        self.docs, self.leaf = docs, leaf
+    def __init__(self, docs: DataFrame, leaf: int = LEAF, percent: int = PERCENT):
+        self.docs, self.leaf, self.law = docs, leaf, Law(percent)
         self.rows = saved(sketches(docs))
         place = F.struct("doc_id", "text_key")
         first = F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), place)), F.min(place))
@@ -300,11 +341,12 @@ class Join:
         pairs = saved(pairs)
         one = self.sets.select(F.col("cid").alias("a"), F.col("found").alias("one"))
         two = self.sets.select(F.col("cid").alias("b"), F.col("found").alias("two"))
+        percent = self.law.percent
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 sets = ([np.frombuffer(f, dtype=np.uint64) for f in batch.column(i).to_pylist()] for i in (2, 3))
-                keep = pa.array([linked(x, y) for x, y in zip(*sets)], pa.bool_())
+                keep = pa.array([linked(x, y, percent) for x, y in zip(*sets)], pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
 
         joined = pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two")
@@ -315,7 +357,7 @@ class Join:
 
     def compared(self) -> DataFrame:
         """Rows (block, cid, left, right) of all parts of nodes in which links are possible."""
-        level = saved(_sized(self.classes.select("cid", _root_nodes().alias("node"))))
+        level = saved(_sized(self.classes.select("cid", _root_nodes(self.law).alias("node"))))
         blocks = [self._parts(self._leaves(level))]
         large = level.filter(F.col("size") > self.leaf).select("node", "cid")
         wanted = blocks[0].select("cid").union(large.select("cid")).distinct()
@@ -332,7 +374,7 @@ class Join:
             few = F.lit(True) if depth >= DEEPEST else F.col("outside") <= self.leaf
             blocks.append(self._parts(self._grid(rows.filter(few))))
             going = self.sketched(rows.filter(~few).select("node", "cid"))
-            level = saved(_sized(going.select("cid", _branches().alias("node"))))
+            level = saved(_sized(going.select("cid", _branches(self.law).alias("node"))))
             blocks.append(self._parts(self._leaves(level)))
             large = level.filter(F.col("size") > self.leaf).select("node", "cid")
             depth += 1
@@ -354,7 +396,7 @@ class Join:
         rows = self.sketched(large)
         first = rows.groupBy("node").agg(F.min(F.struct(F.xxhash64("cid", F.lit(depth)).alias("h"), "cid", "n", "sketch")).alias("p"))
         pivots = first.select("node", F.col("p.cid").alias("other"), F.col("p.n").alias("other_n"), F.col("p.sketch").alias("other_sketch"))
-        self.confirm(_pairs_by_sketch(rows.join(pivots, "node")))
+        self.confirm(_pairs_by_sketch(rows.join(pivots, "node"), self.law))
 
     def _grid(self, rows: DataFrame) -> DataFrame:
         """Blocks in which those outside the main component of a node, by LEAF, meet all, by LEAF."""
@@ -373,10 +415,11 @@ class Join:
     def _parts(self, blocks: DataFrame) -> DataFrame:
         """The parts of blocks in which links are possible, as blocks of their own."""
         rows = self.labelled(self.sketched(blocks)).select("block", "cid", "comp", "n", "sketch", "left", "right")
+        law = self.law
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for table in _groups(batches):
-                block = Block.of(table)
+                block = Block.of(table, law)
                 part = block.parts()
                 at = np.flatnonzero(part >= 0)
                 if len(at):
@@ -391,10 +434,11 @@ class Join:
         """Links (a, b) that join the components of each block."""
         rows = self.labelled(self.sketched(blocks).join(self.sets, "cid"))
         rows = rows.select("block", "cid", "comp", "n", "sketch", "left", "right", "found")
+        law = self.law
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for table in _groups(batches):
-                block = Block.of(table)
+                block = Block.of(table, law)
                 sets = [np.frombuffer(f, dtype=np.uint64) for f in table.column("found").to_pylist()]
                 if links := block.links(sets):
                     i, j = np.array(links).T
@@ -416,9 +460,9 @@ class Join:
         return self.roots
 
 
-def near_duplicates(docs: DataFrame, leaf: int = LEAF) -> DataFrame:
+def near_duplicates(docs: DataFrame, leaf: int = LEAF, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (doc_id is its component's) for every row of ``docs``."""
-    join = Join(docs, leaf)
+    join = Join(docs, leaf, percent)
     roots = join.run()
     classes = join.classes.select("set_key", "min_id", "cid").join(roots, F.col("cid") == F.col("member"), "left")
     classes = classes.withColumn("root", F.coalesce("root", "cid")).select("set_key", "min_id", "root")
@@ -431,7 +475,7 @@ def near_duplicates(docs: DataFrame, leaf: int = LEAF) -> DataFrame:
     )
 
 
-def dedup(docs: DataFrame, leaf: int = LEAF) -> DataFrame:
+def dedup(docs: DataFrame, leaf: int = LEAF, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest doc_id, all columns as they were."""
-    kept = near_duplicates(docs, leaf).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    kept = near_duplicates(docs, leaf, percent).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"])).select(*(docs[c] for c in docs.columns))

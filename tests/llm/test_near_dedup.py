@@ -83,3 +83,29 @@ def test_dedup_keeps_columns_and_an_empty_table(spark):
     assert got.columns == docs.columns
     assert sorted((r.doc_id, r.kept) for r in got.collect()) == [(1, 2), (3, 1)]
     assert near_dedup.near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_another_threshold_against_brute_force(spark):
+    """Pairs with two words changed, far apart, on both sides of 0.80 and of 0.85, through nodes that branch."""
+    draw = random.Random(80)
+    given, want = [], set()
+    for n in range(80, 140):
+        base = [f"w{draw.randrange(10**6)}" for _ in range(n)]
+        copy = list(base)
+        copy[n // 3], copy[2 * n // 3] = "changed", "again"
+        given += [(2 * n, " ".join(base), 1, 1, ""), (2 * n + 1, " ".join(copy), 1, 1, "")]
+    sets = [(r[0], shingle_set(r[1])) for r in given]
+    for i, (a, one) in enumerate(sets):
+        want |= {(a, b) for b, two in sets[i + 1 :] if 100 * len(one & two) >= 80 * len(one | two)}
+    got = near_dedup.near_duplicates(spark.createDataFrame(given, SCHEMA).repartition(4), 12, 80).collect()
+    assert {(r.component_id, r.doc_id) for r in got if not r.kept} == want
+    assert any(100 * len(dict(sets)[a] & dict(sets)[b]) < 85 * len(dict(sets)[a] | dict(sets)[b]) for a, b in want)
+
+
+def test_recall_follows_from_the_threshold():
+    for percent, roots, possible in ((85, 12, 66), (80, 15, 59)):
+        law = near_dedup.Law(percent)
+        missed = (1 - percent / 100) / (near_dedup.SHARED - percent / 100)
+        assert (law.roots, law.possible) == (roots, possible) and missed**law.roots <= near_dedup.MISSED
+    with pytest.raises(ValueError):
+        near_dedup.Law(50)

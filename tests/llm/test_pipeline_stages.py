@@ -36,3 +36,21 @@ def test_stages_against_plain_versions(spark, tmp_path):
     for r in kept[-1].collect():
         assert r.ids == library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
     assert Counter(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == Counter(r.doc_id for r in kept[-1].collect())
+
+
+def test_the_near_dedup_stage_links_pairs_from_80_percent(spark):
+    draw = random.Random(80)
+    shingles = lambda t: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)}
+    docs, gone = [], set()
+    for n in range(86, 134, 2):
+        base = [f"w{draw.randrange(10**6)}" for _ in range(n)]
+        copy = list(base)
+        copy[n // 3], copy[2 * n // 3] = "changed", "again"
+        one, two = " ".join(base), " ".join(copy)
+        if 10 * len(shingles(one) & shingles(two)) >= 8 * len(shingles(one) | shingles(two)):
+            gone.add(2 * n + 1)
+        docs += [(2 * n, one), (2 * n + 1, two)]
+    assert 0 < len(gone) < len(docs) // 2
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    kept = dict(corpus_pipeline.STAGES)["minhash near-dedup"](spark, table, "").collect()
+    assert {i for i, _ in docs} - {r.doc_id for r in kept} == gone
