@@ -8,11 +8,11 @@ conversation is rendered once more as a whole and has none. Inside the span of a
 that counts for the loss, two probes instead of its text, which differ in every
 letter, tell how much of the span goes before and after the text.
 
-Conversations are not gathered. Their turns are sorted inside partitions and pass by
-one at a time; a task holds the first turn, the last WINDOW to 2 * WINDOW turns,
-which are all of most conversations, and PIECE_CHARS of output at the most. A template
-thus sees its whole history up to 2 * WINDOW turns, and beyond that the first turn and
-the recent ones.
+Turns are sorted inside partitions and pass by one at a time. A template is given all turns so
+far, and nothing of a conversation goes out before its end, as the last turn may rewrite the
+first: a task holds one conversation and its output, and renders it once for each turn until
+history is rewritten. Only a template declared ``append_only`` is given the first turn and the
+last WINDOW to 2 * WINDOW ones; then a task holds these and PIECE_CHARS of output at the most.
 
 Defined results: turns go in the order of (turn, role, text), nulls first; null roles
 and texts count as empty; repeated rows are turns of their own; rows without conv_id
@@ -48,6 +48,14 @@ _IN_ROLE = re.compile(r"\\|###|</turn>|:")
 _TURN = re.compile(r"### ([^:]*): (.*?) </turn>\n", re.DOTALL)
 
 
+def append_only(template: Template) -> Template:
+    """Declare that the output for some turns goes on from that for the turns before them, and that what a
+    turn adds depends on no other turns than the first and the last ones."""
+    template.append_only = True
+    return template
+
+
+@append_only
 def marked_turns(turns: Turns) -> str:
     """The template of this package: ``### role: text </turn>`` for each turn, escaped."""
     return "".join(
@@ -88,9 +96,9 @@ def _text_span(template: Template, before: Turns, base: str, role: str, piece: s
 
 
 class Renderer:
-    """One conversation, turn by turn."""
+    """One conversation, turn by turn; ``window`` is None where the template is given all turns."""
 
-    def __init__(self, template: Template, roles: tuple[str, ...], window: int):
+    def __init__(self, template: Template, roles: tuple[str, ...], window: int | None):
         self.template, self.roles, self.window = template, roles, window
         self.turns: Turns = []
         self.base = template([])
@@ -98,20 +106,25 @@ class Renderer:
         self.opening = self.base
 
     def add(self, role: str, text: str) -> tuple[str, tuple[int, int] | None]:
-        """The span that a turn adds and where the loss counts in it."""
+        """The span that a turn adds and where the loss counts in it; none once history is rewritten."""
         turns = self.turns
-        if len(turns) >= 2 * self.window:
+        if self.rewrites:
+            turns.append((role, text))
+            return "", None
+        if self.window is not None and len(turns) >= 2 * self.window:
             del turns[1 : self.window + 1]
             self.base = self.template(turns)
         whole = self.template([*turns, (role, text)])
         before, self.base = self.base, whole
+        added, loss = whole[len(before) :], None
         if not whole.startswith(before):
-            self.rewrites = True
-        loss = None
-        if not self.rewrites and role in self.roles:
-            loss = _text_span(self.template, turns, before, role, whole[len(before) :])
+            if self.window is not None:
+                raise ValueError("a template declared append-only rewrites history")
+            self.rewrites, added = True, ""
+        elif role in self.roles:
+            loss = _text_span(self.template, turns, before, role, added)
         turns.append((role, text))
-        return whole[len(before) :], loss
+        return added, loss
 
 
 FORMATTED = (
@@ -124,10 +137,11 @@ def formatted(
     conversations: DataFrame,
     template: Template = marked_turns,
     loss_roles: tuple[str, ...] = LOSS_ROLES,
-    window: int = WINDOW,
+    window: int | None = None,
     piece_chars: int = PIECE_CHARS,
 ) -> DataFrame:
-    """The output of ``template`` for each conversation, in pieces that end with a turn.
+    """The output of ``template`` for each conversation, in pieces that end with a turn; where history
+    is rewritten, in one piece, rendered from all turns. ``window`` is for templates declared append-only.
 
     A row has conv_id, piece, the number of turns in it, the offset of its first character,
     the text, whether the template rewrites history, and spans: start and end of each turn
@@ -135,6 +149,10 @@ def formatted(
     and no spans at all where history is rewritten.
     Pieces of a conversation are consecutive rows of one partition.
     """
+    if getattr(template, "append_only", False):
+        window = WINDOW if window is None else window
+    elif window is not None:
+        raise ValueError("only a template declared append-only may be given a window of the turns")
     narrow = pick(conversations, "conv_id", "turn", "role", "text")
     kind = narrow.schema["conv_id"].dataType.simpleString()
     columns = FORMATTED.format(kind)
@@ -153,9 +171,14 @@ def formatted(
     def conversation(rows: Iterator[tuple[str, str]]) -> Iterator[dict]:
         renderer = Renderer(template, loss_roles, window)
         texts, spans, size, offset, piece = [renderer.opening], [], len(renderer.opening), 0, 0
+        waiting: list[dict] = []
         for role, text in rows:
             if size >= piece_chars:
-                yield _row(piece, offset, texts, spans, renderer.rewrites)
+                row = _row(piece, offset, texts, spans)
+                if window is None:
+                    waiting.append(row)
+                else:
+                    yield row
                 piece, offset, texts, spans, size = piece + 1, offset + size, [], [], 0
             added, loss = renderer.add(role, text)
             start = offset + size
@@ -164,10 +187,11 @@ def formatted(
             texts.append(added)
             size += len(added)
         if renderer.rewrites:
-            texts, turns = [renderer.base], len(spans)
-            yield _row(piece, offset, texts, [], True) | {"turns": turns}
+            whole, turns = template(renderer.turns), len(renderer.turns)
+            yield _row(0, 0, [whole], []) | {"turns": turns, "rewrites": True, "spans": None}
         else:
-            yield _row(piece, offset, texts, spans, False)
+            yield from waiting
+            yield _row(piece, offset, texts, spans)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, chars, own = [], 0, arrow
@@ -188,9 +212,8 @@ def formatted(
 _KINDS = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
 
 
-def _row(piece: int, offset: int, texts: list[str], spans: list[dict], rewrites: bool) -> dict:
-    shown = None if rewrites else spans
-    return {"piece": piece, "turns": len(spans), "offset": offset, "formatted": "".join(texts), "rewrites": rewrites, "spans": shown}
+def _row(piece: int, offset: int, texts: list[str], spans: list[dict]) -> dict:
+    return {"piece": piece, "turns": len(spans), "offset": offset, "formatted": "".join(texts), "rewrites": False, "spans": spans}
 
 
 def _conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, Iterator[tuple[str, str]]]]:

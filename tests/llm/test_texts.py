@@ -58,6 +58,32 @@ def test_templates_that_rewrite_history_are_told(spark):
     assert chat.formatted(spark.createDataFrame([], TURNS)).collect() == []
 
 
+def test_templates_are_given_all_of_a_long_conversation(spark):
+    def numbered(turns):
+        return "".join(f"{i}. {r}: {x}\n" for i, (r, x) in enumerate(turns))
+
+    def summed_up(turns):
+        """Turns before the last 200 are only named."""
+        return "".join(f"[{i} {r}]{x if i >= len(turns) - 200 else '...'}\n" for i, (r, x) in enumerate(turns))
+
+    turns = [("assistant" if t % 2 else "user", f"text {t}") for t in range(300)]
+    table = spark.createDataFrame([(c, t, *turn, "", 0) for c in (1, 2) for t, turn in enumerate(turns[: 300 // c])], TURNS)
+    pieces = defaultdict(list)
+    for r in chat.formatted(table, numbered, piece_chars=1000).collect():
+        pieces[r.conv_id].append(r)
+    for c, rows in pieces.items():
+        rows.sort(key=lambda r: r.piece)
+        whole = "".join(r.formatted for r in rows)
+        spans = [s for r in rows for s in r.spans]
+        assert len(rows) > 1 and whole == numbered(turns[: 300 // c]) and not any(r.rewrites for r in rows)
+        assert [whole[s.loss_start : s.loss_end] for s in spans if s.loss_start is not None] == [x for r, x in turns[: 300 // c] if r == "assistant"]
+    got = {r.conv_id: r for r in chat.formatted(table, summed_up, piece_chars=1000).collect() if r.conv_id == 1 or r.piece == 0}
+    assert got[1].rewrites and got[1].formatted == summed_up(turns) and (got[1].turns, got[1].piece, got[1].offset) == (300, 0, 0)
+    assert not got[2].rewrites and chat.formatted(table, summed_up, piece_chars=1000).filter("conv_id = 1").count() == 1
+    with pytest.raises(ValueError):
+        chat.formatted(table, numbered, window=64)
+
+
 def dice(one, two):
     a, b = ({*zip(w, w[1:])} for w in (licenses.words(one), licenses.words(two)))
     return 2 * len(a & b) / (len(a) + len(b)) if a and b else 0
