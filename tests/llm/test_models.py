@@ -117,3 +117,18 @@ def test_thresholds_by_language_and_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert all(r.kept for r in quality.judged(docs, none).collect())
     assert quality.judged(docs.limit(0), labels).collect() == []
+
+
+def test_the_quantile_drops_bad_text_that_was_not_seen(spark):
+    """A few trusted documents are noise, as labels have it; texts that are noise for the most part must go all the same."""
+    draw = random.Random(9)
+    noise = lambda: [("".join(draw.choice("bcdfghjkqvwxz0123456789#%") for _ in range(6))) for _ in range(60)]
+    good = [(i, " ".join(draw.choice(WORDS) for _ in range(60)), "en", "", 0) for i in range(600)]
+    noisy = [noise() for _ in range(5)]
+    bad = [(2000 + i, " ".join(noisy[i % 5][i // 5 : i // 5 + 40] + [draw.choice(WORDS) for _ in range(15)]), "en", "", 0) for i in range(60)]
+    labels = [(i, 1) for i in [*range(400), *range(1000, 1005)]]
+    docs = spark.createDataFrame(good + [(1000 + i, " ".join(w), "en", "", 0) for i, w in enumerate(noisy)] + bad, DOCS)
+    given = spark.createDataFrame(labels, "doc_id long, quality int")
+    got = {r.doc_id: r.kept for r in quality.judged(docs, given).collect()}
+    assert sum(got[r[0]] for r in bad) <= 3
+    assert sum(not got[r[0]] for r in good[400:]) <= 20
