@@ -9,8 +9,10 @@ wherever the item repeats a value, the document must repeat one too, be it the s
 or another. So copies are found, and questions asked anew with other numbers and names,
 but not texts that only share a turn of phrase.
 
-Of an item's windows only those count that have LITERALS words outside slots, scaled down
-for items shorter than a window; an item without any such window matches nothing.
+Of an item's windows only those count as templates that have LITERALS words outside slots, scaled
+down for items shorter than a window. Beside its template every window has a literal form, the
+words in lower case with their values, which always counts; so copies of items made of numbers or
+names, and copies in capitals or in lower case, are found. Values are compared in lower case.
 
 Defined results: null and empty texts hold no window and are clean; items without item_id or
 text are left out; of items with equal templates and slots the smallest item_id stands for all;
@@ -65,6 +67,11 @@ def _template(token: Column) -> Column:
     return F.coalesce(_slot(token), F.lower(token))
 
 
+def _forms(token: Column) -> Column:
+    """A word's hash in its template and in its literal form."""
+    return F.struct(F.xxhash64(_template(token)).alias("typed"), F.xxhash64(F.lit("literal"), F.lower(token)).alias("literal"))
+
+
 def _windows(hashes: Column, length: int) -> Column:
     """Hashes of all windows of ``length``; places after the last full window hold what does not count."""
     if length == 1:
@@ -75,12 +82,15 @@ def _windows(hashes: Column, length: int) -> Column:
 
 
 def _exploded(rows: DataFrame, keep: list[str], hashes: str, lengths: list[int]) -> DataFrame:
-    """``keep``, length, place and hash of every window; one array of hashes is made in a stage of its own."""
+    """``keep``, length, as_is (the literal form), place and hash of every window in both forms; one array of hashes is made in a stage of its own."""
     out = None
     for length in lengths:
-        full = F.slice(_windows(F.col(hashes), length), F.lit(1), F.greatest(F.size(hashes) - length + 1, F.lit(0)))
-        part = rows.select(*keep, F.lit(length).alias("length"), F.posexplode(full).alias("place", "window"))
-        out = part if out is None else out.union(part)
+        for form in ("typed", "literal"):
+            full = F.slice(_windows(F.col(hashes)[form], length), F.lit(1), F.greatest(F.size(hashes) - length + 1, F.lit(0)))
+            part = rows.select(
+                *keep, F.lit(length).alias("length"), F.lit(form == "literal").alias("as_is"), F.posexplode(full).alias("place", "window")
+            )
+            out = part if out is None else out.union(part)
     return out
 
 
@@ -93,19 +103,19 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
         .filter(F.size("item_tokens") > 0)
         .groupBy("item_tokens")
         .agg(F.min("item").alias("item"))
-        .withColumn("hashes", F.transform("item_tokens", lambda t: F.xxhash64(_template(t))))
+        .withColumn("hashes", F.transform("item_tokens", _forms))
     )
 
 
 def _index(items: DataFrame, lengths: list[int]) -> DataFrame:
-    """Windows of the items that count: length, window, item, item_place and how many hits the item needs."""
+    """Windows of the items that count: length, as_is, window, item, item_place and how many hits of the form the item needs."""
     literal = items.withColumn("literal", F.transform("item_tokens", lambda t: _slot(t).isNull().cast("int")))
     sized = literal.withColumn("own", F.least(F.size("item_tokens"), F.lit(WINDOW)))
     windows = _exploded(sized, ["item", "own", "literal"], "hashes", lengths).filter("length = own")
     words = F.aggregate(F.slice("literal", F.col("place") + 1, F.col("length")), F.lit(0), lambda a, b: a + b)
-    counting = windows.filter(words * WINDOW >= F.col("length") * LITERALS).drop("literal", "own")
-    needed = counting.groupBy("item").agg(F.least(F.count("*"), F.lit(HITS)).alias("needed"))
-    return counting.withColumnRenamed("place", "item_place").join(needed, "item")
+    counting = windows.filter(F.col("as_is") | (words * WINDOW >= F.col("length") * LITERALS)).drop("literal", "own")
+    needed = counting.groupBy("item", "as_is").agg(F.least(F.count("*"), F.lit(HITS)).alias("needed"))
+    return counting.withColumnRenamed("place", "item_place").join(needed, ["item", "as_is"])
 
 
 def _key() -> Column:
@@ -121,11 +131,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     index = saved(_index(items, sorted(lengths) or [WINDOW]))
     if index.count() <= BROADCAST_WINDOWS:
         index = F.broadcast(index)
-    hashed = docs.select("key", F.transform(tokens(F.col("text")), lambda t: F.xxhash64(_template(t))).alias("hashes"))
-    hits = _exploded(hashed, ["key"], "hashes", sorted(lengths) or [WINDOW]).join(index, ["length", "window"])
+    hashed = docs.select("key", F.transform(tokens(F.col("text")), _forms).alias("hashes"))
+    hits = _exploded(hashed, ["key"], "hashes", sorted(lengths) or [WINDOW]).join(index, ["length", "as_is", "window"])
     aligned = (
         hits.withColumn("distance", F.col("place") - F.col("item_place"))
-        .groupBy("key", "item", "distance")
+        .groupBy("key", "item", "distance", "as_is")
         .agg(
             F.count_distinct("item_place").alias("hits"),
             F.first("needed").alias("needed"),
@@ -146,8 +156,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         ),
     )
     slots = F.filter(pairs, lambda p: _slot(p["asked"]).isNotNull() & (_slot(p["asked"]) == _slot(p["found"])))
-    judged = both.withColumn("pairs", slots).withColumn("asked", F.transform("pairs", lambda p: p["asked"]))
-    consistent = F.size(F.array_distinct("asked")) == F.size(F.array_distinct("pairs"))
+    small = F.transform(slots, lambda p: F.struct(F.lower(p["asked"]).alias("asked"), F.lower(p["found"]).alias("found")))
+    judged = both.withColumn("pairs", small).withColumn("asked", F.transform("pairs", lambda p: p["asked"]))
+    # Where literal forms hit, the values are the item's own; words between such windows do not undo that.
+    consistent = F.col("as_is") | (F.size(F.array_distinct("asked")) == F.size(F.array_distinct("pairs")))
     return (
         judged.filter(consistent)
         .select("key", "item", "hits", F.size("pairs").alias("slots"), F.forall("pairs", lambda p: p["asked"] == p["found"]).alias("exact"))

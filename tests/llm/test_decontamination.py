@@ -1,3 +1,5 @@
+import re
+
 from millrace.llm import decontamination
 
 SCHEMA = "doc_id long, text string, key string, Item long, place int"
@@ -58,3 +60,22 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert all(r.kept for r in decontamination.judged(docs, none).collect())
     assert decontamination.judged(docs.limit(0), spark.createDataFrame(ITEMS, none.schema)).collect() == []
+
+
+def test_copies_word_for_word_in_any_case_and_of_items_without_literals(spark):
+    items = [
+        (1, "What is 12 + 37 - 5 * 4 + 19 / 2 ?"),
+        (2, "Compute 3 4 5 6 7 8 9 10 11."),
+        (3, "Anna Bert Clara David Emma Fritz Greta Hans Ida Jakob"),
+        (4, "Der Hund des Nachbarn bellt jeden Morgen vor dem Haus der alten Frau Meier"),
+        (5, "Tom has 12 apples and gives 5 apples to Anna before he walks 3 km home and eats 5 more of them"),
+    ]
+    made = [f"some words before {form(text)} and others after" for _, text in items for form in (str, str.lower, str.upper)]
+    made += ["Compute 3 4 5 6 7 8 9 10 12.", "Anna Bert Clara David Emma Karl Greta Hans Ida Jakob", "What is 13 + 37 - 5 * 4 + 18 / 2 ?"]
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").repartition(3)
+    words = lambda text: re.findall(r"[0-9]+(?:[.,][0-9]+)*|[^\W\d_]\w*", text.lower())
+    holds = lambda text, item: any(text[i : i + len(item)] == item for i in range(len(text)))
+    want = {i: [n for n, item in items if holds(words(text), words(item))] for i, text in enumerate(made)}
+    assert sum(map(len, want.values())) == 15
+    got = {r.doc_id: r["items"] for r in decontamination.judged(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == want
