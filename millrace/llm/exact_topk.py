@@ -18,7 +18,7 @@ Vectors of different lengths are compared over their shared leading components;
 scores 0 with all. Ties go to the smaller id. Rows that share an id are candidates each, and none
 of them to a query of that id; among queries that share an id the vector least in order asks for
 all. Equal rows are rows each, so one of them may appear several times. Empty tables give an empty
-result. Whole numbers beyond 10^15 count as 10^15, scores beyond a long as its bounds. Other
+result. Whole numbers beyond 10^15 count as 10^15, scores beyond 2^63 - 1 in size as that. Other
 columns do not matter.
 """
 

@@ -32,7 +32,8 @@ MAX_CELLS = 4096
 
 #: Whole numbers beyond it count as it; all up to it are exact.
 LARGEST = 1e15
-LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
+HIGHEST = (1 << 63) - 1
+LOWEST = -HIGHEST
 _EXACT = float(1 << 53)
 #: Vectors of very different lengths are kept in different cells: numbers of cells are (class, own number).
 _CLASS = 1 << 20
@@ -85,7 +86,7 @@ def whole(x: np.ndarray) -> np.ndarray:
 
 
 def dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of the rows of ``a`` and ``b``, of the same width; beyond a long its least or largest value."""
+    """Inner products of the rows of ``a`` and ``b``, of the same width; beyond 2^63 - 1 in size that."""
     if small(a, b):
         return (a @ b.T).astype(np.int64)
     return np.clip(whole(a) @ whole(b).T, LOWEST, HIGHEST).astype(np.int64)
