@@ -134,6 +134,19 @@ def variant_path(path: str) -> str:
     return "$" + "".join(f"['{key}']" for key in keys)
 
 
+def path_text(path: str) -> str:
+    """A dotted ``path`` as a value for ``extract_text``: the form VARIANT functions take, else its keys as JSON."""
+    keys = path.split(".")
+    return variant_path(path) if all(_PLAIN_KEY.fullmatch(key) for key in keys) else json.dumps(keys)
+
+
+def extract_text(document: Column, path: Column) -> Column:
+    """``extract`` with a path that differs by row, as ``path_text`` gives it."""
+    keys = F.from_json(path, "array<string>")
+    walked = F.aggregate(keys, document, lambda found, key: F.try_element_at(fields(found), key))
+    return F.when(path.startswith("$"), F.try_variant_get(document, path, "variant")).otherwise(walked)
+
+
 def flat_object(document: Column, mapping: dict[str, str], tags: dict[str, str]) -> Column:
     """Text of the object with the values ``mapping`` (new key to path) finds, and ``tags``.
 

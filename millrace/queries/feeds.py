@@ -196,7 +196,8 @@ SSE_SQL = """select conv_id * 1000 + turn as timestamp, text,
        from conversations"""
 
 
-def _turns(events):
+def turns(events):
+    """Time, text and type of the events that blocks of text became."""
     parsed = J.with_document(events)
     data = F.try_variant_get("_doc", "$.data", "string")
     return parsed.select("timestamp", data.alias("text"), "type")
@@ -204,13 +205,13 @@ def _turns(events):
 
 @query(SSE_SQL)
 def sse_blocks(spark, sf_dir):
-    return _turns(sse_events(sse_lines(spark, sf_dir)))
+    return turns(sse_events(sse_lines(spark, sf_dir)))
 
 
 @query(SSE_SQL)
 def sse_one_connection(spark, sf_dir):
     """All turns on one connection, which is worked on in slices."""
-    return _turns(sse_events(sse_lines(spark, sf_dir, one_connection=True), 1000))
+    return turns(sse_events(sse_lines(spark, sf_dir, one_connection=True), 1000))
 
 
 @query(
@@ -229,7 +230,7 @@ def sse_long_blocks(spark, sf_dir):
         F.col("doc_id").alias("_place"),
         F.floor(F.col("doc_id") / 10_000).alias("_slice"),
     )
-    return _turns(sse_events(numbered_lines(blocks))).select("timestamp", "text")
+    return turns(sse_events(numbered_lines(blocks))).select("timestamp", "text")
 
 
 def past_limits(user: Column) -> dict[str, Column]:

@@ -400,8 +400,7 @@ def counters_published(spark, sf_dir):
     return metrics.published(run(user_events(spark, sf_dir, wide_payload()), PipelineSpec.from_dict(SPEC)))
 
 
-@query(
-    f"""with recursive {chain_sql(FLAT_SQL, 3000)}, wide as (select event_id as seq, {WIDE_SQL} as raw from events)
+REDUCTION_SQL = f"""with recursive {chain_sql(FLAT_SQL, 3000)}, wide as (select event_id as seq, {WIDE_SQL} as raw from events)
     select stream_id, count(*) as events_ingested,
            cast(sum(octet_length(encode(raw))) as bigint) as bytes_ingested,
            count(*) filter (where f.seq is null) as dropped_filter,
@@ -415,7 +414,9 @@ def counters_published(spark, sf_dir):
     left join (select seq from deduped) d using (seq)
     left join (select seq from passed) p using (seq)
     group by stream_id"""
-)
+
+
+@query(REDUCTION_SQL)
 def reduction_report(spark, sf_dir):
     fate = run(user_events(spark, sf_dir, wide_payload()), PipelineSpec.from_dict(SPEC), keep_dropped=True)
     return metrics.reduction(fate)

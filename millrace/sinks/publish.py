@@ -96,6 +96,12 @@ def start_append_all(events: DataFrame, path: str, checkpoint: str, **trigger) -
     return _start(with_partitions(_marked(events)), path, ["published", *LOG_PARTITIONS], checkpoint, trigger)
 
 
+def start_fates(fates: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Append the fates of a stream's events, those that went on apart from those each stage dropped."""
+    told = fates.withColumn("fate", F.coalesce("dropped_by", F.lit("published")))
+    return _start(told, path, ["fate"], checkpoint, trigger)
+
+
 def _start(rows: DataFrame, path: str, by: list[str], checkpoint: str, trigger: dict) -> StreamingQuery:
     writer = rows.writeStream.format("parquet").outputMode("append")
     writer = writer.partitionBy(*by).option("checkpointLocation", checkpoint)

@@ -30,8 +30,17 @@ def sse_events(lines: DataFrame, slice_rows: int = SLICE) -> DataFrame:
 
     An event takes the sequence number and time of the blank line that ends it.
     """
+    told = told_lines(_sliced(lines, slice_rows))
+    counted = running_total(told, CONNECTION, "_slice", "seq", "_blank", "_block")
+    # What follows the last blank line is no block yet.
+    blocks = _blocks(counted.filter("_block < _total"))
+    return as_envelopes(_with_pending_name(blocks, slice_rows).filter("_text is not null"))
+
+
+def told_lines(lines: DataFrame) -> DataFrame:
+    """Add what each line is: ``_blank`` is 1 for a blank one, ``_name`` and ``_data`` are what follows a prefix."""
     text = F.regexp_replace("line", r"\r\z", "")
-    told = _sliced(lines, slice_rows).withColumns(
+    return lines.withColumns(
         {
             "_blank": (text == "").cast("long"),
             "_name": F.when(text.startswith(NAME_PREFIX), _trimmed(F.substr(text, F.lit(7)))),
@@ -41,11 +50,11 @@ def sse_events(lines: DataFrame, slice_rows: int = SLICE) -> DataFrame:
             ),
         }
     )
-    counted = running_total(told, CONNECTION, "_slice", "seq", "_blank", "_block")
-    # What follows the last blank line is no block yet.
-    blocks = _blocks(counted.filter("_block < _total"))
-    typed = _with_pending_name(blocks, slice_rows).filter("_text is not null")
-    parsed = J.with_document(typed, "_text", "_doc")
+
+
+def as_envelopes(blocks: DataFrame) -> DataFrame:
+    """Envelopes of blocks with their text ``_text`` and the name ``_type`` that is due."""
+    parsed = J.with_document(blocks, "_text", "_doc")
     payload = F.when(J.is_json(F.col("_doc"), "_text"), F.col("_text")).otherwise(J.as_data_object(F.col("_text")))
     type_ = F.when(F.col("_type") == "", DEFAULT_TYPE).otherwise(F.coalesce("_type", F.lit(DEFAULT_TYPE)))
     return envelopes(parsed, type_, payload)

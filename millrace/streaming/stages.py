@@ -213,7 +213,7 @@ def batch(df: DataFrame, max_size: int, interval_ms: int, live: bool = False) ->
 def open_batches(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Batches that were open when the query of ``checkpoint`` ended, with the time of their last event's tick.
 
-    They stand in the state, so a restarted query goes on with them; one that is over hands them out here.
+    Those of streams with changing specs have their ``epoch``. They stand in the state, so a restarted query goes on with them; one that is over hands them out here.
     """
     operators = spark.read.format("state-metadata").load(checkpoint).filter(F.col("operatorProperties").contains('"open"'))
     number = operators.select("operatorId").first()
@@ -222,8 +222,10 @@ def open_batches(spark: SparkSession, checkpoint: str) -> DataFrame:
     state = spark.read.format("statestore").option("operatorId", number[0])
     members = state.option("stateVarName", "open").option("flattenCollectionTypes", "false").load(checkpoint)
     due = spark.read.format("statestore").option("operatorId", number[0]).option("stateVarName", "due").load(checkpoint)
+    epoch = ["epoch"] if "epoch" in due.schema["value"].dataType.fieldNames() else []
+    held = [F.col(f"value.{name}").alias(name) for name in ["due", *epoch]]
     rows = members.select(F.col("key").getField("stream_id").alias("stream_id"), F.col("list_value").alias("m")).join(
-        due.select(F.col("key").getField("stream_id").alias("stream_id"), F.col("value.due").alias("due")), "stream_id"
+        due.select(F.col("key").getField("stream_id").alias("stream_id"), *held), "stream_id"
     )
     texts = F.transform("m", lambda member: F.coalesce(member["payload"], F.lit("null")))
     return rows.filter(F.size("m") > 0).select(
@@ -234,4 +236,5 @@ def open_batches(spark: SparkSession, checkpoint: str) -> DataFrame:
         F.col("due").alias("timestamp"),
         F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias("payload"),
         F.element_at("m", 1)["seq"].alias("seq"),
+        *epoch,
     )
