@@ -6,9 +6,9 @@ inside an array whose second element is the text's own hash: the whole text is
 one JSON value exactly when that array has two elements and the hash is found
 in its place. One parse gives both the verdict and the value.
 
-The parser refuses texts nested more than about 1,000 levels deep and very long
-strings, names and numbers. ``is_json`` judges those by their skeleton instead, so
-that they count as the JSON they are; their members cannot be read.
+The parser takes up to 1,000 levels and numbers of up to 1,000 digits. What it refuses beyond
+them may or may not be JSON: ``unjudged`` finds such texts, and they are neither wrapped nor
+published, but set aside as they stand.
 """
 
 from __future__ import annotations
@@ -30,16 +30,8 @@ OBJECT_START = r"\A[ \t\r\n]*\{"
 DECIMAL_TEXT = r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 SPECIAL_TEXT = r"(?i)\A([+-]?inf|[+-]?infinity|nan)\z"
 
-# The deepest nesting that counts as JSON, and the grammar's tokens.
-MAX_DEPTH = 10_000
-CHAIN = 64
-STRING = r'"[^"\\\x00-\x1f]*+"'
-ESCAPE = r'\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})'
-SCALAR = r"true|false|null|-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?[0-9]++)?+"
-
-# Sizes below which the parser refuses no JSON text.
-SAFE_LENGTH = 40_000
-SAFE_DEPTH = 900
+# Brackets that a refused text opens, and digits of a number in it, from which on it is not judged.
+DEEP = 900
 LONG_NUMBER = r"[0-9]{900}"
 
 
@@ -61,42 +53,18 @@ def with_document(df: DataFrame, text: str = "payload", document: str = "_doc")
     )
 
 
-def is_json(document: Column, text: str = "payload") -> Column:
-    """Whether ``text``, from which ``document`` was parsed, is one JSON value; never NULL."""
-    source = F.col(text)
-    opened = F.length(source) - F.length(F.translate(source, "[{", ""))
-    beyond = (F.length(source) > SAFE_LENGTH) | (opened > SAFE_DEPTH) | source.rlike(LONG_NUMBER)
-    judged = F.when(source.rlike(ANY_START) & beyond, _skeleton(source, opened).rlike(r"\A[\x01\x02]\z"))
-    return F.when(document.isNotNull(), True).otherwise(F.coalesce(judged, F.lit(False)))
-
-
-def _skeleton(text: Column, opened: Column) -> Column:
-    """``text`` with its strings and scalars as single characters and its containers folded up.
+def is_json(document: Column) -> Column:
+    """Whether the text from which ``document`` was parsed is one JSON value; never NULL."""
+    return document.isNotNull()
 
-    One character is left when ``text`` is one JSON value. Characters 1 (a string) and 2 (any
-    other value) stand for values, so a text that holds them from the start is none. Escapes
-    become a letter, which is of no use outside strings. Each round folds the innermost level, and in texts that cannot be
-    too deep also chains of ``CHAIN`` levels at once; there are no more rounds than ``opened``, the
-    number of opening brackets.
-    """
-    told = F.when(~text.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f]"), F.regexp_replace(text, ESCAPE, "x"))
-    told = F.regexp_replace(told, STRING, "\x01")
-    told = F.regexp_replace(told, SCALAR, "\x02")
-    told = F.regexp_replace(told, r"[ \t\r\n]+", "")
-    array = r"\[(?:[\x01\x02](?:,[\x01\x02])*+)?+\]"
-    members = r"\{(?:\x01:[\x01\x02](?:,\x01:[\x01\x02])*+)?+\}"
-    rounds = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(opened, F.lit(MAX_DEPTH))))
 
-    chains = rf"\[{{{CHAIN}}}[\x01\x02]\]{{{CHAIN}}}|(?:\{{\x01:){{{CHAIN}}}[\x01\x02]\}}{{{CHAIN}}}"
-
-    def folded(pattern: str) -> Column:
-        def fold(left: Column, _: Column) -> Column:
-            return F.when(F.length(left) < 2, left).otherwise(F.regexp_replace(left, pattern, "\x02"))
-
-        return F.aggregate(rounds, told, fold)
-
-    exact = f"{array}|{members}"
-    return F.when(opened > MAX_DEPTH, folded(exact)).otherwise(folded(f"{chains}|{exact}"))
+def unjudged(document: Column, text: str = "payload") -> Column:
+    """Whether the parser refused ``text`` for what may be its depth or the length of a number; never NULL."""
+    source = F.col(text)
+    opened = F.length(source) - F.length(F.translate(source, "[{", ""))
+    beyond = source.rlike(ANY_START) & ((opened > DEEP) | source.rlike(LONG_NUMBER))
+    refused = document.isNull() & (F.length(source) > DEEP)
+    return F.when(refused, beyond).otherwise(F.lit(False))
 
 
 def fields(document: Column) -> Column:

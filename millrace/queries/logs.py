@@ -11,6 +11,7 @@ from millrace.queries.stages import DAY
 from millrace.queries.tables import env_sql, table, user_events
 from millrace.session import shared_folder
 from millrace.sinks.log import keep_newest, keep_young, replay, routed, unrouted
+from millrace.sinks.manifest import append_measured, newest_of
 from millrace.sinks.publish import (
     append,
     append_all,
@@ -20,6 +21,7 @@ from millrace.sinks.publish import (
     serialised,
     valid_topic,
 )
+from millrace.sinks.subjects import routed_by_table
 
 MESSAGE_SQL = (
     "'{\"source\":\"' || source || '\",\"type\":\"' || type || '\",\"timestamp\":' || timestamp"
@@ -59,9 +61,10 @@ def publish_one_pass(spark, sf_dir):
     """Log and quarantine from one write, each read back on its own."""
     path = f"{shared_folder(spark)}/log-{uuid.uuid4().hex}"
     append_all(_damaged(spark, sf_dir), path)
-    good = published(spark, path).withColumn("published", F.lit(True))
-    bad = quarantined(spark, path).withColumn("published", F.lit(False))
-    return good.unionByName(bad).select("stream_id", "seq", "topic", "published", "payload", "message")
+    names = ["stream_id", "seq", "topic", "published", "payload", "message"]
+    good = published(spark, path).withColumn("published", F.lit(True)).select(names)
+    bad = quarantined(spark, path).withColumn("published", F.lit(False)).select(names)
+    return good.unionByName(bad)
 
 
 @query(
@@ -112,6 +115,40 @@ def subject_replay(spark, sf_dir):
     return replay(user_events(spark, sf_dir), "shop.>").select("seq", "topic", "timestamp")
 
 
+def _patterns(spark, sf_dir):
+    """Patterns ``(log, rank, pattern)``, five for each customer: thousands, of every shape."""
+    key = F.col("c_custkey").cast("string")
+    shapes = [("own", 1, "shop.purchase.u", ""), ("any", 3, "shop.*.u", ""), ("deep", 2, "*.click.u", ".>"), ("late", 4, "shop.view.u", ".*.*"), ("none", 0, "web.u", ".>")]
+    shapes = F.array(
+        *(
+            F.struct(F.lit(log).alias("log"), F.lit(rank).alias("rank"), F.concat(F.lit(head), key, F.lit(tail)).alias("pattern"))
+            for log, rank, head, tail in shapes
+        )
+    )
+    customers = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 2 == 0)
+    return customers.select(F.explode(shapes).alias("p")).select("p.log", "p.rank", "p.pattern")
+
+
+@query(
+    """with t as (
+        select event_id as seq, 'shop.' || event_type || '.u' || user_id ||
+               case event_id % 4 when 0 then '' when 1 then '.a' when 2 then '.a.b' else '.a.b.c' end as topic,
+               event_type, event_id % 4 as more, c_custkey is not null as known
+        from events left join customer on c_custkey = user_id and c_custkey % 2 = 0)
+    select seq, topic, case when not known then null
+                            when event_type = 'purchase' and more = 0 then 'own'
+                            when event_type = 'click' and more > 0 then 'deep'
+                            when more = 0 then 'any'
+                            when event_type = 'view' and more = 2 then 'late' end as log from t"""
+)
+def subject_index(spark, sf_dir):
+    """Thousands of patterns from a table: every message once, with its log or with none."""
+    more = F.element_at(F.array(*(F.lit(t) for t in ("", ".a", ".a.b", ".a.b.c"))), (F.col("event_id") % 4 + 1).cast("int"))
+    topic = F.concat(F.lit("shop."), "event_type", F.lit(".u"), F.col("user_id").cast("string"), more)
+    messages = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), topic.alias("topic"))
+    return routed_by_table(messages, _patterns(spark, sf_dir))
+
+
 # 2024-01-20, in milliseconds.
 NOW = 1_705_708_800_000
 
@@ -132,6 +169,21 @@ def retention_bytes(spark, sf_dir):
     return keep_newest(sized, 50_000).select("log", "seq")
 
 
+@query(
+    f"""with {env_sql()},
+    sized as (select seq, type as log, sum(octet_length(encode({MESSAGE_SQL})))
+                over (partition by type order by timestamp desc, seq desc) as upto from env)
+    select log, seq from sized where upto <= 50000"""
+)
+def retention_manifest(spark, sf_dir):
+    """The same of a stored log that was appended to twice: its manifest tells which hours are read."""
+    path = f"{shared_folder(spark)}/log-{uuid.uuid4().hex}"
+    messages = serialised(user_events(spark, sf_dir)).withColumn("log", F.col("type"))
+    for part in (0, 1):
+        append_measured(messages.filter(F.col("seq") % 2 == part), path)
+    return newest_of(spark, path, 50_000).select("log", "seq")
+
+
 @query(
     f"""with {env_sql()}
     select cast(strftime(make_timestamp(timestamp * 1000), '%Y-%m-%d') as varchar) as day, 'shop' as topic_root,

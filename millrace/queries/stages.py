@@ -462,7 +462,7 @@ SPELLINGS_SQL = """spelled as (
 )
 def json_check_and_wrap(spark, sf_dir):
     df = J.with_document(_spellings(table(spark, sf_dir, "events")), "text")
-    valid = J.is_json(F.col("_doc"), "text")
+    valid = J.is_json(F.col("_doc"))
     return df.select(
         "event_id",
         "spelling",

@@ -83,10 +83,10 @@ def keep_newest(
     )
     # Both tables of edges hold one row per log at most.
     hours = sized.groupBy(log, "_hour").agg(F.sum("_bytes").alias("_sum"), F.lit(0).alias("_newer"))
-    hours = checkpointed(_edge(hours, log, "_hour", max_bytes))
+    hours = checkpointed(edge_of(hours, log, "_hour", max_bytes))
     in_hour = bounded_join(sized, hours, [log, "_hour"], hours.count(), "inner")
     times = in_hour.groupBy(log, "timestamp", "_newer").agg(F.sum("_bytes").alias("_sum"))
-    times = checkpointed(_edge(times, log, "timestamp", max_bytes).withColumnRenamed("timestamp", "_edge"))
+    times = checkpointed(edge_of(times, log, "timestamp", max_bytes).withColumnRenamed("timestamp", "_edge"))
     rows = bounded_join(sized, times, [log], times.count())
     newest = Window.partitionBy(log).orderBy(F.desc("seq"), F.desc("stream_id"))
     last = (
@@ -99,7 +99,7 @@ def keep_newest(
     return whole.select(names).unionByName(last.select(names))
 
 
-def _edge(sums: DataFrame, log: str, time: str, limit: int) -> DataFrame:
+def edge_of(sums: DataFrame, log: str, time: str, limit: int) -> DataFrame:
     """Per log, the newest ``time`` whose sum goes over the limit, with the bytes newer than it."""
     newer = Window.partitionBy(log).orderBy(F.desc(time)).rowsBetween(Window.unboundedPreceding, -1)
     ahead = F.coalesce(F.sum("_sum").over(newer), F.lit(0)) + F.col("_newer")

@@ -11,6 +11,9 @@ from millrace.functions import json_text as J
 # The characters a topic may have.
 TOPIC_TEXT = r"\A[a-zA-Z0-9._-]+\z"
 
+# Why an event is set aside.
+NO_JSON, BEYOND_LIMITS = "no JSON", "beyond the parser's limits"
+
 
 def valid_topic(topic="topic"):
     """Whether a topic is a plain name, free of wildcards and blanks."""
@@ -18,10 +21,11 @@ def valid_topic(topic="topic"):
 
 
 def serialised(events: DataFrame) -> DataFrame:
-    """Add ``message``, the JSON text of the four envelope fields.
+    """Add ``message``, the JSON text of the four envelope fields, and ``refused``.
 
     The payload goes in as the JSON it is; a NULL payload becomes ``null``. For a
-    payload that is not JSON ``message`` is NULL.
+    payload that is not JSON ``message`` is NULL, and ``refused`` says why: it is no JSON, or
+    it is beyond the parser's limits, so that it could not be judged.
     """
     head = F.to_json(F.struct("source", "type", "timestamp"))
     text = F.concat(
@@ -31,7 +35,8 @@ def serialised(events: DataFrame) -> DataFrame:
         F.lit("}"),
     )
     whole = F.col("payload").isNull() | J.is_json(F.col("_doc"))
-    return J.with_document(events).withColumn("message", F.when(whole, text)).drop("_doc")
+    why = F.when(J.unjudged(F.col("_doc")), BEYOND_LIMITS).when(~whole, NO_JSON)
+    return J.with_document(events).withColumns({"message": F.when(whole, text), "refused": why}).drop("_doc")
 
 
 def publishable(events: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -40,7 +45,7 @@ def publishable(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     Writing both runs ``events`` twice; ``append_all`` and ``start_append_all`` write them in one pass.
     """
     checked = serialised(events)
-    good = checked.filter("message is not null")
+    good = checked.filter("message is not null").drop("refused")
     return good, checked.filter("message is null").drop("message")
 
 
@@ -69,14 +74,19 @@ def append_all(events: DataFrame, path: str) -> None:
 
 def published(spark: SparkSession, path: str) -> DataFrame:
     """The log that ``append_all`` or ``start_append_all`` wrote; nothing of the quarantine is read."""
-    return spark.read.parquet(path).filter("published = 'true'").drop("published")
+    return spark.read.parquet(path).filter("published = 'true'").drop("published", "refused")
 
 
 def quarantined(spark: SparkSession, path: str) -> DataFrame:
-    """The events that were set aside next to that log; their ``message`` is NULL."""
+    """The events that were set aside next to that log; their ``message`` is NULL, ``refused`` says why."""
     return spark.read.parquet(path).filter("published = 'false'").drop("published")
 
 
+def refusals(quarantine: DataFrame) -> DataFrame:
+    """How many events of each stream were set aside, by reason."""
+    return quarantine.groupBy("stream_id", "refused").agg(F.count("*").alias("events"))
+
+
 def _marked(events: DataFrame) -> DataFrame:
     return serialised(events).withColumn("published", F.col("message").isNotNull())
 

@@ -31,9 +31,13 @@ def websocket_events(frames: DataFrame) -> DataFrame:
 
 
 def json_or_string(df: DataFrame, text: str, output: str) -> DataFrame:
-    """Add ``output``: ``text`` itself where it is JSON, else as a JSON string."""
+    """Add ``output``: ``text`` itself where it is JSON, else as a JSON string.
+
+    A text that the parser cannot judge stays as it is, for the sink to set aside.
+    """
     parsed = J.with_document(df, text, "_parsed")
-    value = F.when(J.is_json(F.col("_parsed"), text), F.col(text)).otherwise(J.as_json_string(F.col(text)))
+    as_it_stands = J.is_json(F.col("_parsed")) | J.unjudged(F.col("_parsed"), text)
+    value = F.when(as_it_stands, F.col(text)).otherwise(J.as_json_string(F.col(text)))
     return parsed.withColumn(output, value).drop("_parsed")
 
 

@@ -55,7 +55,8 @@ def told_lines(lines: DataFrame) -> DataFrame:
 def as_envelopes(blocks: DataFrame) -> DataFrame:
     """Envelopes of blocks with their text ``_text`` and the name ``_type`` that is due."""
     parsed = J.with_document(blocks, "_text", "_doc")
-    payload = F.when(J.is_json(F.col("_doc"), "_text"), F.col("_text")).otherwise(J.as_data_object(F.col("_text")))
+    as_it_stands = J.is_json(F.col("_doc")) | J.unjudged(F.col("_doc"), "_text")
+    payload = F.when(as_it_stands, F.col("_text")).otherwise(J.as_data_object(F.col("_text")))
     type_ = F.when(F.col("_type") == "", DEFAULT_TYPE).otherwise(F.coalesce("_type", F.lit(DEFAULT_TYPE)))
     return envelopes(parsed, type_, payload)
 

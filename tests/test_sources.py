@@ -15,6 +15,7 @@ from millrace.sources.captures import (
     websocket_events,
 )
 from millrace.sources.dispatch import collect_events, normaliser
+from millrace.sinks.publish import BEYOND_LIMITS, refusals, serialised
 from millrace.sources.sse import sse_events
 from millrace.sources.stored import from_json_lines
 
@@ -53,18 +54,22 @@ def nested(depth, closed=None):
 
 
 def test_texts_the_parser_refuses(spark):
+    """What is beyond its limits is set aside as it stands, and counted; other texts that are no JSON are wrapped."""
     key = "k" * 60_000
+    beyond, no_json, whole = BEYOND_LIMITS, "wrapped", None
     texts = {
-        nested(1100): True, nested(1100, 1099): False, nested(1100, 1101): False,
-        nested(10_000): True, nested(10_001): False,
-        '{"a":' * 1100 + '"]\\""' + "}" * 1100: True, '{"a":' * 1100 + '"\\q"' + "}" * 1100: False,
-        '{"a" : [ 1,' * 600 + "null" + "] }" * 600: True, '{"a" : [ 1,' * 600 + "nul" + "] }" * 600: False,
-        "7" * 1500: True, "0" + "7" * 1500: False, "-1." + "7" * 1500 + "e-5": True, "1." + "7" * 1500 + ".5": False,
-        f'{{"{key}":[true]}}': True, f'{{"{key}":[true,]}}': False, f'{{"{key}\t":1}}': False, f'{{"{key}":1}} x': False,
+        nested(999): whole, nested(1000): beyond, nested(1100, 1099): beyond, nested(10_001): beyond,
+        '{"a":' * 1100 + '"]\\""' + "}" * 1100: beyond, '{"a" : [ 1,' * 400 + "null" + "] }" * 400: whole,
+        "7" * 1000: whole, "7" * 1500: beyond, "-1." + "7" * 1500 + "e-5": beyond, "0" + "7" * 800: no_json,
+        f'{{"{key[:40_000]}":[true]}}': whole, f'{{"{key[:40_000]}":[true,]}}': no_json, "[plain text": no_json, "[" * 300: no_json,
+        "see " + "[" * 2000: no_json,
     }
-    events = rest_events(capture(spark, "status int, body string", [(200, text) for text in texts]))
-    whole = [payload == text for (_, _, payload), text in zip(told(events), texts)]
-    assert whole == list(texts.values())
+    events = serialised(rest_events(capture(spark, "status int, body string", [(200, text) for text in texts])))
+    rows = events.orderBy("seq").collect()
+    assert [r.refused for r in rows] == [None if why in (whole, no_json) else why for why in texts.values()]
+    assert [r.payload for r in rows] == [json.dumps(t) if why == no_json else t for t, why in texts.items()]
+    assert [r.message is None for r in rows] == [why == beyond for why in texts.values()]
+    assert [tuple(r) for r in refusals(events.filter("message is null")).collect()] == [("s", BEYOND_LIMITS, 6)]
 
 
 def test_sse_with_sparse_numbers(spark):
