@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.envelope import ORDER
 from millrace.session import checkpointed
 
 # Events of one stream that a single task takes in order before the stream is cut.
@@ -129,7 +130,12 @@ def bounded_join(
 
 def sorted_scan(df: DataFrame, group: list[str], order: list[str], kernel, schema) -> DataFrame:
     """Run ``kernel`` over Arrow batches in which each group is contiguous and ordered."""
-    return df.repartition(*group).sortWithinPartitions(*group, *order).mapInArrow(kernel, schema)
+    return sorted_by(df, group, order).mapInArrow(kernel, schema)
+
+
+def sorted_by(df: DataFrame, group: list[str], order: list[str] = ORDER) -> DataFrame:
+    """The rows of a group together in one partition, and in order."""
+    return df.repartition(*group).sortWithinPartitions(*group, *order)
 
 
 def group_starts(batch: pa.RecordBatch, names: list[str], previous: tuple | None):

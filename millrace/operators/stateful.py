@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import json_text as J
-from millrace.operators.hold import hold
+from millrace.operators.hold import hold, hold_sorted
+from millrace.operators.runs import hold_runs, without_repeated_numbers
 from millrace.operators.slices import MAX_ROWS, SlicePlan, bounded_join, plan_slices
 from millrace.session import checkpointed
 
@@ -43,6 +44,8 @@ def hold_repeats(
         plan = plan if hot_rows else None
         if hot_rows:
             df = bounded_join(df, hot.withColumn("_hot", F.lit(True)), keys, hot_rows)
+    if plan is None:
+        return hold_runs(df, keys, ttl_ms.cast("long"), mark, F.lit(True) if subject is None else subject)
     time = F.col("timestamp").cast("double")
     timed = df.withColumn("_value", time if subject is None else F.when(subject, time))
     timed = timed.withColumn("_delta", (ttl_ms + 1).cast("double"))
@@ -81,4 +84,7 @@ def hold_small_changes(
     subject = F.lit(True) if subject is None else subject
     valued = df.withColumn("_value", F.when(subject & delta.isNotNull(), F.col("_number")))
     valued = valued.withColumn("_delta", delta.cast("double"))
+    if plan is None and mark is None:
+        # Sorted once, for the JVM's part and for the rule itself.
+        return hold_sorted(without_repeated_numbers(valued, list(scope)), list(scope)).drop("_value", "_delta")
     return hold(valued, list(scope), plan, mark).drop("_value", "_delta")

@@ -5,11 +5,15 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from millrace.operators import hold
 from millrace.operators.batch import batch
+from millrace.operators.runs import unsettled, with_runs, without_repeated_numbers
 from millrace.operators.slices import plan_slices, with_slices
-from millrace.operators.stateful import dedup, threshold
+from millrace.operators.stateful import dedup, payload_key, threshold
 import tests_folds as folds
 
 WHOLE = 1_000_000
@@ -166,3 +170,82 @@ def test_event_on_a_tick_opens_the_next_batch(events):
     df = events([(0, "1"), (49, "2"), (50, "3"), (120, "4")])
     rows = sorted(batch(df, 10, 50).collect(), key=lambda row: row.seq)
     assert [(r.timestamp, r.payload) for r in rows] == [(50, "[1,2]"), (100, "[3]"), (120, "[4]")]
+
+
+def applied(cells, value, delta):
+    """What a map makes of a value, event by event."""
+    for first, exit_ in zip(*cells):
+        if value is None or abs(first - value) >= delta:
+            return exit_
+    return value
+
+
+def described(values, delta):
+    slice_ = hold._Slice(delta)
+    for value in values:
+        slice_.take(value)
+    return np.array(slice_.firsts), np.array(slice_.exits())
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_maps_of_slices_compose(seed):
+    rng = random.Random(seed)
+    delta = rng.choice([1.0, 3.0, 7.0, 0.1])
+    odd = [float("nan"), float("inf"), -float("inf")] if seed % 3 == 0 else []
+
+    def drawn():
+        n = rng.randrange(1, 12)
+        if seed % 2:
+            return sorted(rng.sample(range(40), n))
+        return [rng.choice([*odd, rng.uniform(-10, 10), float(rng.randrange(-5, 5))]) for _ in range(n)]
+
+    parts = [drawn() for _ in range(rng.randrange(2, 6))]
+    maps = [described(map(float, part), delta) for part in parts]
+    whole = maps[0]
+    for one in maps[1:]:
+        whole = hold.composed(whole, one, delta)
+    with np.errstate(invalid="ignore"):
+        for value in [None, *[rng.uniform(-30, 60) for _ in range(50)], *map(float, range(-20, 60)), *odd]:
+            want = value
+            for one in maps:
+                want = applied(one, want, delta)
+            got = applied(whole, value, delta)
+            assert got == want or got != got and want != want
+
+
+def test_merging_keeps_a_map_and_shortens_it():
+    times = described([float(t) for t in range(1000)], 400.0)
+    short = hold.composed(times, described([5000.0], 400.0), 400.0)
+    assert len(short[0]) < 5
+    for value in (-1000.0, -400.0, 0.0, 599.0, 600.0, 4600.0, 4601.0):
+        assert applied(short, value, 400.0) == applied(described([5000.0], 400.0), applied(times, value, 400.0), 400.0)
+
+
+@pytest.mark.parametrize("fan", [2, 3])
+def test_a_payload_in_every_millisecond_over_many_levels(events, monkeypatch, fan):
+    """A time-to-live longer than a slice, and a stream of 50 slices."""
+    monkeypatch.setattr(hold, "FAN", fan)
+    monkeypatch.setattr(hold, "PIECES", 1)
+    rows = [(t, "p" if t % 7 else "q") for t in range(300)]
+    got = dedup(events(rows), 11, 6)
+    assert [s for _, s in seqs(got)] == sorted(folds.dedup(rows, 11))
+
+
+def test_only_runs_longer_than_the_time_to_live_reach_python(events):
+    """Three payloads: apart, within one time-to-live, and every 5 ms."""
+    rows = sorted([(t * 1000, "a") for t in range(20)] + [(t, "b") for t in range(50)] + [(t * 5, "c") for t in range(100)])
+    df = events(rows).withColumn("_key", payload_key(F.col("payload")))
+    timed = with_runs(df, ["stream_id", "_key"], F.lit(100), F.lit(True))
+    sent = timed.filter(unsettled(F.lit(100)))
+    assert {r.payload for r in sent.select("payload").distinct().collect()} == {"c"}
+    assert sent.count() == 79
+    assert [s for _, s in seqs(dedup(events(rows), 100))] == sorted(folds.dedup(rows, 100))
+
+
+def test_equal_neighbours_do_not_reach_the_threshold(events):
+    values = [1, 1, 1, 5, 5, 1, None, 1, float("nan"), float("nan"), float("inf"), float("inf")]
+    df = events([(i, "{}") for i in range(len(values))])
+    told = df.sparkSession.createDataFrame([(i, v if v is None else float(v)) for i, v in enumerate(values)], "seq long, _value double")
+    rows = df.join(told, "seq").withColumn("_delta", F.lit(0.5))
+    assert [s for _, s in seqs(without_repeated_numbers(rows, ["stream_id"]))] == [0, 3, 5, 6, 8, 9, 10, 11]
+    assert without_repeated_numbers(rows.withColumn("_delta", F.lit(0.0)), ["stream_id"]).count() == len(values)
