@@ -29,6 +29,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from millrace.llm.common import pick
 
@@ -154,8 +155,8 @@ def formatted(
     elif window is not None:
         raise ValueError("only a template declared append-only may be given a window of the turns")
     narrow = pick(conversations, "conv_id", "turn", "role", "text")
-    kind = narrow.schema["conv_id"].dataType.simpleString()
-    columns = FORMATTED.format(kind)
+    kind = narrow.schema["conv_id"].dataType
+    own_id, columns = pa.field("conv_id", to_arrow_type(kind)), FORMATTED.format(kind.simpleString())
     arrow = pa.schema(
         [
             ("conv_id", pa.null()),
@@ -200,18 +201,15 @@ def formatted(
                 held.append({"conv_id": conv_id} | row)
                 chars += len(row["formatted"])
                 if chars >= piece_chars:
-                    yield pa.RecordBatch.from_pylist(held, own.set(0, pa.field("conv_id", _KINDS[kind])))
+                    yield pa.RecordBatch.from_pylist(held, own.set(0, own_id))
                     held, chars = [], 0
         if held:
-            yield pa.RecordBatch.from_pylist(held, own.set(0, pa.field("conv_id", _KINDS[kind])))
+            yield pa.RecordBatch.from_pylist(held, own.set(0, own_id))
 
     turns = narrow.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return turns.select("conv_id", "role", "text").mapInArrow(run, columns)
 
 
-_KINDS = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-
-
 def _row(piece: int, offset: int, texts: list[str], spans: list[dict]) -> dict:
     return {"piece": piece, "turns": len(spans), "offset": offset, "formatted": "".join(texts), "rewrites": False, "spans": spans}
 
@@ -240,7 +238,8 @@ def read_back(pieces: DataFrame) -> DataFrame:
     turn), loss_chars and loss_sha256 (all text under the loss mask, unescaped), formatted_chars.
     ``pieces`` comes straight from ``formatted``: pieces of a conversation follow each other.
     """
-    kind = pieces.schema["conv_id"].dataType.simpleString()
+    kind = pieces.schema["conv_id"].dataType
+    own_id = pa.field("conv_id", to_arrow_type(kind))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, done = None, []
@@ -252,14 +251,14 @@ def read_back(pieces: DataFrame) -> DataFrame:
                     own = _Reading(row["conv_id"])
                 own.add(row)
             if done:
-                yield pa.RecordBatch.from_pylist(done, READ.insert(0, pa.field("conv_id", _KINDS[kind])))
+                yield pa.RecordBatch.from_pylist(done, READ.insert(0, own_id))
                 done = []
         if own:
-            yield pa.RecordBatch.from_pylist([own.result()], READ.insert(0, pa.field("conv_id", _KINDS[kind])))
+            yield pa.RecordBatch.from_pylist([own.result()], READ.insert(0, own_id))
 
     return pieces.mapInArrow(
         run,
-        f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
+        f"conv_id {kind.simpleString()}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )
 
 

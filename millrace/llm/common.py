@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,18 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*names)
 
 
+def apart(docs: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with its columns numbered, the columns ``names`` once more under their names, and the way back.
+
+    What an operator adds then clashes with no column of ``docs``. The way back leaves
+    the columns of ``docs`` alone, as they were.
+    """
+    columns, numbered = docs.columns, [f"_{i}" for i in range(len(docs.columns))]
+    places = {name: f"_{columns.index(name)}" for name in names}
+    told = docs.toDF(*numbered).withColumns({name: F.col(place) for name, place in places.items()})
+    return told, lambda rows: rows.select(*numbered).toDF(*columns)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

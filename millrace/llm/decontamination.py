@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import pick, saved, text_or_empty
+from millrace.llm.common import apart, pick, saved, text_or_empty
 
 WINDOW = 8
 HITS = 6
@@ -189,5 +189,6 @@ def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns as they were."""
     found = leaks(docs, benchmark).select(F.col("key").alias("__key")).distinct()
+    told, back = apart(docs, "doc_id", "text")
     key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", text_or_empty())
-    return docs.withColumn("__key", key).join(found, "__key", "left_anti").select(*docs.columns)
+    return back(told.withColumn("__key", key).join(found, "__key", "left_anti"))

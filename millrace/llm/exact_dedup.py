@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from millrace.llm.common import pick, saved, text_or_empty
+from millrace.llm.common import apart, pick, saved, text_or_empty
 
 #: Counters in the summary of a partition.
 CAPACITY = 4096
@@ -124,14 +124,11 @@ def dedup(docs: DataFrame, normalise: Callable[[Column], Column] | None = None,
     first cuts its rows to one per digest, then the digests are shuffled.
     """
     keyed = _keyed(docs, normalise)
+    told, back = apart(docs, "doc_id", "text")
     winners = heavy_digests(keyed, keyed.count(), **bounds).select(
         F.col("digest").alias("__digest"), F.col("keep.doc_id").alias("__keep"), F.lit(True).alias("__heavy")
     )
-    marked = docs.withColumn("__digest", digest(normalise)).join(F.broadcast(saved(winners)), "__digest", "left")
+    marked = told.withColumn("__digest", digest(normalise)).join(F.broadcast(saved(winners)), "__digest", "left")
     open_rows = marked.filter(F.col("__heavy").isNull() | F.col("doc_id").eqNullSafe(F.col("__keep")))
     newest = W.Window.partitionBy("__digest").orderBy(F.col("doc_id").desc_nulls_last())
-    return (
-        open_rows.withColumn("__rank", F.row_number().over(newest))
-        .filter("__rank = 1")
-        .select(*docs.columns)
-    )
+    return back(open_rows.withColumn("__rank", F.row_number().over(newest)).filter("__rank = 1"))

@@ -34,11 +34,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import shingles
-from millrace.llm.common import pick, saved, text_or_empty
+from millrace.llm.common import apart, pick, saved, text_or_empty
 from millrace.llm.components import components
 
 #: Minwise tokens of a sketch, 32 bits each.
@@ -476,6 +476,29 @@ def near_duplicates(docs: DataFrame, leaf: int = LEAF, percent: int = PERCENT) -
 
 
 def dedup(docs: DataFrame, leaf: int = LEAF, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest doc_id, all columns as they were."""
-    kept = near_duplicates(docs, leaf, percent).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"])).select(*(docs[c] for c in docs.columns))
+    """``docs`` with one row of each component, all columns as they were.
+
+    It is the row of the smallest doc_id (null if there is no other), of texts that share it the one
+    with the smallest hash, and of equal rows any one. Rows without words are linked with nothing and all stay.
+    """
+    join = Join(docs, leaf, percent)
+    roots = join.run()
+    classes = join.classes.select("set_key", "cid").join(roots, F.col("cid") == F.col("member"), "left")
+    found = join.rows.select("doc_id", "text_key", "n_shingles", "set_key").join(
+        classes.select("set_key", F.coalesce("root", "cid").alias("root")), "set_key", "left"
+    )
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
+    worded = found.filter("n_shingles > 0")
+    winners = worded.groupBy("root").agg(first.alias("w")).select("w.doc_id", "w.text_key", F.lit(True).alias("__one"))
+    others = found.filter("n_shingles = 0").select("doc_id", "text_key", F.lit(False)).distinct()
+    winners = saved(winners.union(others)).withColumnsRenamed({"doc_id": "__id", "text_key": "__text"})
+    told, back = apart(docs, "doc_id", "text")
+    keyed = told.withColumn("__key", F.xxhash64(text_or_empty()))
+    kept = keyed.join(winners, keyed["doc_id"].eqNullSafe(winners["__id"]) & (keyed["__key"] == winners["__text"]))
+    rows, pairs = (df.count() for df in (worded, worded.select("doc_id", "text_key").distinct()))
+    if rows > pairs:
+        # Of rows equal in doc_id and text one stays; each task first cuts its own.
+        place = Window.partitionBy("__id", "__text").orderBy("__key")
+        once = kept.filter("__one").withColumn("__place", F.row_number().over(place)).filter("__place = 1")
+        kept = once.drop("__place").union(kept.filter("not __one"))
+    return back(kept)

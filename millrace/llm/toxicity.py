@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import Remembered
-from millrace.llm.common import pick, saved, text_or_empty
+from millrace.llm.common import apart, pick, saved, text_or_empty
 
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE = 20_000
@@ -225,4 +225,5 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
         score = Model(*given.value).scorer()
         return texts.map(lambda text: score(text)[1] < 0.5)
 
-    return docs.filter(clean(text_or_empty()))
+    told, back = apart(docs, "text")
+    return back(told.filter(clean(text_or_empty())))

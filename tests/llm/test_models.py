@@ -1,6 +1,7 @@
 import collections
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -51,58 +52,81 @@ def test_toxicity_with_given_grades_and_without_examples(spark):
     assert toxicity.scored(docs.limit(0), model).collect() == []
 
 
-def kneser_ney(texts, order):
-    """Losses of n-grams by a plain model."""
-    raw = collections.Counter(int(g) for t in texts if t for g in quality._grams(t.encode(), order))
-    counts = {order: raw}
-    for k in range(order - 1, 0, -1):
-        counts[k] = collections.Counter(g & ((1 << 8 * k) - 1) for g in counts[k + 1])
+def kneser_ney(texts):
+    """The log of the probability of a word after two others, by a plain model."""
+    three = collections.Counter()
+    for words in map(said, texts):
+        if len(words) > 3:
+            three.update(zip(words, words[1:], words[2:]))
+    counts = {3: three, 2: collections.Counter(g[1:] for g in three)}
+    counts[1] = collections.Counter(g[1:] for g in counts[2])
 
     def off(k):
         n = [sum(v == c for v in counts[k].values()) for c in (1, 2, 3, 4)]
-        if not all(n):
-            d = (0.5, 0.75, 0.9)
-        else:
+        d = (0.5, 0.75, 0.9)
+        if all(n):
             y = n[0] / (n[0] + 2 * n[1])
             d = tuple(min(max(c - (c + 1) * y * n[c] / n[c - 1], 0.01), c) for c in (1, 2, 3))
         return lambda c: d[min(c, 3) - 1]
 
     offs = {k: off(k) for k in counts}
 
-    def p(gram, k):
-        if k == 0:
-            return 1 / 256
-        own = gram & ((1 << 8 * k) - 1)
-        same = [c for g, c in counts[k].items() if g >> 8 == own >> 8]
-        lower = p(gram, k - 1)
-        if not same:
-            return lower
-        taken = sum(map(offs[k], same))
-        c = counts[k].get(own, 0)
-        return (max(c - offs[k](c), 0) if c else 0) / sum(same) + taken / sum(same) * lower
+    def p(gram):
+        k = len(gram)
+        same = [c for g, c in counts[k].items() if g[:-1] == gram[:-1]]
+        if k > 1 and not same:
+            return p(gram[1:])
+        taken = sum(map(offs[k], same)) / sum(same)
+        lower = p(gram[1:]) if k > 1 else 1 / (len(same) + 1)
+        c = counts[k].get(gram, 0)
+        return (max(c - offs[k](c), 0) if c else 0) / sum(same) + taken * lower
 
-    return lambda gram: -math.log(p(gram, order))
+    return lambda gram: math.log(p(gram))
 
 
-@pytest.mark.parametrize("broadcast_grams", [quality.BROADCAST_GRAMS, 0])
-def test_perplexity_against_a_plain_model(spark, broadcast_grams):
+def said(text):
+    return ["<", "<", *re.findall(r"\w+|[^\w\s]", text or ""), ">"]
+
+
+@pytest.mark.parametrize("how", [{}, {"hot": 3, "bits": 10}, {"hot": 1, "bits": 6}])
+def test_perplexity_against_a_plain_model(spark, how, monkeypatch):
+    monkeypatch.setattr(quality, "CHUNK", 9)
     draw = random.Random(4)
-    texts = ["".join(draw.choice("abcé ") for _ in range(draw.randrange(1, 40))) for _ in range(40)]
-    rows = [(i, t, "en", "", 0) for i, t in enumerate(texts)] + [(90, None, "en", "", 0), (91, "", None, "", 0), (7, texts[7], "en", "", 0)]
-    labels = [(i, int(i % 2 == 0)) for i in range(40)] + [(4, 0), (None, 1), (6, None)]
-    trusted = [i for i in range(0, 40, 2) if i != 4]
-    loss = kneser_ney([texts[i] for i in trusted], 3)
-    docs = spark.createDataFrame(rows, DOCS).repartition(3)
-    given = spark.createDataFrame(labels, "doc_id long, quality int")
-    got = quality.perplexities(docs, given, order=3, broadcast_grams=broadcast_grams).collect()
-    assert len(got) == len(rows)
+    texts = [" ".join(draw.choice(["a", "b", "B", "cé", ",", "x1", "dd"]) for _ in range(draw.randrange(1, 40))) for _ in range(40)]
+    rows = [(i, t, "en", "", 0) for i, t in enumerate(texts)] + [(90, None, "en", "", 0), (91, " \n", None, "", 0), (7, texts[7], "en", "", 0), (92, "new words", "en", "", 0)]
+    labels = [(i, int(i % 2 == 0)) for i in range(40)] + [(4, 0), (None, 1), (6, None), (90, 1)]
+    log_p = kneser_ney([texts[i] for i in range(0, 40, 2) if i != 4])
+    got = quality.perplexities(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, quality int"), **how).collect()
+    assert sorted(r.doc_id for r in got) == sorted([*range(40), 7, 90, 91, 92])
     for r in got:
-        if r.doc_id >= 90:
+        text = "new words" if r.doc_id == 92 else texts[r.doc_id] if r.doc_id < 90 else None
+        if text is None:
             assert r.perplexity is None
             continue
-        grams = quality._grams(texts[r.doc_id].encode(), 3)
-        assert r.trusted == (r.doc_id in trusted)
-        assert math.isclose(r.perplexity, math.exp(sum(map(loss, map(int, grams))) / len(grams)), rel_tol=1e-4)
+        words = said(text)
+        loss = -sum(map(log_p, zip(words, words[1:], words[2:])))
+        assert math.isclose(r.perplexity, math.exp(loss / (len(words) - 2)), rel_tol=1e-9)
+
+
+def test_the_order_of_words_shows(spark):
+    """Sentences of a grammar, and the same words shuffled or repeated."""
+    draw = random.Random(11)
+
+    def sentence():
+        return f"{draw.choice(['The', 'A'])} {draw.choice(WORDS)} {draw.choice(['is', 'was'])} {draw.choice(['in', 'on'])} the {draw.choice(WORDS)}."
+
+    def mixed_up(text):
+        words = re.findall(r"\w+|[^\w\s]", text)
+        draw.shuffle(words)
+        return " ".join(words)
+
+    good = [" ".join(sentence() for _ in range(12)) for _ in range(400)]
+    bad = [mixed_up(t) for t in good[300:]] + [" ".join([w] * 60) for w in WORDS]
+    docs = spark.createDataFrame([(i, t, "en", "", 0) for i, t in enumerate([*good, *bad])], DOCS)
+    labels = spark.createDataFrame([(i, 1) for i in range(300)], "doc_id long, quality int")
+    kept = {r.doc_id for r in quality.judged(docs, labels).collect() if r.kept}
+    assert len(kept & set(range(300, 400))) >= 95
+    assert len(kept & set(range(400, 400 + len(bad)))) <= 5
 
 
 def test_thresholds_by_language_and_empty_tables(spark):
@@ -125,7 +149,7 @@ def test_the_quantile_drops_bad_text_that_was_not_seen(spark):
     noise = lambda: [("".join(draw.choice("bcdfghjkqvwxz0123456789#%") for _ in range(6))) for _ in range(60)]
     good = [(i, " ".join(draw.choice(WORDS) for _ in range(60)), "en", "", 0) for i in range(600)]
     noisy = [noise() for _ in range(5)]
-    bad = [(2000 + i, " ".join(noisy[i % 5][i // 5 : i // 5 + 40] + [draw.choice(WORDS) for _ in range(15)]), "en", "", 0) for i in range(60)]
+    bad = [(2000 + i, " ".join(noise()[:40] + [draw.choice(WORDS) for _ in range(15)]), "en", "", 0) for i in range(60)]
     labels = [(i, 1) for i in [*range(400), *range(1000, 1005)]]
     docs = spark.createDataFrame(good + [(1000 + i, " ".join(w), "en", "", 0) for i, w in enumerate(noisy)] + bad, DOCS)
     given = spark.createDataFrame(labels, "doc_id long, quality int")
