@@ -1,116 +1,100 @@
-"""Quality by the perplexity of an interpolated modified Kneser-Ney model over words.
-
-The model predicts each word of a text, and its end, from the two words before. It is trained on trusted
-text: all documents whose labels say quality 1. Words keep their case and marks count as words, so that the
-order of a sentence shows. Tasks add up the 3-grams that they read before they are shuffled; the counts of
-lower orders, discounts and back-off weights follow from them by grouping and joins. A document's perplexity is
-the exponential of its mean loss per word. Documents above the SHARE quantile of held-out trusted documents of
-their language are not kept: each part in FOLDS of the trusted documents is measured by a model of the others.
-
-The log of an interpolated probability is a sum over the n-grams that end at a word: what the word itself
-says, and what each longer n-gram adds if the model knows it, the weight of its context included. So the loss
-of a document is the sum, over its n-gram counts, of one value per known n-gram, and n-grams that the
-model does not know add nothing. Values are joined to the counts in two tiers. N-grams that make up
-one part in HOT of their order or more, so at most HOT of each order, are broadcast. All others are shards of a table that is
-joined with the counts of documents by n-gram; a bitmap of 2^BITS bits, whatever the size of the table, keeps back
-most of the counts that will find nothing there.
-
-Defined results: a null text counts as empty; a text without words has no perplexity and is kept; a null language
-is one of its own; languages with fewer than LEAST held-out documents take the quantile of all; without trusted text nothing is
-measured and all is kept. Of labels that contradict each other the lowest counts; rows that share a
-doc_id are measured each by its text. An empty table gives an empty result. Columns other than those named do not matter.
+"""Quality by the perplexity of an interpolated modified Kneser-Ney model.
+
+The model predicts each byte of a text, and its end, from the ORDER - 1 bytes before.
+It is trained on trusted text: all documents whose labels say quality 1. Counts are
+pre-aggregated in the tasks that read the text and summed in shards by n-gram; the counts of
+lower orders, discounts and back-off weights follow from them by grouping; and joins of
+the counts of all orders give the probability of every n-gram that any document holds. A
+document's perplexity is the exponential of its mean loss per byte. Documents above the
+SHARE quantile of the trusted documents of their language are not kept; for it, each part in
+FOLDS of the trusted documents is measured by a model of the others.
+
+The table of probabilities is counted. Up to BROADCAST_GRAMS it goes to the workers, which sum
+up whole texts; a larger one is joined with the n-gram counts of the documents instead. Both
+give the same sums.
+
+Defined results: a null or empty text has no perplexity and is kept; a null language is one of
+its own; languages with fewer than LEAST trusted documents take the quantile of all; without
+trusted text nothing is measured and all is kept. Of labels that contradict each other the lowest
+counts; rows that share a doc_id are measured each by its text. An empty table gives an empty
+result. Columns other than those named do not matter.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.bpe import Remembered
 from millrace.llm.common import pick, saved, text_or_empty
 
-#: Chosen on labelled documents that the model had not seen: README has the figures.
-SHARE = 0.98
+ORDER = 5
+#: Least sum of both losses on labelled documents that the model had not seen: README has the figures.
+SHARE = 0.95
 FOLDS = 2
 LEAST = 20
-#: At most so many n-grams of an order are broadcast, of 12 bytes each.
-HOT = 200_000
-BITS = 26
 #: Trusted ids that are broadcast, 8 bytes each; beyond, they are joined by a shuffle of the texts.
 BROADCAST_IDS = 5_000_000
-#: Distinct 3-grams that a task holds before it passes its counts on.
-HELD = 1_000_000
-#: Words of a text looked at together.
-CHUNK = 1_000_000
-
-_WORDS = re.compile(r"\w+|[^\w\s]")
-#: What stands before the first word, and for the end.
-_BEGIN, _END = -1, -2
-
-
-def _word_hash(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) >> 1
-
-
-def _chunks(text: str, known: Remembered) -> Iterator[np.ndarray]:
-    """The words of a text as numbers, begun by two _BEGIN and ended by _END; a chunk starts with the last two of the one before."""
-    held = [_BEGIN, _BEGIN]
-    for found in _WORDS.finditer(text):
-        held.append(known[found[0]])
-        if len(held) >= CHUNK:
-            yield np.array(held, dtype=np.int64)
-            held = held[-2:]
-    yield np.array([*held, _END], dtype=np.int64)
+#: 12 bytes each; more n-grams are joined instead of broadcast.
+BROADCAST_GRAMS = 8_000_000
+#: Distinct n-grams that a task holds before it passes its counts on.
+HELD = 2_000_000
+#: Bytes of text looked at together.
+CHUNK = 2_000_000
+
+#: Bytes that UTF-8 never has stand for the begin and the end of a text.
+_BEGIN, _END = 0xFF, 0xFE
+_MASKS = [0] + [(1 << 8 * k) - 1 for k in range(1, 9)]
+
+
+def _grams(text: bytes, order: int) -> np.ndarray:
+    """The n-gram that ends at each byte of a text and at its end, as a number."""
+    raw = np.frombuffer(bytes([_BEGIN] * (order - 1)) + text + bytes([_END]), dtype=np.uint8).astype(np.int64)
+    n = len(text) + 1
+    out = np.zeros(n, dtype=np.int64)
+    for k in range(order):
+        out = (out << 8) | raw[k : k + n]
+    return out
 
 
-def mixed(*words: np.ndarray) -> np.ndarray:
-    """A number for each n-gram, of its words and their number."""
-    h = np.full(len(words[0]), len(words), dtype=np.uint64)
-    for word in words:
-        h = (h ^ word.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(32)
-        h = h * np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(29)
-    return h.astype(np.int64)
+def _chunks(texts: Iterator[str], order: int) -> Iterator[np.ndarray]:
+    """N-grams of many texts together."""
+    held, size = [], 0
+    for text in texts:
+        if text:
+            held.append(_grams(text.encode("utf-8"), order))
+            size += len(held[-1])
+            if size >= CHUNK:
+                yield np.concatenate(held)
+                held, size = [], 0
+    if held:
+        yield np.concatenate(held)
 
 
-def grams(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The keys of the 1-grams, 2-grams and 3-grams that end at each word after the first two."""
-    return mixed(words[2:]), mixed(words[1:-1], words[2:]), mixed(words[:-2], words[1:-1], words[2:])
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    grams, where = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+    return grams, np.bincount(where, np.concatenate([n for _, n in parts]), len(grams)).astype(np.int64)
 
 
-def gram_counts(texts: DataFrame) -> DataFrame:
-    """``a``, ``b``, ``c``, the words of a 3-gram, and ``n``, its count in the column ``text``; texts without words do not count."""
+def gram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
+    """``gram`` and ``n``, its count in the column ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, parts, size = Remembered(_word_hash), [], 0
+        held: tuple[np.ndarray, np.ndarray] | None = None
+        for chunk in _chunks((text for batch in batches for text in batch.column(0).to_pylist()), order):
+            own = np.unique(chunk, return_counts=True)
+            held = _merged([held, own]) if held else own
+            if len(held[0]) > HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], ["gram", "n"])
+                held = None
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], ["gram", "n"])
 
-        def shipped():
-            together = np.concatenate(parts)
-            own, n = np.unique(together, axis=0, return_counts=True)
-            return pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(own[:, i])) for i in range(3)), pa.array(n)], ["a", "b", "c", "n"])
-
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if not text or not _WORDS.search(text):
-                    continue
-                for words in _chunks(text, known):
-                    parts.append(np.stack([words[:-2], words[1:-1], words[2:]], axis=1))
-                    size += len(words) - 2
-                if size >= HELD:
-                    yield shipped()
-                    parts, size = [], 0
-        if parts:
-            yield shipped()
-
-    counted = texts.select("text").mapInArrow(run, "a long, b long, c long, n long")
-    return counted.groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -122,143 +106,95 @@ def discounts(counts: DataFrame) -> tuple[float, float, float]:
     return tuple(min(max(k - (k + 1) * y * c[k] / c[k - 1], 0.01), k) for k in (1, 2, 3))
 
 
-def _shares(counts: DataFrame, context: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Of one order: its n-grams with ``share``, their discounted part of the context; contexts with ``weight``, that of the lower order."""
+def _order_tables(counts: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """Of one order: gram and its discounted share of its context; context and the weight of the lower order."""
     d = discounts(counts)
     off = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-    sums = counts.groupBy(*context).agg(F.sum("n").alias("total"), F.sum(off).alias("taken"))
-    shares = counts.join(sums, context).withColumn("share", F.greatest(F.col("n") - off, F.lit(0.0)) / F.col("total")).drop("total", "taken")
-    return shares, sums.select(*context, (F.col("taken") / F.col("total")).alias("weight"))
+    tagged = counts.withColumn("context", F.shiftright("gram", 8))
+    sums = tagged.groupBy("context").agg(F.sum("n").alias("total"), F.sum(off).alias("taken"))
+    shares = tagged.join(sums, "context").select(
+        F.col("gram").alias(f"g{k}"), (F.greatest(F.col("n") - off, F.lit(0.0)) / F.col("total")).alias(f"share{k}")
+    )
+    return shares, sums.select(F.col("context").alias(f"c{k}"), (F.col("taken") / F.col("total")).alias(f"weight{k}"))
 
 
-def _model(counts: DataFrame) -> tuple[DataFrame, float]:
-    """``order``, ``a``, ``b``, ``c``, ``seen`` and ``value`` of every known n-gram, and the value of a word that is not known.
+def gram_scores(counts: DataFrame, wanted: DataFrame, order: int = ORDER) -> DataFrame:
+    """``gram`` and ``loss``, minus the log of its probability, for the n-grams of ``wanted`` (gram).
 
-    ``value`` is what the n-gram adds to the log of a probability: as one that ends at a word, beyond
-    what the shorter ones say, and as the context of the next word, the log of its back-off weight.
+    Below the highest order, an n-gram counts once for each byte that comes before it.
     """
-    two = saved(counts.groupBy("b", "c").agg(F.count("*").alias("n"), F.sum("n").alias("seen")))
-    one = saved(two.groupBy("c").agg(F.count("*").alias("n"), F.sum("seen").alias("seen")))
-    size = one.agg(F.count("*").alias("words"), F.sum("n").alias("total")).first()
-    off = discounts(one)
-    taken = F.when(F.col("n") == 1, off[0]).when(F.col("n") == 2, off[1]).otherwise(off[2])
-    lost = one.agg(F.sum(taken).alias("s")).first().s / size.total
-    # What is taken from known words is spread evenly over them and one that stands for all others.
-    unknown = lost / (size.words + 1)
-    one = one.withColumn("p1", F.greatest(F.col("n") - taken, F.lit(0.0)) / size.total + unknown)
-    shares2, weights1 = _shares(two, ["b"])
-    weights1 = weights1.withColumnRenamed("weight", "w1")
-    two = shares2.join(one.select("c", "p1"), "c").join(weights1, "b")
-    two = saved(two.withColumn("p2", F.col("share") + F.col("w1") * F.col("p1")).select("b", "c", "seen", "p2", "w1", "p1"))
-    shares3, weights2 = _shares(counts, ["a", "b"])
-    weights2 = weights2.withColumnRenamed("weight", "w2")
-    three = shares3.join(two.select("b", "c", "p2"), ["b", "c"]).join(weights2, ["a", "b"])
-    three = three.withColumn("p3", F.col("share") + F.col("w2") * F.col("p2"))
-    as_context1 = weights1.select(F.col("b").alias("c"), "w1")
-    as_context2 = weights2.select(F.col("a").alias("b"), F.col("b").alias("c"), "w2")
-    none = F.lit(None).cast("long")
-    ones = one.join(as_context1, "c", "full").select(
-        F.lit(1).alias("order"), none.alias("a"), none.alias("b"), "c", F.coalesce("seen", F.lit(0)).alias("seen"),
-        (F.log(F.coalesce("p1", F.lit(unknown))) - F.log(F.lit(unknown)) + F.log(F.coalesce("w1", F.lit(1.0)))).alias("value"),
+    by_order = {order: counts}
+    for k in range(order - 1, 0, -1):
+        lower = by_order[k + 1].select(F.col("gram").bitwiseAND(_MASKS[k]).alias("gram"))
+        by_order[k] = saved(lower.groupBy("gram").agg(F.count("*").alias("n")))
+    scored = wanted.select("gram").withColumn("p", F.lit(1.0 / 256))
+    for k in range(1, order + 1):
+        shares, weights = _order_tables(by_order[k], k)
+        scored = scored.withColumn(f"g{k}", F.col("gram").bitwiseAND(_MASKS[k])).withColumn(f"c{k}", F.shiftright(f"g{k}", 8))
+        scored = scored.join(shares, f"g{k}", "left").join(weights, f"c{k}", "left")
+        p = F.coalesce(f"share{k}", F.lit(0.0)) + F.coalesce(f"weight{k}", F.lit(1.0)) * F.col("p")
+        scored = scored.select("gram", p.alias("p"))
+    return scored.select("gram", (-F.log("p")).alias("loss"))
+
+
+class Lookup:
+    """Values of known numbers, found by hashing whole arrays at once."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(10, int(np.ceil(np.log2(max(1, len(keys)) * 2))))
+        self.keys, self.values = np.full(1 << self.bits, -1, dtype=np.int64), np.zeros(1 << self.bits, dtype=np.float32)
+        left, at = np.arange(len(keys)), self._home(keys)
+        while len(left):
+            free = self.keys[at] == -1
+            self.keys[at[free]] = keys[left[free]]  # of several the last stays
+            won = self.keys[at] == keys[left]
+            self.values[at[won]] = values[left[won]]
+            left, at = left[~won], (at[~won] + 1) & ((1 << self.bits) - 1)
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key; every key is known."""
+        at = self._home(keys)
+        wrong = np.flatnonzero(self.keys[at] != keys)
+        while len(wrong):
+            at[wrong] = (at[wrong] + 1) & ((1 << self.bits) - 1)
+            wrong = wrong[self.keys[at[wrong]] != keys[wrong]]
+        return self.values[at]
+
+
+def _losses_by_lookup(docs: DataFrame, scores: DataFrame, order: int) -> DataFrame:
+    table = scores.toArrow()
+    given = docs.sparkSession.sparkContext.broadcast(
+        (table.column("gram").to_numpy(), table.column("loss").to_numpy().astype(np.float32))
     )
-    own = F.coalesce(F.log("p2") - F.log(F.col("w1") * F.col("p1")), F.lit(0.0))
-    twos = two.join(as_context2, ["b", "c"], "full").select(
-        F.lit(2).alias("order"), none.alias("a"), "b", "c", F.coalesce("seen", F.lit(0)).alias("seen"),
-        (own + F.log(F.coalesce("w2", F.lit(1.0)))).alias("value"),
-    )
-    threes = three.select(
-        F.lit(3).alias("order"), "a", "b", "c", F.col("n").alias("seen"), (F.log("p3") - F.log(F.col("w2") * F.col("p2"))).alias("value")
-    )
-    return ones.union(twos).union(threes), float(np.log(unknown))
-
-
-class Model:
-    """The values of all known n-grams: the hot ones at hand, the others in a table, with a bitmap of them."""
-
-    def __init__(self, texts: DataFrame, hot: int, bits: int):
-        counts = saved(gram_counts(texts))
-        self.empty = counts.isEmpty()
-        if self.empty:
-            return
-        entries, self.unknown = _model(counts)
-
-        def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                order = batch.column("order").to_numpy()
-                words = [batch.column(c).fill_null(0).to_numpy() for c in ("a", "b", "c")]
-                keys = np.zeros(len(order), dtype=np.int64)
-                for k in (1, 2, 3):
-                    keys[order == k] = mixed(*(w[order == k] for w in words[3 - k :]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), *(batch.column(c) for c in ("order", "seen", "value"))], ["key", "order", "seen", "value"]
-                )
-
-        table = saved(entries.mapInArrow(keyed, "key long, order int, seen long, value double").filter("value <> 0"))
-        least = F.lit(None).cast("double")
-        for row in table.groupBy("order").agg(F.sum("seen").alias("seen")).collect():
-            least = F.when(F.col("order") == row.order, max(row.seen, 1) / hot).otherwise(least)
-        # Those of an order add up to the sum, so at most ``hot`` of them reach that share. Every text has the begin.
-        frequent = (F.col("seen") >= least) | F.col("key").isin(_START.tolist())
-        at_hand = table.filter(frequent).select("key", "value").toArrow()
-        self.rest = table.filter(~frequent).select("key", "value")
-        order = np.argsort(at_hand.column("key").to_numpy())
-        self.keys, self.values = (at_hand.column(c).to_numpy()[order] for c in ("key", "value"))
-        self.bits, self.bitmap = bits, _bitmap(self.rest, bits)
-
-
-#: The n-grams that stand before the first word.
-_START = np.concatenate([mixed(np.array([_BEGIN])), mixed(np.array([_BEGIN]), np.array([_BEGIN]))])
-
-
-def _bitmap(rest: DataFrame, bits: int) -> np.ndarray:
-    """A bit set for each key, by its highest bits."""
-    spot = F.shiftrightunsigned("key", 64 - bits).alias("spot")
-    words = rest.select(spot).select(F.shiftright("spot", 6).alias("at"), F.expr("shiftleft(1L, cast(spot & 63 as int))").alias("bit"))
-    parts = words.groupBy("at").agg(F.bit_or("bit").alias("word")).toArrow()
-    out = np.zeros(1 << (bits - 6), dtype=np.int64)
-    out[parts.column("at").to_numpy()] = parts.column("word").to_numpy()
-    return out
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loss = Lookup(*given.value)
+        for batch in batches:
+            sums = [
+                sum(float(loss(c).sum(dtype=np.float64)) for c in _chunks(iter([text]), order))
+                for text in batch.column(1).to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sums, pa.float64())], ["row", "bytes", "loss"])
 
-def _losses(docs: DataFrame, model: Model) -> DataFrame:
-    """row, words and loss of the rows (row, text) that hold words; rows of one number are summed up together."""
-    given = docs.sparkSession.sparkContext.broadcast((model.keys, model.values, model.bitmap, model.bits, model.unknown))
+    return docs.select("row", "text", "bytes").mapInArrow(run, "row long, bytes long, loss double")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, values, bitmap, bits, unknown = given.value
-        known, shift = Remembered(_word_hash), np.uint64(64 - bits)
-
-        def at_hand(found: np.ndarray, n: np.ndarray) -> tuple[float, np.ndarray]:
-            """The sum of the values at hand, and which keys the table may hold."""
-            at = np.searchsorted(keys, found)
-            hit = at < len(keys)
-            hit[hit] = keys[at[hit]] == found[hit]
-            spot = (found.astype(np.uint64) >> shift).astype(np.int64)
-            maybe = ~hit & ((bitmap[spot >> 6] >> (spot & 63)) & 1).astype(bool)
-            return float(values[at[hit]] @ n[hit]), maybe
 
+def _losses_by_join(docs: DataFrame, scores: DataFrame, order: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if not _WORDS.search(text):
-                    continue
-                begin = _START
-                for words in _chunks(text, known):
-                    size = len(words) - 2
-                    found, n = np.unique(np.concatenate([begin, *grams(words)]), return_counts=True)
-                    begin = begin[:0]
-                    own, maybe = at_hand(found, n)
-                    asked = int(maybe.sum())
-                    # What is known here goes along as a line of its own, under a key that asks for nothing.
-                    parts.append((np.full(asked + 1, row), [*found[maybe], row], [*n[maybe], 0], [0] * asked + [size], [0.0] * asked + [own + unknown * size]))
-            if parts:
-                arrays = [pa.array(np.concatenate(c)) for c in zip(*parts)]
-                yield pa.RecordBatch.from_arrays(arrays, ["row", "key", "n", "words", "value"])
-
-    asked = docs.select("row", "text").mapInArrow(run, "row long, key long, n long, words long, value double")
-    found = asked.join(model.rest.withColumnRenamed("value", "own"), "key", "left")
-    value = F.col("value") + F.col("n") * F.coalesce("own", F.lit(0.0))
-    return found.groupBy("row").agg(F.sum("words").alias("words"), (-F.sum(value)).alias("loss"))
+                for chunk in _chunks(iter([text]), order):
+                    grams, n = np.unique(chunk, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), row)), pa.array(grams), pa.array(n)], ["row", "gram", "n"])
+
+    counted = docs.select("row", "text").mapInArrow(run, "row long, gram long, n long").join(scores, "gram")
+    sums = counted.groupBy("row").agg(F.sum(F.col("n") * F.col("loss").cast("float")).alias("loss"))
+    # Equal rows were summed up together.
+    equal = docs.groupBy("row").agg(F.first("bytes").alias("bytes"), F.count("*").alias("copies"))
+    return equal.join(sums, "row", "left").select("row", "bytes", (F.col("loss") / F.col("copies")).alias("loss"))
 
 
 def _row() -> Column:
@@ -266,47 +202,60 @@ def _row() -> Column:
     return F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text")
 
 
-def _perplexities(docs: DataFrame, model: Model) -> DataFrame:
-    """row and perplexity of the rows (row, text) that hold words."""
-    return _losses(docs, model).select("row", F.exp(F.col("loss") / F.col("words")).alias("perplexity"))
-
-
 def _trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     good = pick(labels, "doc_id", "quality").dropna().groupBy("doc_id").agg(F.min("quality").alias("q"))
     good = saved(good.filter("q = 1").select("doc_id"))
-    # Texts are not shuffled to find those of a bounded number of documents.
+    # The ids go to the texts; texts move only where there are too many ids.
     return docs.join(F.broadcast(good) if good.count() <= BROADCAST_IDS else good, "doc_id", "left_semi")
 
 
-def perplexities(docs: DataFrame, labels: DataFrame, hot: int = HOT, bits: int = BITS) -> DataFrame:
-    """row, doc_id, lang and perplexity of every row of ``docs``, by a model of all trusted ones; ``labels`` has doc_id and quality."""
-    docs = pick(docs, "doc_id", "text", "lang").withColumn("text", text_or_empty()).withColumn("row", _row())
-    model = Model(_trusted(docs, labels), hot, bits)
+def _perplexities(docs: DataFrame, trusted: DataFrame, order: int, broadcast_grams: int) -> DataFrame | None:
+    """row and perplexity of the texts of ``docs`` (row, text) that are not empty, by a model of ``trusted``; None without one."""
+    counts = saved(gram_counts(trusted, order))
+    if counts.isEmpty():
+        return None
+    scores = saved(gram_scores(counts, gram_counts(docs, order), order))
+    texts = docs.select("row", "text", F.octet_length("text").cast("long").alias("bytes"))
+    by = _losses_by_lookup if scores.count() <= broadcast_grams else _losses_by_join
+    losses = by(texts, scores, order).filter("bytes > 0").dropDuplicates(["row"])
+    return losses.select("row", F.exp(F.col("loss") / (F.col("bytes") + 1)).alias("perplexity"))
+
+
+def _told(docs: DataFrame) -> DataFrame:
+    return pick(docs, "doc_id", "text", "lang").withColumn("text", text_or_empty()).withColumn("row", _row())
+
+
+def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, broadcast_grams: int = BROADCAST_GRAMS) -> DataFrame:
+    """row, doc_id, lang and perplexity of every row of ``docs``; ``labels`` has doc_id and quality."""
+    docs = _told(docs)
+    found = _perplexities(docs, _trusted(docs, labels), order, broadcast_grams)
     narrow = docs.select("row", "doc_id", "lang")
-    if model.empty:
+    if found is None:
         return narrow.withColumn("perplexity", F.lit(None).cast("double"))
-    return narrow.join(_perplexities(docs, model), "row", "left")
+    return narrow.join(found, "row", "left")
 
 
-def held_out(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, hot: int = HOT, bits: int = BITS) -> DataFrame:
-    """lang and perplexity of the trusted documents, each part in ``folds`` of them by a model of the others; by all if there are no others."""
-    docs = pick(docs, "doc_id", "text", "lang").withColumn("text", text_or_empty()).withColumn("row", _row())
+def held_out(
+    docs: DataFrame, labels: DataFrame, order: int = ORDER, broadcast_grams: int = BROADCAST_GRAMS, folds: int = FOLDS
+) -> DataFrame:
+    """lang and perplexity of trusted documents, each part in ``folds`` of them by a model of the others; by its own if there are none."""
     # By the text alone, so that equal texts are never on both sides.
-    good = saved(_trusted(docs, labels).withColumn("fold", F.pmod(F.xxhash64("text", F.lit(5)), F.lit(folds))))
-    found = good.select("lang", F.lit(None).cast("double").alias("perplexity")).limit(0)
+    good = saved(_trusted(_told(docs), labels).withColumn("fold", F.pmod(F.xxhash64("text", F.lit(5)), F.lit(folds))))
+    parts = []
     for fold in range(folds):
-        shown, model = good.filter(F.col("fold") == fold), Model(good.filter(F.col("fold") != fold), hot, bits)
-        model = Model(shown, hot, bits) if model.empty else model
-        if not model.empty:
-            measured = shown.select("row", "lang").distinct().join(_perplexities(shown, model), "row")
-            found = found.union(measured.select("lang", "perplexity"))
-    return found
+        shown = good.filter(F.col("fold") == fold)
+        found = _perplexities(shown, good.filter(F.col("fold") != fold), order, broadcast_grams)
+        found = _perplexities(shown, shown, order, broadcast_grams) if found is None else found
+        if found is not None:
+            parts.append(shown.select("row", "lang").distinct().join(found, "row").select("lang", "perplexity"))
+    nothing = good.select("lang", F.lit(None).cast("double").alias("perplexity")).limit(0)
+    return reduce(DataFrame.union, parts, nothing)
 
 
-def judged(docs: DataFrame, labels: DataFrame, share: float = SHARE, least: int = LEAST, folds: int = FOLDS, **how) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, share: float = SHARE, least: int = LEAST, **how) -> DataFrame:
     """doc_id, lang, perplexity, threshold and kept for every row of ``docs``."""
     measured = perplexities(docs, labels, **how)
-    known = saved(held_out(docs, labels, folds, **how))
+    known = saved(held_out(docs, labels, **how))
     quantile = F.percentile_approx("perplexity", F.lit(share), F.lit(10_000))
     overall = known.agg(quantile).first()[0]
     own = known.groupBy("lang").agg(F.count("*").alias("seen"), quantile.alias("own")).filter(F.col("seen") >= least)
