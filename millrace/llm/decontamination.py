@@ -3,14 +3,16 @@
 Words become a template: numbers, units and names (capitalised words) turn into typed
 slots, all others into lower case. Every window of WINDOW template words of a document
 is looked up, by hash, in the windows of the benchmark. Windows that hit the same item
-at the same distance belong together; a document is a candidate for an item with
-HITS of them, or all of a shorter item. For candidates the slots are compared:
+at the same distance, or one more or less, belong together; a document is a candidate for an item with
+half of its windows or HITS of them, and for an item of fewer than EDITED words with all. So items that had a word
+replaced, added or left out are found too. For candidates the slots are compared:
 wherever the item repeats a value, the document must repeat one too, be it the same
 or another. So copies are found, and questions asked anew with other numbers and names,
 but not texts that only share a turn of phrase.
 
 Of an item's windows only those count as templates that have LITERALS words outside slots, scaled
-down for items shorter than a window. Beside its template every window has a literal form, the
+down for items shorter than a window. A text is cut into words once, for both forms; a window without slots is
+one and the same in both. Beside its template every window has a literal form, the
 words in lower case with their values, which always counts; so copies of items made of numbers or
 names, and copies in capitals or in lower case, are found. Values are compared in lower case.
 
@@ -22,14 +24,17 @@ empty result, or all documents clean. Columns other than those named do not matt
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import apart, pick, saved, text_or_empty
 
-WINDOW = 8
-HITS = 6
-LITERALS = 4
+WINDOW = 4
+HITS = 10
+EDITED = 12
+LITERALS = 2
+#: Fewer windows than that do not make a template.
+FEWEST = 3
 #: Windows of the benchmark that are broadcast, at most: 32 bytes each. More are joined by a shuffle.
 BROADCAST_WINDOWS = 2_000_000
 
@@ -52,46 +57,43 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
 
 
-def _slot(token: Column) -> Column:
-    """The type of the slot that a token fills, or null for a literal."""
-    small = F.lower(token)
-    first = F.substring(token, 1, 1)
+def _kind(token: Column, small: Column) -> Column:
+    """The slot that a token fills, whose lower-case form is ``small``, or null for a literal."""
     return (
         F.when(F.ascii(token).between(48, 57), F.lit("<number>"))
         .when(small.isin(UNITS), F.lit("<unit>"))
-        .when((first != F.lower(first)) & ~small.isin(SENTENCE_WORDS), F.lit("<name>"))
+        .when((F.substring(token, 1, 1) != F.substring(small, 1, 1)) & ~small.isin(SENTENCE_WORDS), F.lit("<name>"))
     )
 
 
-def _template(token: Column) -> Column:
-    return F.coalesce(_slot(token), F.lower(token))
+def _slot(token: Column) -> Column:
+    return _kind(token, F.lower(token))
+
 
+def with_forms(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with ``typed`` and ``literal``: hashes of the words of ``text`` as templates and in lower case."""
+    told = df.withColumn("__words", tokens(F.col(text))).withColumn("__small", tokens(F.lower(text)))
+    # The words of the text in lower case are the words in lower case, but for letters that fall apart.
+    aligned = F.size("__small") == F.size("__words")
+    told = told.withColumn("__small", F.when(aligned, F.col("__small")).otherwise(F.transform("__words", F.lower)))
+    literal = F.transform("__small", lambda small: F.xxhash64(small))
+    typed = F.zip_with("__words", "__small", lambda token, small: F.xxhash64(F.coalesce(_kind(token, small), small)))
+    return told.withColumns({"typed": typed, "literal": literal}).drop("__words", "__small")
 
-def _forms(token: Column) -> Column:
-    """A word's hash in its template and in its literal form."""
-    return F.struct(F.xxhash64(_template(token)).alias("typed"), F.xxhash64(F.lit("literal"), F.lower(token)).alias("literal"))
 
+def _windows_of(length: int) -> Column:
+    def window(at: Column) -> Column:
+        both = (F.xxhash64(F.slice(form, at + 1, length)).alias(form) for form in ("typed", "literal"))
+        return F.struct(F.lit(length).alias("length"), at.alias("place"), *both)
 
-def _windows(hashes: Column, length: int) -> Column:
-    """Hashes of all windows of ``length``; places after the last full window hold what does not count."""
-    if length == 1:
-        return hashes
-    half = length // 2
-    left, right = _windows(hashes, half), _windows(hashes, length - half)
-    return F.zip_with(left, F.slice(right, F.lit(half + 1), F.greatest(F.size(right), F.lit(1))), lambda a, b: F.xxhash64(a, b))
+    places = F.sequence(F.lit(0), F.greatest(F.size("typed") - length, F.lit(0)))
+    return F.when(F.size("typed") >= length, F.transform(places, window))
 
 
-def _exploded(rows: DataFrame, keep: list[str], hashes: str, lengths: list[int]) -> DataFrame:
-    """``keep``, length, as_is (the literal form), place and hash of every window in both forms; one array of hashes is made in a stage of its own."""
-    out = None
-    for length in lengths:
-        for form in ("typed", "literal"):
-            full = F.slice(_windows(F.col(hashes)[form], length), F.lit(1), F.greatest(F.size(hashes) - length + 1, F.lit(0)))
-            part = rows.select(
-                *keep, F.lit(length).alias("length"), F.lit(form == "literal").alias("as_is"), F.posexplode(full).alias("place", "window")
-            )
-            out = part if out is None else out.union(part)
-    return out
+def _windows(lengths: list[int]) -> Column:
+    """length, place, typed and literal hash of every window of ``typed`` and ``literal``."""
+    parts = [_windows_of(length) for length in lengths]
+    return parts[0] if len(parts) == 1 else F.flatten(F.array_compact(F.array(*parts)))
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
@@ -103,19 +105,32 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
         .filter(F.size("item_tokens") > 0)
         .groupBy("item_tokens")
         .agg(F.min("item").alias("item"))
-        .withColumn("hashes", F.transform("item_tokens", _forms))
     )
 
 
 def _index(items: DataFrame, lengths: list[int]) -> DataFrame:
-    """Windows of the items that count: length, as_is, window, item, item_place and how many hits of the form the item needs."""
-    literal = items.withColumn("literal", F.transform("item_tokens", lambda t: _slot(t).isNull().cast("int")))
-    sized = literal.withColumn("own", F.least(F.size("item_tokens"), F.lit(WINDOW)))
-    windows = _exploded(sized, ["item", "own", "literal"], "hashes", lengths).filter("length = own")
-    words = F.aggregate(F.slice("literal", F.col("place") + 1, F.col("length")), F.lit(0), lambda a, b: a + b)
-    counting = windows.filter(F.col("as_is") | (words * WINDOW >= F.col("length") * LITERALS)).drop("literal", "own")
-    needed = counting.groupBy("item", "as_is").agg(F.least(F.count("*"), F.lit(HITS)).alias("needed"))
-    return counting.withColumnRenamed("place", "item_place").join(needed, ["item", "as_is"])
+    """Windows of the items that count: length, window, as_is (the literal form), item, item_place and how many hits of the form the item needs."""
+    told = items.withColumns(
+        {
+            "typed": F.transform("item_tokens", lambda t: F.xxhash64(F.coalesce(_slot(t), F.lower(t)))),
+            "literal": F.transform("item_tokens", lambda t: F.xxhash64(F.lower(t))),
+            "words": F.transform("item_tokens", lambda t: _slot(t).isNull().cast("int")),
+            "size": F.size("item_tokens"),
+        }
+    )
+    windows = told.select("item", "size", "words", F.explode(_windows(lengths)).alias("w")).filter(F.col("w.length") == F.least("size", F.lit(WINDOW)))
+    words = F.aggregate(F.slice("words", F.col("w.place") + 1, F.col("w.length")), F.lit(0), lambda a, b: a + b)
+    forms = F.array(*(F.struct(F.lit(as_is).alias("as_is"), F.col(f"w.{form}").alias("window")) for form, as_is in (("typed", False), ("literal", True))))
+    both = windows.select("item", "size", "w.length", F.col("w.place").alias("item_place"), words.alias("words"), F.explode(forms).alias("f"))
+    counting = both.filter(F.col("f.as_is") | (F.col("words") * WINDOW >= F.col("length") * LITERALS))
+    counting = counting.select("item", "size", "length", "item_place", "f.as_is", "f.window")
+    n = F.count("*")
+    enough = F.least(F.greatest(F.ceil(n / 2), F.least(n, F.lit(FEWEST))), F.lit(HITS))
+    needed = F.when(F.first("size") < EDITED, n).otherwise(enough).alias("needed")
+    sums = counting.groupBy("item", "as_is").agg(needed, n.alias("n"), F.first("size").alias("words"), F.first("length").alias("long"))
+    least = F.when(F.col("words") < EDITED, F.ceil((F.col("words") - F.col("long") + 1) / 2)).otherwise(FEWEST)
+    sums = sums.filter(F.col("as_is") | (F.col("n") >= least)).drop("n", "words", "long")
+    return counting.drop("size").join(sums, ["item", "as_is"])
 
 
 def _key() -> Column:
@@ -131,26 +146,31 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     index = saved(_index(items, sorted(lengths) or [WINDOW]))
     if index.count() <= BROADCAST_WINDOWS:
         index = F.broadcast(index)
-    hashed = docs.select("key", F.transform(tokens(F.col("text")), _forms).alias("hashes"))
-    hits = _exploded(hashed, ["key"], "hashes", sorted(lengths) or [WINDOW]).join(index, ["length", "as_is", "window"])
+    windows = with_forms(docs.select("key", "text"), "text").select("key", F.explode(_windows(sorted(lengths) or [WINDOW])).alias("w"))
+    typed, literal = F.col("w.typed"), F.col("w.literal")
+    asked = windows.select(
+        "key", "w.length", "w.place", F.explode(F.when(typed == literal, F.array(typed)).otherwise(F.array(typed, literal))).alias("window")
+    )
+    hits = asked.join(index, ["length", "window"])
     aligned = (
         hits.withColumn("distance", F.col("place") - F.col("item_place"))
         .groupBy("key", "item", "distance", "as_is")
         .agg(
-            F.count_distinct("item_place").alias("hits"),
+            F.count_distinct("item_place").alias("own"),
             F.first("needed").alias("needed"),
             F.min("item_place").alias("first"),
             F.max(F.col("item_place") + F.col("length")).alias("end"),
         )
-        .filter("hits >= needed")
-        .drop("needed")
     )
+    near = Window.partitionBy("key", "item", "as_is").orderBy("distance").rangeBetween(-1, 1)
+    aligned = aligned.withColumn("hits", F.sum("own").over(near)).filter("hits >= needed").drop("needed", "own")
     candidates = saved(aligned)
     texts = docs.join(candidates.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
     both = candidates.join(texts.select("key", tokens(F.col("text")).alias("doc_tokens")), "key")
     both = both.join(items.select("item", "item_tokens"), "item")
     pairs = F.transform(
-        F.sequence(F.col("first"), F.col("end") - 1),
+        # Slots beside the windows that hit are looked at too.
+        F.sequence(F.greatest(F.col("first") - WINDOW, F.lit(0)), F.least(F.col("end") + WINDOW, F.size("item_tokens")) - 1),
         lambda at: F.struct(
             F.get("item_tokens", at).alias("asked"), F.get("doc_tokens", (at + F.col("distance")).cast("int")).alias("found")
         ),

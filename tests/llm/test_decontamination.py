@@ -79,3 +79,83 @@ def test_copies_word_for_word_in_any_case_and_of_items_without_literals(spark):
     assert sum(map(len, want.values())) == 15
     got = {r.doc_id: r["items"] for r in decontamination.judged(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert got == want
+
+
+def test_items_with_a_word_replaced_added_or_left_out(spark):
+    """Every single edit of items of 12 words or more is found; texts that share a few words are not."""
+    items = [
+        (1, "two large horses graze behind that red wooden barn until late evening"),
+        (2, ITEMS[1][1]),
+        (3, "Which river of the north flows past the garden where winter music was first heard by light of day and night?"),
+    ]
+    made, want = [], {}
+    for item, text in items:
+        words = text.split()
+        for at in range(len(words)):
+            for edit in (words[:at] + ["changed"] + words[at + 1 :], words[:at] + ["added"] + words[at:], words[:at] + words[at + 1 :]):
+                want[len(made)] = [item]
+                made.append(f"before it all {' '.join(edit)} and then some")
+    for item, text in items:
+        words = text.split()
+        want[len(made)] = []
+        made.append(f"before it all {' '.join(words[: len(words) // 3])} and then some")
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r["items"] for r in decontamination.judged(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    missed = [made[i] for i in want if want[i] and want[i] != got[i]]
+    assert not missed, missed
+    assert got == want
+
+
+def template(text):
+    """The words of a text with slots, and with their values, as a plain program has them."""
+    words = re.findall(r"[0-9]+(?:[.,][0-9]+)*|[^\W\d_]\w*", text)
+    kinds = []
+    for word in words:
+        small = word.lower()
+        number, unit = word[0].isdigit(), small in decontamination.UNITS
+        name = word[0] != word[0].lower() and small not in decontamination.SENTENCE_WORDS
+        kinds.append("<number>" if number else "<unit>" if unit else "<name>" if name else small)
+    return kinds, [w.lower() for w in words]
+
+
+def test_questions_asked_anew_against_a_plain_program(spark):
+    """Names, numbers and units are exchanged, alike or not where the item repeats one."""
+    import random
+
+    draw = random.Random(12)
+    names, units = ["Tom", "Anna", "Kim", "Maria", "Otto"], ["km", "hours", "dollars"]
+    forms = [
+        "{a} walks {x} {u} from the old mill and then {b} walks {x} {u} back to where {a} began the day",
+        "if {a} sells {x} loaves for {y} {u} each how much more than {y} {u} does {a} have when all {x} are sold",
+    ]
+
+    def filled(form, a, b, x, y, u):
+        return form.format(a=a, b=b, x=x, y=y, u=u)
+
+    items = [(i, filled(form, "Tom", "Anna", 12, 5, "km")) for i, form in enumerate(forms)]
+    made = []
+    for form in forms:
+        for _ in range(12):
+            a, b = draw.sample(names, 2)
+            x, y = draw.sample(range(2, 99), 2)
+            text = filled(form, a, b, x, y, draw.choice(units))
+            made += [text, text.replace(str(x), str(x + 1), 1), text.replace(a, "Fritz", 1)]
+    made = [f"so then {text} and on" for text in made]
+    want = {}
+    for n, text in enumerate(made):
+        kinds, values = template(text)
+        want[n] = []
+        for item, asked in items:
+            own, given = template(asked)
+            at = next((i for i in range(len(kinds)) if kinds[i : i + len(own)] == own), None)
+            if at is not None:
+                pairs = {(v, w) for v, w, k in zip(given, values[at:], own) if k[0] == "<"}
+                consistent = len({v for v, _ in pairs}) == len(pairs)
+                # Or half of the windows are the item's own, values and all.
+                hits = sum(values[at + i : at + i + 4] == given[i : i + 4] for i in range(len(own) - 3))
+                if consistent or hits >= min(10, -(-(len(own) - 3) // 2)):
+                    want[n].append(item)
+    assert 20 < sum(map(len, want.values())) < len(made)
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r["items"] for r in decontamination.judged(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == want
