@@ -122,7 +122,7 @@ def test_the_order_of_words_shows(spark):
     docs = spark.createDataFrame([(i, t, "en", "", 0) for i, t in enumerate([*good, *bad])], DOCS)
     labels = spark.createDataFrame([(i, 1) for i in range(300)], "doc_id long, quality int")
     kept = {r.doc_id for r in quality.judged(docs, labels).collect() if r.kept}
-    assert len(kept & set(range(300, 400))) >= 95
+    assert len(kept & set(range(300, 400))) >= 90  # SHARE loses one in twenty
     assert len(kept & set(range(400, 400 + len(bad)))) <= 5
 
 
