@@ -2,9 +2,10 @@
 
 A pre-token's length in tokens is looked up in two tiers: a broadcast table of the
 frequent pre-tokens, and behind it a cache in each worker, filled by encoding what
-it misses. The broadcast table has FREQUENT entries at most. It is drawn from a
-bounded sample of SAMPLED documents, which decides about speed only; every text is
-counted whole.
+it misses. The broadcast table has FREQUENT entries at most. They are found over all
+documents: each task that reads texts keeps a Misra-Gries summary of its pre-tokens, and
+only the summaries, of SUMMARY counters at most, are shuffled and added up. The table
+decides about speed only.
 
 Defined results: a null text counts as empty: 0 bytes and 0 tokens. Rows that share
 a doc_id are counted each for itself; a null doc_id stays null. An empty table gives
@@ -25,12 +26,15 @@ from pyspark.sql import functions as F
 
 from millrace.llm.bpe import BytePairs, Remembered, Splitter, read_vocabulary
 from millrace.llm.common import pick, text_or_empty
+from millrace.llm.exact_dedup import misra_gries
 
 #: Entries of the broadcast table and the longest pre-token in it: it has 8 MB at most before compression.
 FREQUENT = 65_536
 FREQUENT_BYTES = 64
-#: Documents that the frequent pre-tokens are drawn from.
-SAMPLED = 20_000
+#: Counters of a task's summary.
+SUMMARY = 65_536
+#: Tasks that the frequent pre-tokens are encoded in.
+ENCODERS = 16
 
 
 class Lengths(Remembered):
@@ -48,10 +52,8 @@ def _packed(rows: list[tuple[str, int]]) -> bytes:
     return zlib.compress(words + b"\xff" + array("H", [n for _, n in rows]).tobytes())
 
 
-def frequent_lengths(docs: DataFrame, source, sampled: int = SAMPLED, frequent: int = FREQUENT) -> bytes:
+def frequent_lengths(docs: DataFrame, source, summary: int = SUMMARY, frequent: int = FREQUENT) -> bytes:
     """The packed table of frequent pre-tokens; ``source`` is the broadcast vocabulary."""
-    rows = docs.count()
-    sample = docs.select("text").sample(min(1.0, sampled / rows), 1).limit(2 * sampled) if rows else docs.select("text")
 
     def count(batches):
         split, seen = Splitter(json.loads(source.value)), Counter()
@@ -59,8 +61,12 @@ def frequent_lengths(docs: DataFrame, source, sampled: int = SAMPLED, frequent:
             for text in batch.column(0).to_pylist():
                 for _, words in split.pieces(text or ""):
                     seen.update(words)
-        top = [(w, n) for w, n in seen.most_common(frequent) if len(w.encode()) <= FREQUENT_BYTES and "\0" not in w]
-        yield pa.RecordBatch.from_pylist([{"word": w, "n": n} for w, n in top], COUNTED)
+                # Room for as many again: the summary is sorted once in a while only.
+                if len(seen) > 2 * summary:
+                    seen = misra_gries(seen, summary)
+        top = [(w, n) for w, n in misra_gries(seen, summary).items() if len(w.encode()) <= FREQUENT_BYTES and "\0" not in w]
+        words, numbers = zip(*top) if top else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(numbers, pa.int64())], ["word", "n"])
 
     def measure(batches):
         pairs = BytePairs(json.loads(source.value))
@@ -70,18 +76,17 @@ def frequent_lengths(docs: DataFrame, source, sampled: int = SAMPLED, frequent:
             yield pa.RecordBatch.from_arrays([words, pa.array(sizes, pa.int64())], ["word", "n"])
 
     top = (
-        sample.mapInArrow(count, "word string, n long")
+        docs.select("text")
+        .mapInArrow(count, "word string, n long")
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "word")
         .limit(frequent)
+        .repartition(ENCODERS)
     )
     return _packed([(row.word, row.n) for row in top.select("word", "n").mapInArrow(measure, "word string, n long").collect()])
 
 
-COUNTED = pa.schema([("word", pa.string()), ("n", pa.int64())])
-
-
 def token_counts(docs: DataFrame, vocabulary: str, limit: int = 1024, **sizes) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit (more than ``limit`` tokens) of every text."""
     docs = pick(docs, "doc_id", "text")

@@ -65,13 +65,23 @@ def test_counts_equal_the_library_with_small_tables(spark):
     given = [*texts(), None]
     docs = frame(spark, [(i, t, "x", "y", 1) for i, t in enumerate(given)])
     library = Tokenizer.from_file(BYTE)
-    for sizes in ({}, {"sampled": 20, "frequent": 10}):
+    for sizes in ({}, {"summary": 20, "frequent": 10}):
         got = {r.doc_id: tuple(r) for r in token_counts.token_counts(docs, BYTE, limit=20, **sizes).collect()}
         for i, t in enumerate(given):
             n = len(library.encode(t or "", add_special_tokens=False).ids)
             assert got[i] == (i, len((t or "").encode()), n, n > 20), t
 
 
+def test_frequent_words_come_from_all_documents(spark):
+    """A word that fills the last documents only is found, with its length, whatever the summaries hold."""
+    rows = [(i, f"once{i} other{i * 7}", "", "", 0) for i in range(400)] + [(1000 + i, "lately " * 50, "", "", 0) for i in range(100)]
+    docs = frame(spark, rows).coalesce(3)
+    source = spark.sparkContext.broadcast(bpe.read_vocabulary(BYTE))
+    lengths = token_counts.Lengths(token_counts.frequent_lengths(docs, source, summary=8, frequent=4), None)
+    found = {word.strip("Ġ "): n for word, n in lengths.frequent.items()}
+    assert len(lengths.frequent) <= 4 and found["lately"] == len(Tokenizer.from_file(BYTE).encode(" lately").ids)
+
+
 def test_empty_tables(spark):
     docs = frame(spark, [])
     assert bpe.decode(bpe.encode(docs, WORD), WORD).collect() == []
