@@ -22,6 +22,7 @@ result. Columns other than those named do not matter.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ SHARE = 0.95
 LEAST = 20
 #: Trusted ids that are broadcast, 8 bytes each; beyond, they are joined by a shuffle of the texts.
 BROADCAST_IDS = 5_000_000
-#: 12 bytes each; more n-grams are joined instead of broadcast.
+#: 12 bytes each, fewer as packed; more n-grams are joined instead of broadcast.
 BROADCAST_GRAMS = 8_000_000
 #: Distinct n-grams that a task holds before it passes its counts on.
 HELD = 2_000_000
@@ -162,14 +163,35 @@ class Lookup:
         return self.values[at]
 
 
+def _packed(scores: DataFrame) -> list[tuple[bytes, bytes]]:
+    """Pieces of sorted n-grams, as compressed steps, and their losses. One partition after the other passes the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches]
+        if held:
+            grams, losses = (np.concatenate(column) for column in zip(*held))
+            order = np.argsort(grams)
+            # Byte planes of the steps: the upper ones are nearly all zero.
+            steps = np.diff(grams[order], prepend=0).view(np.uint8).reshape(-1, 8).T.tobytes()
+            packed = [zlib.compress(steps, 1)], [losses[order].astype(np.float32).tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array(column, pa.binary()) for column in packed], ["grams", "losses"])
+
+    pieces = scores.select("gram", "loss").mapInArrow(run, "grams binary, losses binary")
+    return [(bytes(piece.grams), bytes(piece.losses)) for piece in pieces.toLocalIterator()]
+
+
+def _unpacked(pieces: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    steps = [np.frombuffer(zlib.decompress(grams), np.uint8).reshape(8, -1).T for grams, _ in pieces]
+    grams = [np.cumsum(np.ascontiguousarray(own).view(np.int64).ravel()) for own in steps]
+    losses = [np.frombuffer(losses, np.float32) for _, losses in pieces]
+    return np.concatenate([np.zeros(0, np.int64), *grams]), np.concatenate([np.zeros(0, np.float32), *losses])
+
+
 def _losses_by_lookup(docs: DataFrame, scores: DataFrame, order: int) -> DataFrame:
-    table = scores.toArrow()
-    given = docs.sparkSession.sparkContext.broadcast(
-        (table.column("gram").to_numpy(), table.column("loss").to_numpy().astype(np.float32))
-    )
+    given = docs.sparkSession.sparkContext.broadcast(_packed(scores))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loss = Lookup(*given.value)
+        loss = Lookup(*_unpacked(given.value))
         for batch in batches:
             sums = [
                 sum(float(loss(c).sum(dtype=np.float64)) for c in _chunks(iter([text]), order))
@@ -177,7 +199,10 @@ def _losses_by_lookup(docs: DataFrame, scores: DataFrame, order: int) -> DataFra
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sums, pa.float64())], ["row", "bytes", "loss"])
 
-    return docs.select("row", "text", "bytes").mapInArrow(run, "row long, bytes long, loss double")
+    found = saved(docs.select("row", "text", "bytes").mapInArrow(run, "row long, bytes long, loss double"))
+    # Written, so nothing needs the table again: the driver need not hold it beside the next one.
+    given.destroy()
+    return found
 
 
 def _losses_by_join(docs: DataFrame, scores: DataFrame, order: int) -> DataFrame:

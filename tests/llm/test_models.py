@@ -105,6 +105,16 @@ def test_perplexity_against_a_plain_model(spark, broadcast_grams):
         assert math.isclose(r.perplexity, math.exp(sum(map(loss, map(int, grams))) / len(grams)), rel_tol=1e-4)
 
 
+def test_packed_losses_come_back(spark):
+    draw = random.Random(3)
+    known = {draw.randrange(1 << 40): -math.log(draw.random()) for _ in range(5000)}
+    scores = spark.createDataFrame([*known.items()], "gram long, loss double").repartition(7, "gram")
+    for table in (scores, scores.limit(1), scores.limit(0)):
+        want = {r.gram: np.float32(r.loss) for r in table.collect()}
+        grams, losses = quality._unpacked(quality._packed(table))
+        assert len(grams) == len(want) and dict(zip(grams.tolist(), losses)) == want
+
+
 def test_the_order_of_words_shows(spark):
     """Sentences of a grammar, and the same words shuffled or repeated."""
     draw = random.Random(11)
