@@ -1,20 +1,23 @@
 """Licence scans: texts compared to licence templates by the Dice coefficient of word bigrams.
 
-A document is looked at as a whole, by paragraph, by line and by sentence, as a licence
-may stand alone or among other text. Each of these, normalised to lower-case words, has
-a set A of word bigrams, a template a set B, and Dice is 2 |A n B| / (|A| + |B|). It can reach a
-threshold t only if |A| lies between t / (2 - t) and (2 - t) / t times |B|, which leaves few
-templates for most segments, and only if a bigram is shared at all.
+A document is looked at as a whole, by paragraph, by line and by sentence, and, for each
+template, by runs of as many words as the template has, wherever they begin: so a licence
+is found alone, in a comment block, wrapped over lines or amid other words. Each of these, normalised
+to lower-case words, has a set A of word bigrams, a template a set B, and Dice is 2 |A n B| / (|A| + |B|).
+It can reach a threshold t only if |A| lies between t / (2 - t) and (2 - t) / t times |B|, and only if A
+holds t / (2 - t) of B. The first bound leaves few templates for most segments; the second leaves few
+documents, and in them the runs around so many hits.
 
 Defined results: a null text has no segments; a segment of fewer than two words has no
-bigrams and matches nothing; of segments that match a template equally well the first counts;
-of templates with the same coefficient the first by name. Rows that share a doc_id are scanned
+bigrams and matches nothing; the best coefficient of a licence counts, in whichever part it is found, and
+licences with the same coefficient come by name. Rows that share a doc_id are scanned
 each for itself. An empty table gives an empty result. Columns other than doc_id and text do
 not matter.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
@@ -40,6 +43,29 @@ TEMPLATES = [
         "\"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
         "specific language governing permissions and limitations under the License.",
     ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version.",
+    ),
+    (
+        "BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission.",
+    ),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
@@ -47,6 +73,12 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+        "later version.",
+    ),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     (
         "GPL-3.0",
@@ -54,6 +86,17 @@ TEMPLATES = [
         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
         "later version.",
     ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    (
+        "LGPL-3.0",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version.",
+    ),
     ("MIT", "Released under the MIT License."),
     ("MIT", "This project is licensed under the terms of the MIT license."),
     (
@@ -65,6 +108,12 @@ TEMPLATES = [
         "copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     ),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+        "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+        "commercial or non-commercial, and by any means.",
+    ),
 ]
 
 _WORDS = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
@@ -111,12 +160,16 @@ class Templates:
     def __init__(self, templates: list[tuple[str, str]], threshold: float):
         if not 0 < threshold <= 1:
             raise ValueError("the threshold lies above 0 and up to 1")
-        made = sorted((len(b), name, b) for name, text in templates if (b := frozenset(zip(w := words(text), w[1:]))))
+        cut = [(name, words(text)) for name, text in templates]
+        made = sorted(((len(b), name, len(w), b) for name, w in cut if (b := frozenset(zip(w, w[1:])))), key=lambda m: m[:3])
         self.threshold = threshold
-        self.sizes = [size for size, _, _ in made]
-        self.names = [name for _, name, _ in made]
+        self.sizes = [size for size, _, _, _ in made]
+        self.names = [name for _, name, _, _ in made]
+        #: Bigrams in a run of a template's length, and how many of the template's it must hold.
+        self.widths = [width - 1 for _, _, width, _ in made]
+        self.needs = [max(1, math.ceil(size * threshold / (2 - threshold) - 1e-9)) for size in self.sizes]
         self.at: dict[tuple[str, str], list[int]] = defaultdict(list)
-        for i, (_, _, bigrams) in enumerate(made):
+        for i, (_, _, _, bigrams) in enumerate(made):
             for bigram in bigrams:
                 self.at[bigram].append(i)
         self.known = frozenset(self.at)
@@ -135,15 +188,64 @@ class Templates:
             if (dice := 2 * n / (size + self.sizes[i])) >= t:
                 yield self.names[i], dice
 
+    def runs(self, i: int, bigrams: list[tuple[str, str]], hits: list[int]) -> tuple[float, int]:
+        """The best coefficient of template ``i`` with a run of its length, and how many runs that do not overlap reach the threshold.
+
+        ``hits`` are the places of the template's bigrams. Only runs that hold enough of them are looked at.
+        """
+        width, need, last = self.widths[i], self.needs[i], len(bigrams) - self.widths[i]
+        own, inside, best, places, free = Counter(), 0, 0.0, 0, 0
+        begin = end = 0  # own counts the bigrams from begin to end
+        for first, final in zip(hits, hits[need - 1 :]):
+            for start in range(max(begin, 0, final - width + 1), min(first, last) + 1):
+                if start >= end:
+                    own, inside, begin, end = Counter(), 0, start, start
+                while begin < start:
+                    gone = bigrams[begin]
+                    own[gone] -= 1
+                    if not own[gone]:
+                        del own[gone]
+                        inside -= i in self.at.get(gone, ())
+                    begin += 1
+                while end < start + width:
+                    if bigrams[end] not in own:
+                        inside += i in self.at.get(bigrams[end], ())
+                    own[bigrams[end]] += 1
+                    end += 1
+                dice = 2 * inside / (len(own) + self.sizes[i])
+                if dice >= self.threshold:
+                    best = max(best, dice)
+                    if start >= free:
+                        places, free = places + 1, start + width + 1
+        return best, places
+
     def best(self, text: str) -> list[dict]:
-        """For each licence found in a text, its best coefficient and in how many segments it was found."""
+        """For each licence found in a text, its best coefficient and in how many segments it was found, or in how many runs alone."""
+        found = words(text)
+        bigrams = list(zip(found, found[1:]))
+        hits: dict[int, list[int]] = defaultdict(list)
+        for place, bigram in enumerate(bigrams):
+            if bigram in self.known:
+                for i in self.at[bigram]:
+                    hits[i].append(place)
+        # Neither a segment nor a run can hold more of a template than the whole text.
+        likely = [i for i, at in hits.items() if len({bigrams[place] for place in at}) >= self.needs[i]]
+        if not likely:
+            return []
         best: dict[str, float] = {}
         seen: Counter = Counter()
-        for found in segments(text):
-            for name, dice in {n: d for n, d in sorted(self.matches(found))}.items():
+        amid: dict[str, int] = {}
+        for part in segments(text):
+            # A licence has several templates: of those that a segment reaches the best one counts.
+            for name, dice in {n: d for n, d in sorted(self.matches(part))}.items():
                 best[name] = max(dice, best.get(name, 0.0))
                 seen[name] += 1
-        return [{"license": n, "dice": best[n], "segments": seen[n]} for n in sorted(best, key=lambda n: (-best[n], n))]
+        for i in likely:
+            dice, places = self.runs(i, bigrams, hits[i])
+            if places:
+                name = self.names[i]
+                best[name], amid[name] = max(dice, best.get(name, 0.0)), max(places, amid.get(name, 0))
+        return [{"license": n, "dice": best[n], "segments": seen[n] or amid[n]} for n in sorted(best, key=lambda n: (-best[n], n))]
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -89,6 +90,48 @@ def dice(one, two):
     return 2 * len(a & b) / (len(a) + len(b)) if a and b else 0
 
 
+def all_runs(text):
+    """Every run of words that is as long as a template, by a cut into words of its own."""
+    found = re.findall(r"[^\W_]+(?:[.'-][^\W_]+)*", text.lower())
+    best = {}
+    for name, template in licenses.TEMPLATES:
+        n = len(licenses.words(template))
+        for at in range(len(found) - n + 1):
+            if (d := dice(" ".join(found[at : at + n]), template)) >= licenses.THRESHOLD:
+                best[name] = max(d, best.get(name, 0))
+    return best
+
+
+def test_licenses_amid_other_words(spark):
+    """In comment blocks, wrapped, between other words, twice in a row: as an exhaustive search over runs of words has it."""
+    draw = random.Random(8)
+
+    def wrapped(text, mark, width):
+        words = text.split()
+        return "\n".join(mark + " ".join(words[i : i + width]) for i in range(0, len(words), width))
+
+    texts = []
+    for name, template in licenses.TEMPLATES:
+        for mark in ("# ", " * ", "// ", ""):
+            around = [" ".join(draw.choices(["some", "of", "the", "other", "words", "license", "this"], k=draw.randrange(1, 9))) for _ in range(2)]
+            body = wrapped(template, mark, draw.randrange(3, 12))
+            texts.append((name, f"{mark}Copyright {around[0]}\n{mark}\n{body}\n{mark}Author: {around[1]}"))
+            changed = template.split()
+            changed[draw.randrange(len(changed))] = "other"
+            texts.append((None, f"{around[0]} {' '.join(changed)} {around[1]} {' '.join(changed[len(changed) // 4 :])} {template}"))
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string").repartition(3)
+    for row in licenses.scan(docs).collect():
+        name, text = texts[row.doc_id]
+        want = all_runs(text)
+        for part in licenses.segments(text):
+            for other, template in licenses.TEMPLATES:
+                if (d := dice(" ".join(part), template)) >= licenses.THRESHOLD:
+                    want[other] = max(d, want.get(other, 0))
+        got = {f.license: f.dice for f in row.found}
+        assert got == want and all(f.segments for f in row.found)
+        assert name is None or got[name] == 1.0
+
+
 def test_licenses_against_all_templates(spark):
     draw = random.Random(2)
     lines = [text for _, text in licenses.TEMPLATES] + ["plain words of a text", "License", "the license of the work"]
@@ -109,5 +152,7 @@ def test_licenses_against_all_templates(spark):
             for name, text in licenses.TEMPLATES:
                 if (d := dice(" ".join(found), text)) >= licenses.THRESHOLD:
                     want[name] = max(d, want.get(name, 0))
+        for name, d in all_runs(([*texts, None, "", "x" * 100_000, texts[0]][row.doc_id]) or "").items():
+            want[name] = max(d, want.get(name, 0))
         assert {f.license: f.dice for f in row.found} == want
     assert licenses.scan(docs.limit(0)).collect() == []
