@@ -4,7 +4,9 @@ A text is a sparse vector of the words and word beginnings that tell toxic texts
 others, each with 1 + log of its count. One weight vector w serves all ordered grades
 of severity, and each threshold b_k has P(grade >= k) = 1 / (1 + exp(b_k - w x)). The
 expected severity is the sum of these over k = 1, 2, ... A text is rejected where
-P(grade >= 1) reaches a half.
+P(grade >= 1) reaches a half. The fit maximises the likelihood of the grades, whose
+probabilities are differences of neighbouring links; the gaps between thresholds are
+exponentials, so they stay in order.
 
 The model is fitted on SAMPLE labelled documents at most, those with the smallest
 hashes of doc_id, equal texts once. Grades above zero come from labels of two values
@@ -19,6 +21,7 @@ empty table gives an empty result. Columns other than those named do not matter.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -35,7 +38,7 @@ from millrace.llm.common import apart, pick, saved, text_or_empty
 
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE = 20_000
-#: Features of the model, at most, and how many toxic examples must have one, as a number and as a share.
+#: Parameters of the model: features, those that tell the most toxic examples apart, and how many toxic examples must have one, as a number and as a share.
 FEATURES = 4_096
 SEEN = 4
 SEEN_SHARE = 0.005
@@ -45,7 +48,7 @@ RATIO = 20.0
 GRADES = (1, 3, 6)
 #: Lengths of word beginnings.
 BEGINNINGS = (3, 4, 5, 6)
-#: Letters of a word that count; longer ones are no words.
+#: Longer words are known by a digest of all their letters.
 LONGEST = 64
 PENALTY = 1e-3
 STEPS = 400
@@ -55,7 +58,8 @@ _WORDS = re.compile(r"[^\W_]+").findall
 
 def features(word: str) -> list[str]:
     """The word and its beginnings, which end in a sign that no word has."""
-    return [word[:LONGEST], *(word[:n] + "~" for n in BEGINNINGS if len(word) > n)]
+    whole = word if len(word) <= LONGEST else hashlib.sha256(word.encode("utf-8", "surrogatepass")).hexdigest()
+    return [whole, *(word[:n] + "~" for n in BEGINNINGS if len(word) > n)]
 
 
 @dataclass
@@ -136,29 +140,52 @@ def graded(words: int) -> int:
     return max(1, sum(words >= least for least in GRADES))
 
 
-def _fit_matrix(rows: list[tuple[int, list[int], list[float]]], width: int, grades: int):
-    """Weights and thresholds of the cumulative-link model, by gradient steps of adapted size.
+def _loss_and_slopes(total: np.ndarray, y: np.ndarray, weight: np.ndarray, first: float, gaps: np.ndarray):
+    """Minus the weighted log likelihood of grades ``y``; its slopes by ``total``, the first threshold and the logs of the gaps.
 
-    Both classes of P(grade >= k) weigh the same for k = 1: clean texts are many.
+    With u = P(grade >= y) and v = P(grade >= y + 1), the probability of y is u - v = u (1 - v) (1 - exp(-gap)).
     """
-    y = np.array([r[0] for r in rows])
+    edges = np.concatenate([[-np.inf, first], first + np.cumsum(np.exp(gaps)), [np.inf]])
+    lower, upper = edges[y], edges[y + 1]
+
+    def link(x):
+        return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
+
+    u, v = link(total - lower), link(total - upper)
+    below, above = link(lower - total), link(upper - total)  # 1 - u and 1 - v without their rounding
+    apart = -np.expm1(-np.maximum(upper - lower, 1e-12))
+    loss = -(weight * (np.log(u) + np.log(above) + np.log(apart))).sum()
+    grades = len(gaps) + 1
+    at_lower = np.bincount(y, weight * below / (above * apart) * (y > 0), grades + 1)[1:]
+    at_upper = np.bincount(y, weight * v / (u * apart) * (y < grades), grades + 1)[:-1]
+    by_edge = at_lower - at_upper
+    # A gap moves every threshold after it.
+    by_gap = np.exp(gaps) * by_edge[::-1].cumsum()[::-1][1:]
+    return loss, weight * (v - below), by_edge.sum(), by_gap
+
+
+def _fit_matrix(rows: list[tuple[int, list[int], list[float]]], width: int, grades: int, penalty: float = PENALTY, steps: int = STEPS):
+    """Weights and thresholds of the cumulative-link model, by gradient steps of adapted, shrinking size.
+
+    Clean and toxic texts weigh the same as a whole: clean ones are many.
+    """
+    y = np.array([r[0] for r in rows]).clip(0)
     at = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
     column = np.concatenate([np.asarray(r[1], dtype=np.int64) for r in rows])
     value = np.concatenate([np.asarray(r[2], dtype=float) for r in rows])
     toxic = max(1, int((y > 0).sum()))
     weight = np.where(y > 0, 0.5 / toxic, 0.5 / max(1, len(y) - toxic))
-    w, b = np.zeros(width), np.linspace(0.5, 2.0, grades)
-    mean, square = np.zeros(width + grades), np.zeros(width + grades)
-    reaches = (y[:, None] >= np.arange(1, grades + 1)).astype(float)
-    for step in range(1, STEPS + 1):
-        total = np.bincount(at, w[column] * value, len(rows))
-        # Each threshold's own logistic loss: their sum is smooth, and sorting keeps them in order.
-        error = (1 / (1 + np.exp(np.clip(b - total[:, None], -500, 500))) - reaches) * weight[:, None]
-        slope = np.concatenate([np.bincount(column, error.sum(1)[at] * value, width) + PENALTY * w / width, -error.sum(0)])
+    found = np.concatenate([np.zeros(width), [0.5], np.zeros(grades - 1)])
+    mean, square = np.zeros(len(found)), np.zeros(len(found))
+    for step in range(1, steps + 1):
+        w, first, gaps = found[:width], found[width], found[width + 1 :]
+        _, by_total, by_first, by_gap = _loss_and_slopes(np.bincount(at, w[column] * value, len(rows)), y, weight, first, gaps)
+        by_weight = np.bincount(column, by_total[at] * value, width) + penalty * w / width
+        slope = np.concatenate([by_weight, [by_first], by_gap])
         mean, square = 0.9 * mean + 0.1 * slope, 0.999 * square + 0.001 * slope**2
-        move = 0.1 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-12)
-        w, b = w - move[:width], np.sort(b - move[width:])
-    return w, b
+        size = 0.1 * (1 - (step - 1) / steps)
+        found = found - size * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-12)
+    return found[:width], found[width] + np.concatenate([[0.0], np.cumsum(np.exp(found[width + 1 :]))])
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:

@@ -41,6 +41,43 @@ def test_toxicity_on_held_out_documents(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, r in got.items() if r.kept)
 
 
+def test_the_fit_is_that_of_a_plain_optimiser():
+    """Grades drawn from the model itself; the likelihood written out, its slopes by differences, small steps downhill."""
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(120, 3))
+    chance = 1 / (1 + np.exp(np.array([0.0, 1.0, 2.5]) - (x @ [1.5, -1.0, 0.5])[:, None]))
+    y = (draw.random(120)[:, None] < chance).sum(1)
+    rows = [(int(g), [0, 1, 2], list(r)) for g, r in zip(y, x)]
+    weight = np.where(y > 0, 0.5 / (y > 0).sum(), 0.5 / (y == 0).sum())
+
+    def loss(p):
+        edges = np.cumsum([p[3], np.exp(p[4]), np.exp(p[5])])
+        at_least = np.column_stack([np.ones(120), 1 / (1 + np.exp(edges - (x @ p[:3])[:, None])), np.zeros(120)])
+        each = at_least[np.arange(120), y] - at_least[np.arange(120), y + 1]
+        return -(weight * np.log(each)).sum() + 0.03 * (p[:3] ** 2).sum() / 6
+
+    def slopes(p):
+        return np.array([(loss(p + step) - loss(p - step)) / 2e-6 for step in 1e-6 * np.eye(6)])
+
+    plain = np.array([0.0, 0.0, 0.0, 0.5, 0.0, 0.0])
+    for _ in range(4000):
+        plain = plain - 0.5 * slopes(plain)
+    w, b = toxicity._fit_matrix(rows, 3, 3, penalty=0.03)
+    own = np.concatenate([w, b[:1], np.log(np.diff(b))])
+    assert abs(loss(own) - loss(plain)) < 1e-5 and np.allclose(own, plain, atol=0.02)
+    value, by_total, by_first, by_gap = toxicity._loss_and_slopes(x @ own[:3], y, weight, own[3], own[4:])
+    assert math.isclose(value + 0.03 * (w**2).sum() / 6, loss(own), rel_tol=1e-9)
+    assert np.allclose([*(by_total @ x + 0.03 * w / 3), by_first, *by_gap], slopes(own), atol=1e-6)
+
+
+def test_long_words_are_read_whole(spark):
+    """Words that differ beyond their first hundred letters only."""
+    rows = [(i, f"of the river {i} {'z' * 100}{'q' if i % 2 else 'k'}", "en", "", 0) for i in range(80)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, grade int"))
+    assert {r.doc_id for r in toxicity.scored(docs, model).collect() if not r.kept} == set(range(1, 80, 2))
+
+
 def test_toxicity_with_given_grades_and_without_examples(spark):
     rows, labels = corpus(300, 2)
     docs = spark.createDataFrame(rows, DOCS)
