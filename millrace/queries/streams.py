@@ -45,7 +45,10 @@ from millrace.streaming.stages import open_batches
 
 
 #: Files that the events land in, and the rows from which on there are more of them.
-FILES, FILE_ROWS = 5, 1_000_000
+FILES, FILE_ROWS = 5, 2_000_000
+
+#: Tasks that work on the rows of a file, which one task reads.
+SHARES = 16
 
 
 def _arriving(spark, sf_dir, backwards=False, **columns):
@@ -62,7 +65,7 @@ def _arriving(spark, sf_dir, backwards=False, **columns):
         own = spark.read.parquet(staged).filter(F.col("_part") == number).drop("_part")
         own.coalesce(1).write.parquet(f"{landed}/{place}")
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{landed}/*")
-    return event_envelopes(stream, **columns)
+    return event_envelopes(stream.repartition(SHARES, "event_id"), **columns)
 
 
 def _drained(spark, stream):

@@ -61,6 +61,9 @@ def with_partitions(messages: DataFrame) -> DataFrame:
 
 LOG_PARTITIONS = ["day", "topic_root"]
 
+#: Files that a micro-batch of a stream writes for each partition, at most.
+WRITERS = 4
+
 
 def append(messages: DataFrame, path: str) -> None:
     """Append to the log. Rows of a partition come together, so files stay few and large."""
@@ -113,6 +116,8 @@ def start_fates(fates: DataFrame, path: str, checkpoint: str, **trigger) -> Stre
 
 
 def _start(rows: DataFrame, path: str, by: list[str], checkpoint: str, trigger: dict) -> StreamingQuery:
-    writer = rows.writeStream.format("parquet").outputMode("append")
+    # A micro-batch writes a few files for each partition, not one from every task.
+    together = rows.repartition(*by, F.pmod(F.xxhash64("stream_id"), F.lit(WRITERS)))
+    writer = together.writeStream.format("parquet").outputMode("append")
     writer = writer.partitionBy(*by).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start(path)

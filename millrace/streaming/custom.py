@@ -9,17 +9,23 @@ stages and their order stay as they are.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from functools import partial, reduce
+from itertools import groupby
+from operator import itemgetter
 from typing import Any
 
-from pyspark.sql import DataFrame, Row
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.operators.stateless import enrich, filter_types, transform
 from millrace.plans.pipeline import Stage
 from millrace.plans.spec import PipelineSpec
 from millrace.streaming import stages as ordered
+from millrace.streaming.packets import Packets, stateful_stage
 from millrace.streaming.pipeline import configure_state
 
 Fold = Callable[[tuple | None, dict[str, Any]], tuple[tuple | None, list[dict[str, Any]]]]
@@ -43,24 +49,20 @@ def stream_stages(spec: PipelineSpec, live: bool = False) -> list[Stage]:
     return built
 
 
-class _Fold(StatefulProcessor):
-    def __init__(self, name: str, state: str, fold: Fold, names: list[str]):
-        self.name, self.state, self.fold, self.names = name, state, fold, names
+class _Fold(Packets):
+    def __init__(self, name: str, state: pa.Schema, fold: Fold, rows: pa.Schema):
+        self.name, self.fields, self.fold, self.rows = name, state, fold, rows
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getValueState(self.name, self.state)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        found = self.held.get()
-        before = state = tuple(found) if found else None
-        for row in sorted(rows, key=lambda row: (row.timestamp, row.seq)):
-            state, events = self.fold(state, row.asDict())
-            for event in events:
-                yield Row(**{name: event[name] for name in self.names})
-        if state is None and before is not None:
-            self.held.clear()
-        elif state != before:
-            self.held.update(state)
+    def settled(self, rows, ids, held, clock):
+        out, changes = [], {}
+        for id_, own in groupby(zip(ids, rows.to_pylist()), key=itemgetter(0)):
+            before = state = held.get(id_)
+            for _, event in own:
+                state, events = self.fold(state, event)
+                out += events
+            if state != before:
+                changes[id_] = state
+        return pa.Table.from_pylist(out, schema=self.rows), changes
 
 
 def stateful(name: str, state: str, fold: Fold, by: tuple[str, ...] = ("stream_id",)) -> Stage:
@@ -72,12 +74,9 @@ def stateful(name: str, state: str, fold: Fold, by: tuple[str, ...] = ("stream_i
 
     def stage(df: DataFrame) -> DataFrame:
         configure_state(df.sparkSession)
-        return df.groupBy(*by).transformWithState(
-            statefulProcessor=_Fold(name, state, fold, df.columns),
-            outputStructType=df.schema,
-            outputMode="Append",
-            timeMode="None",
-        )
+        fields = to_arrow_schema(T.StructType.fromDDL(state))
+        processor = _Fold(name, fields, fold, to_arrow_schema(T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])))
+        return stateful_stage(df, F.to_json(F.struct(*by)), processor, df.schema.fields)
 
     return stage
 

@@ -17,234 +17,200 @@ With ``keep_dropped`` every event comes out once, unbatched, with the stage that
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
-from pyspark.sql import DataFrame, Row
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.envelope import COLUMNS, ENVELOPE
 from millrace.operators.slices import LOWEST
 from millrace.plans.many import SETTINGS, accepted_types, settings_of, settings_text, with_prepared
 from millrace.plans.pipeline import payload_bytes
 from millrace.plans.spec import PipelineSpec
+from millrace.streaming.packets import Packets, stateful_stage
 from millrace.streaming.pipeline import configure_state
-from millrace.streaming.stages import GRACE_MS
+from millrace.streaming.stages import GRACE_MS, MEMBER, MEMBER_NAMES, Cut, batch_of, envelope_table, payload_id, with_members
 
-_ASSIGNED = T.StructType(
-    [
-        *ENVELOPE.fields,
-        T.StructField("epoch", T.IntegerType()),
-        T.StructField("_set", T.StringType()),
-        T.StructField("_control", T.BooleanType()),
-    ]
-)
+ASSIGNED = [*ENVELOPE.fields, T.StructField("epoch", T.IntegerType()), T.StructField("_set", T.StringType()), T.StructField("_control", T.BooleanType())]
+WITH_EPOCH = [*ENVELOPE.fields, T.StructField("epoch", T.IntegerType())]
+CHANGE = pa.struct([("effective", pa.int64()), ("told", pa.string())])
 
 
-class _Assign(StatefulProcessor):
+class _Assign(Packets):
     """Holds the spec in force, its epoch, the latest event time, and changes still to come."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.now = handle.getValueState("now", "epoch int, latest bigint, told string")
-        self.coming = handle.getListState("coming", "effective bigint, told string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.now.get()
-        epoch, latest, told = tuple(held) if held else (0, LOWEST, None)
-        waiting = [tuple(entry) for entry in self.coming.get()]
-        before = list(waiting)
-        events = []
-        for row in rows:
-            if not row["_control"]:
-                events.append(row)
-            elif (settings := settings_text(row.payload)) is not None:
-                waiting.append((row.timestamp, settings))
-        waiting.sort()
-
-        def due(time: int) -> Iterator[Row]:
-            nonlocal epoch, told
-            while waiting and waiting[0][0] <= time:
-                start, told = waiting.pop(0)
-                epoch += 1
-                yield Row(**dict(zip(_ASSIGNED.names, (key[0], "", key[0], "", start, None, -1, epoch, told, True))))
-
-        yield from due(latest)
-        for row in sorted(events, key=lambda row: (row.timestamp, row.seq)):
-            yield from due(row.timestamp)
-            latest = max(latest, row.timestamp)
-            yield Row(**{name: row[name] for name in COLUMNS}, epoch=epoch, _set=told, _control=False)
-        self.now.update((epoch, latest, told))
-        if waiting != before:
-            if waiting:
-                self.coming.put(waiting)
-            else:
-                self.coming.clear()
-
-
-def _in_order(rows: Iterator[Row]) -> list[Row]:
-    return sorted(rows, key=lambda row: (row.epoch, not row["_control"], row.timestamp, row.seq))
-
-
-class _Held(StatefulProcessor):
+    name = "now"
+    fields = pa.schema([("epoch", pa.int32()), ("latest", pa.int64()), ("told", pa.string()), ("coming", pa.list_(CHANGE))])
+    # The changes of a micro-batch are known before its events.
+    order = (("_control", "descending"), ("timestamp", "ascending"), ("seq", "ascending"))
+
+    def settled(self, rows, ids, held, clock):
+        out, changes = [], {}
+        names = [*COLUMNS, "_control"]
+        lines = zip(ids, zip(*(rows[name].to_pylist() for name in names)))
+        for id_, own in groupby(lines, key=itemgetter(0)):
+            epoch, latest, told, coming = held.get(id_, (0, LOWEST, None, []))
+            waiting = [(entry["effective"], entry["told"]) for entry in coming]
+            events = []
+            for _, line in own:
+                if not line[-1]:
+                    events.append(line[:-1])
+                elif (settings := settings_text(line[COLUMNS.index("payload")])) is not None:
+                    waiting.append((line[COLUMNS.index("timestamp")], settings))
+            waiting.sort()
+            at = 0
+            for time, event in [(latest, None), *((event[COLUMNS.index("timestamp")], event) for event in events)]:
+                while at < len(waiting) and waiting[at][0] <= time:
+                    start, told = waiting[at]
+                    at, epoch = at + 1, epoch + 1
+                    out.append((id_, "", id_, "", start, None, -1, epoch, told, True))
+                if event is not None:
+                    latest = max(latest, time)
+                    out.append((*event, epoch, told, False))
+            changes[id_] = (epoch, latest, told, [{"effective": start, "told": settings} for start, settings in waiting[at:]])
+        return self.handed(out), changes
+
+    def handed(self, rows):
+        table = envelope_table([row[:8] for row in rows], [*COLUMNS, "epoch"])
+        table = table.append_column("_set", pa.array([row[8] for row in rows], pa.string()))
+        return table.append_column("_control", pa.array([row[9] for row in rows], pa.bool_()))
+
+
+class _Held(Packets):
     """What the ordered stages share: rows that pass untouched, and the fate of those that are dropped."""
 
+    order = (("epoch", "ascending"), ("_control", "descending"), ("timestamp", "ascending"), ("seq", "ascending"))
     stage: str
+    used: tuple[str, ...] = ()
 
-    def __init__(self, names: list[str], live: bool):
-        self.names, self.live = names, live
+    def untouched(self, rows: pa.Table, setting: str) -> pa.ChunkedArray:
+        """Whether a row has no part in the stage."""
+        free = pc.or_(rows["_control"], pc.is_null(rows[setting]))
+        return pc.or_(free, pc.is_valid(rows["dropped_by"])) if "dropped_by" in rows.column_names else free
 
-    def passed(self, row: Row, kept: bool) -> Iterator[Row]:
-        """The row itself if it is kept; else, where fates are told, the row with the stage that dropped it."""
-        if kept or "dropped_by" in self.names:
-            fields = {name: row[name] for name in self.names}
-            if not kept:
-                fields["dropped_by"] = self.stage
-            yield Row(**fields)
-
-    def untouched(self, row: Row, setting: str) -> bool:
-        dropped = "dropped_by" in self.names and row["dropped_by"] is not None
-        return row["_control"] or dropped or row[setting] is None
+    def passed(self, rows: pa.Table, kept: list[bool]) -> pa.Table:
+        """The rows that are kept; where fates are told, all rows, with the stage that dropped them."""
+        verdict, rows = pa.array(kept, pa.bool_()), rows.drop_columns(list(self.used))
+        if "dropped_by" not in rows.column_names:
+            return rows.filter(verdict)
+        told = pc.if_else(verdict, rows["dropped_by"], pa.scalar(self.stage, pa.string()))
+        return rows.set_column(rows.column_names.index("dropped_by"), "dropped_by", told)
 
 
 class _Dedup(_Held):
     """Holds the time at which a payload was last kept, and the epoch it belongs to."""
 
-    stage = "dedup"
+    name = stage = "dedup"
+    fields = pa.schema([("epoch", pa.int32()), ("kept", pa.int64()), ("timer", pa.int64())])
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.kept = handle.getValueState("kept", "epoch int, kept bigint, timer bigint")
+    def __init__(self, live: bool):
+        self.live = live
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.kept.get()
-        epoch, last, timer = tuple(held) if held else (None, None, None)
-        longest = None
-        for row in _in_order(rows):
-            if self.untouched(row, "_set_ttl") or row["_set_ttl"] < 0:
-                yield from self.passed(row, True)
+    def settled(self, rows, ids, held, clock):
+        passed, changes, before = [], {}, object()
+        epoch = last = None
+        columns = (rows[name].to_pylist() for name in ("epoch", "timestamp", "_set_ttl"))
+        for id_, free, now, time, ttl in zip(ids, self.untouched(rows, "_set_ttl").to_pylist(), *columns):
+            if free or ttl < 0:
+                passed.append(True)
                 continue
-            if row.epoch != epoch:
-                epoch, last = row.epoch, None
-            kept = last is None or row.timestamp - last > row["_set_ttl"]
+            if id_ != before:
+                before, (epoch, last, _) = id_, held.get(id_, (None, None, None))
+            if now != epoch:
+                epoch, last = now, None
+            kept = last is None or time - last > ttl
             if kept:
-                last, longest = row.timestamp, row["_set_ttl"]
-            yield from self.passed(row, kept)
-        if longest is not None:
-            if self.live:
-                if timer is not None:
-                    self.handle.deleteTimer(timer)
-                timer = timerValues.getCurrentProcessingTimeInMs() + longest + GRACE_MS
-                self.handle.registerTimer(timer)
-            self.kept.update((epoch, last, timer))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.kept.clear()
-        return iter(())
+                last = time
+                changes[id_] = (epoch, time, clock + ttl + GRACE_MS if self.live else None)
+            passed.append(kept)
+        return self.passed(rows, passed), changes
 
 
 class _Threshold(_Held):
     """Holds the number that was last let through, and the epoch it belongs to."""
 
-    stage = "threshold"
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.number = handle.getValueState("passed", "epoch int, passed double")
+    name, stage, used = "passed", "threshold", ("_number",)
+    fields = pa.schema([("epoch", pa.int32()), ("passed", pa.float64())])
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.number.get()
-        epoch, last = tuple(held) if held else (None, None)
-        moved = False
-        for row in _in_order(rows):
-            value = row["_number"]
-            if self.untouched(row, "_set_delta") or value is None:
-                yield from self.passed(row, True)
+    def settled(self, rows, ids, held, clock):
+        passed, changes, before = [], {}, object()
+        epoch = last = None
+        columns = (rows[name].to_pylist() for name in ("epoch", "_number", "_set_delta"))
+        for id_, free, now, value, delta in zip(ids, self.untouched(rows, "_set_delta").to_pylist(), *columns):
+            if free or value is None:
+                passed.append(True)
                 continue
-            if row.epoch != epoch:
-                epoch, last = row.epoch, None
-            kept = last is None or abs(value - last) >= row["_set_delta"]
+            if id_ != before:
+                before, (epoch, last) = id_, held.get(id_, (None, None))
+            if now != epoch:
+                epoch, last = now, None
+            kept = last is None or abs(value - last) >= delta
             if kept:
-                last, moved = value, True
-            yield from self.passed(row, kept)
-        if moved:
-            self.number.update((epoch, last))
+                last = value
+                changes[id_] = (epoch, value)
+            passed.append(kept)
+        return self.passed(rows, passed), changes
 
 
-class _Batch(StatefulProcessor):
+class _Batch(_Held):
     """Holds the epoch, the open tick, the time of the last event, and the members of the open batch."""
 
+    name = "open"
+    fields = pa.schema(
+        [("epoch", pa.int32()), ("due", pa.int64()), ("last", pa.int64()), ("interval", pa.int64()), ("timer", pa.int64()), ("open", pa.list_(MEMBER))]
+    )
+
     def __init__(self, live: bool):
         self.live = live
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.due = handle.getValueState("due", "epoch int, due bigint, last bigint, interval bigint, timer bigint")
-        self.open = handle.getListState("open", "topic string, source string, type string, payload string, seq bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.due.get()
-        epoch, due, last, interval, timer = tuple(held) if held else (None,) * 5
-        members = [tuple(member) for member in self.open.get()]
-        for row in _in_order(rows):
-            if row.epoch != epoch:
-                if members:
-                    yield self._closed(key, epoch, members, last)
-                epoch, due = row.epoch, None
-            if row["_control"]:
-                continue
-            size, interval = row["_set_size"], row["_set_interval"]
-            if size is None or not row["_whole"]:
-                yield Row(**{name: row[name] for name in COLUMNS}, epoch=epoch)
-                continue
-            time = row.timestamp
-            due = time + interval if due is None else due
-            if time >= due:
-                if members:
-                    yield self._closed(key, epoch, members, due)
-                due += interval * ((time - due) // interval + 1)
-            members.append((row.topic, row.source, row.type, row.payload, row.seq))
-            last = time
-            if len(members) >= size:
-                yield self._closed(key, epoch, members, time)
-                due = time + interval
-        if self.live:
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-            timer = timerValues.getCurrentProcessingTimeInMs() + interval if members else None
-            if timer is not None:
-                self.handle.registerTimer(timer)
-        self.due.update((epoch, due, last, interval, timer))
-        if members:
-            self.open.put(members)
-        else:
-            self.open.clear()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        members = [tuple(member) for member in self.open.get()]
-        held = self.due.get()
-        if members and held:
-            epoch, due, last, interval, _ = tuple(held)
-            yield self._closed(key, epoch, members, due)
-            self.due.update((epoch, due + interval, last, interval, None))
-            self.open.clear()
-
-    def _closed(self, key, epoch: int, members: list[tuple], time: int) -> Row:
-        _, source, type_, _, seq = members[0]
-        payload = "[" + ",".join("null" if text is None else text for _, _, _, text, _ in members) + "]"
-        topic = members[-1][0]
-        members.clear()
-        return Row(**dict(zip(COLUMNS, (key[0], topic, source, type_ + "_batch", time, payload, seq))), epoch=epoch)
-
-
-def _stage(rows: DataFrame, processor: _Held, keys: list[str], live: bool, used: str) -> DataFrame:
-    fields = [field for field in rows.schema if field.name != used]
-    processor.names = [field.name for field in fields]
-    return rows.groupBy(*keys).transformWithState(
-        statefulProcessor=processor,
-        outputStructType=T.StructType([T.StructField(f.name, f.dataType) for f in fields]),
-        outputMode="Append",
-        timeMode="ProcessingTime" if live else "None",
-    )
+    def settled(self, rows, ids, held, clock):
+        rows, places = with_members(rows, ids, held)
+        cut, alone, changes = Cut(), [], {}
+        names = ("timestamp", "epoch", "_control", "_whole", "_set_size", "_set_interval")
+        times, epochs, controls, wholes, sizes, intervals = (rows[name].to_pylist() for name in names)
+        for id_, (start, fresh, end) in places.items():
+            epoch, due, last, interval, _, _ = held.get(id_, (None,) * 6)
+            members = list(range(start, fresh))
+            for i in range(fresh, end):
+                if epochs[i] != epoch:
+                    if members:
+                        cut.close(members, last, epoch)
+                        members = []
+                    epoch, due = epochs[i], None
+                if controls[i]:
+                    continue
+                size, interval, time = sizes[i], intervals[i], times[i]
+                if size is None or not wholes[i]:
+                    alone.append(i)
+                    continue
+                due = time + interval if due is None else due
+                if time >= due:
+                    if members:
+                        cut.close(members, due, epoch)
+                        members = []
+                    due += interval * ((time - due) // interval + 1)
+                members.append(i)
+                last = time
+                if len(members) >= size:
+                    cut.close(members, time, epoch)
+                    members, due = [], time + interval
+            timer = clock + interval if self.live and members else None
+            left = rows.take(pa.array(members, pa.int64())).select(MEMBER_NAMES).to_pylist() if members else []
+            changes[id_] = (epoch, due, last, interval, timer, left)
+        names = [*COLUMNS, "epoch"]
+        return pa.concat_tables([cut.envelopes(rows, names), rows.take(pa.array(alone, pa.int64())).select(names)]), changes
+
+    def handed(self, rows):
+        return envelope_table(rows, [*COLUMNS, "epoch"])
+
+    def expired(self, id_, values):
+        epoch, due, last, interval, _, members = values
+        closing = [(*batch_of(id_, members, due), epoch)] if members else []
+        return closing, (epoch, due + interval if members else due, last, interval, None, [])
 
 
 def run_stream_specs(events: DataFrame, specs: DataFrame, live: bool = False, keep_dropped: bool = False) -> DataFrame:
@@ -266,9 +232,7 @@ def run_stream_specs(events: DataFrame, specs: DataFrame, live: bool = False, ke
         F.lit(True).alias("_control"),
     )
     both = events.select(COLUMNS).withColumn("_control", F.lit(False)).unionByName(controls)
-    assigned = both.groupBy("stream_id").transformWithState(
-        statefulProcessor=_Assign(), outputStructType=_ASSIGNED, outputMode="Append", timeMode="None"
-    )
+    assigned = stateful_stage(both, stream, _Assign(), ASSIGNED)
     return _conditioned(assigned.withColumn("_set", F.from_json("_set", SETTINGS)), live, keep_dropped)
 
 
@@ -290,16 +254,11 @@ def _conditioned(rows: DataFrame, live: bool, keep_dropped: bool, ttl: bool = Tr
         rows = rows.filter(accepted)
     rows = with_prepared(rows)
     if ttl:
-        key = F.when(control, F.lit("")).otherwise(F.hex("_key"))
-        rows = _stage(rows.withColumn("_key", key), _Dedup([], live), ["stream_id", "_key"], live, "_key")
+        # A marker meets no payload; it goes with its stream.
+        id_ = F.when(control, F.unhex(F.sha2(F.coalesce("stream_id", F.lit("")), 256))).otherwise(payload_id())
+        rows = stateful_stage(rows, id_, _Dedup(live), [field for field in rows.schema if field.name != "_key"], "_key")
     if delta:
-        rows = _stage(rows, _Threshold([], False), ["stream_id"], False, "_number")
+        rows = stateful_stage(rows, F.col("stream_id"), _Threshold(), [field for field in rows.schema if field.name != "_number"])
     if keep_dropped:
         return rows.filter(~F.col("_control")).select(*COLUMNS, "epoch", "ingested_bytes", "dropped_by")
-    fields = [*ENVELOPE.fields, T.StructField("epoch", T.IntegerType())]
-    return rows.groupBy("stream_id").transformWithState(
-        statefulProcessor=_Batch(live),
-        outputStructType=T.StructType([T.StructField(f.name, f.dataType) for f in fields]),
-        outputMode="Append",
-        timeMode="ProcessingTime" if live else "None",
-    )
+    return stateful_stage(rows, F.col("stream_id"), _Batch(live), WITH_EPOCH)

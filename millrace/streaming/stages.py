@@ -16,148 +16,183 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.envelope import COLUMNS, ENVELOPE
 from millrace.functions import json_text as J
 from millrace.operators.stateful import payload_key
+from millrace.streaming.packets import Packets, last_of, opened, stateful_stage
 
 #: How long, by the clock, a payload is remembered beyond its time-to-live.
 GRACE_MS = 24 * 3_600_000
 
 
-def _in_order(rows: Iterator[Row]) -> list[Row]:
-    return sorted(rows, key=lambda row: (row.timestamp, row.seq))
+def payload_id(stream: str = "stream_id", key: str = "_key") -> Column:
+    """Identity of a payload in its stream, a 256-bit digest."""
+    own = F.when(F.col(stream).isNull(), F.lit("")).otherwise(F.concat(F.lit("s"), F.col(stream)))
+    return F.unhex(F.sha2(F.concat(F.hex(key), own), 256))
 
 
-def _only(row: Row, names: list[str]) -> Row:
-    return Row(**{name: row[name] for name in names})
-
-
-class _Dedup(StatefulProcessor):
+class _Dedup(Packets):
     """Holds the time at which a payload was last kept."""
 
-    def __init__(self, ttl: int, names: list[str], live: bool):
-        self.ttl, self.names, self.live = ttl, names, live
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.kept = handle.getValueState("kept", "kept bigint, timer bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.kept.get()
-        before = last = held[0] if held else None
-        for row in _in_order(rows):
-            if last is None or row.timestamp - last > self.ttl:
-                last = row.timestamp
-                yield _only(row, self.names)
-        if last != before:
-            timer = None
-            if self.live:
-                if held and held[1] is not None:
-                    self.handle.deleteTimer(held[1])
-                timer = timerValues.getCurrentProcessingTimeInMs() + self.ttl + GRACE_MS
-                self.handle.registerTimer(timer)
-            self.kept.update((last, timer))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.kept.clear()
-        return iter(())
-
-
-class _Threshold(StatefulProcessor):
-    """Holds the number that was last let through."""
+    name = "kept"
+    fields = pa.schema([("kept", pa.int64()), ("timer", pa.int64())])
 
-    def __init__(self, delta: float, names: list[str]):
-        self.delta, self.names = delta, names
+    def __init__(self, ttl: int, live: bool):
+        self.ttl, self.live = ttl, live
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.passed = handle.getValueState("passed", "passed double")
+    def settled(self, rows, ids, held, clock):
+        passed, changes, before = [], {}, object()
+        timer = clock + self.ttl + GRACE_MS if self.live else None
+        last = None
+        for id_, time in zip(ids, rows["timestamp"].to_pylist()):
+            if id_ != before:
+                before, last = id_, held[id_][0] if id_ in held else None
+            kept = last is None or time - last > self.ttl
+            if kept:
+                last = time
+                changes[id_] = (time, timer)
+            passed.append(kept)
+        return rows.filter(pa.array(passed, pa.bool_())), changes
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.passed.get()
-        last = held[0] if held else None
-        moved = False
-        for row in _in_order(rows):
-            value = row["_number"]
-            if value is not None:
-                if last is not None and not abs(value - last) >= self.delta:
-                    continue
-                last, moved = value, True
-            yield _only(row, self.names)
-        if moved:
-            self.passed.update((last,))
 
+class _Threshold(Packets):
+    """Holds the number that was last let through."""
 
-class _Batch(StatefulProcessor):
+    name = "passed"
+    fields = pa.schema([("passed", pa.float64())])
+
+    def __init__(self, delta: float):
+        self.delta = delta
+
+    def settled(self, rows, ids, held, clock):
+        passed, changes, before = [], {}, object()
+        last = None
+        for id_, value in zip(ids, rows["_number"].to_pylist()):
+            if id_ != before:
+                before, last = id_, held[id_][0] if id_ in held else None
+            kept = value is None or last is None or abs(value - last) >= self.delta
+            if kept and value is not None:
+                last = value
+                changes[id_] = (value,)
+            passed.append(kept)
+        return rows.drop_columns(["_number"]).filter(pa.array(passed, pa.bool_())), changes
+
+
+MEMBER = pa.struct([("topic", pa.string()), ("source", pa.string()), ("type", pa.string()), ("payload", pa.string()), ("seq", pa.int64())])
+
+
+def batch_of(stream: str | None, members: list[dict], time: int) -> tuple:
+    """The envelope of a batch."""
+    first = members[0]
+    payload = "[" + ",".join("null" if m["payload"] is None else m["payload"] for m in members) + "]"
+    return stream, members[-1]["topic"], first["source"], first["type"] + "_batch", time, payload, first["seq"]
+
+
+def envelope_table(rows: list[tuple], names: list[str]) -> pa.Table:
+    columns = zip(*rows) if rows else ([] for _ in names)
+    types = {"timestamp": pa.int64(), "seq": pa.int64(), "epoch": pa.int32()}
+    return pa.table({name: pa.array(list(column), types.get(name, pa.string())) for name, column in zip(names, columns)})
+
+
+MEMBER_NAMES = [field.name for field in MEMBER]
+
+
+def with_members(rows: pa.Table, ids: list, held: dict) -> tuple[pa.Table, dict]:
+    """``rows`` with the open members of each id ahead of its own, and by id where those, its rows and what follows begin."""
+    parts, places, at = [], {}, 0
+    edges = [i for i in range(len(ids)) if not i or ids[i] != ids[i - 1]]
+    for start, end in zip(edges, [*edges[1:], len(ids)]):
+        id_ = ids[start]
+        members = [member | {"stream_id": id_} for member in held[id_][-1]] if id_ in held else []
+        places[id_] = (at, at + len(members), at + len(members) + end - start)
+        at = places[id_][2]
+        parts.append((start, end, members))
+    carried = [member for _, _, members in parts for member in members]
+    if not carried:
+        return rows, places
+    order, ahead = [], rows.num_rows
+    for start, end, members in parts:
+        order += range(ahead, ahead + len(members))
+        order += range(start, end)
+        ahead += len(members)
+    older = pa.table({field.name: pa.array([member.get(field.name) for member in carried], field.type) for field in rows.schema})
+    return pa.concat_tables([rows, older.cast(rows.schema)]).take(pa.array(order)), places
+
+
+class Cut:
+    """Batches as numbers of rows, and the envelopes they make."""
+
+    def __init__(self):
+        self.members, self.edges, self.times, self.epochs = [], [0], [], []
+
+    def close(self, members, time: int, epoch: int | None = None) -> None:
+        self.members += members
+        self.epochs.append(epoch)
+        self.edges.append(len(self.members))
+        self.times.append(time)
+
+    def envelopes(self, rows: pa.Table, names: list[str]) -> pa.Table:
+        members, edges = rows.take(pa.array(self.members, pa.int64())), np.array(self.edges)
+        first, last = members.take(edges[:-1]), members.take(edges[1:] - 1)
+        texts = pc.fill_null(members["payload"], "null").combine_chunks()
+        # A list of texts per batch, joined in one go.
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), texts), ",")
+        made = {
+            "type": pc.binary_join_element_wise(first["type"], "_batch", ""),
+            "topic": last["topic"],
+            "timestamp": pa.array(self.times, pa.int64()),
+            "epoch": pa.array(self.epochs, pa.int32()),
+            "payload": pc.binary_join_element_wise("[", joined, "]", ""),
+        }
+        return pa.table({name: made.get(name, first[name]) for name in names})
+
+
+class _Batch(Packets):
     """Holds the open tick and the members of the open batch."""
 
+    name = "open"
+    fields = pa.schema([("due", pa.int64()), ("timer", pa.int64()), ("open", pa.list_(MEMBER))])
+
     def __init__(self, size: int, interval: int, live: bool):
         self.size, self.interval, self.live = size, interval, live
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.due = handle.getValueState("due", "due bigint, timer bigint")
-        self.open = handle.getListState(
-            "open", "topic string, source string, type string, payload string, seq bigint"
-        )
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.due.get()
-        due = held[0] if held else None
-        members = [Row(*member) for member in self.open.get()]
-        for row in _in_order(rows):
-            time = row.timestamp
-            if not row["_whole"]:
-                yield _only(row, COLUMNS)
-                continue
-            due = time + self.interval if due is None else due
-            if time >= due:
-                if members:
-                    yield self._closed(key, members, due)
-                due += self.interval * ((time - due) // self.interval + 1)
-            members.append((row.topic, row.source, row.type, row.payload, row.seq))
-            if len(members) == self.size:
-                yield self._closed(key, members, time)
-                due = time + self.interval
-        if due is None:
-            return
-        timer = held[1] if held else None
-        if self.live:
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-            timer = timerValues.getCurrentProcessingTimeInMs() + self.interval if members else None
-            if timer is not None:
-                self.handle.registerTimer(timer)
-        self.due.update((due, timer))
-        if members:
-            self.open.put(members)
-        else:
-            self.open.clear()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        members = [tuple(member) for member in self.open.get()]
-        due = self.due.get()
-        if members and due:
-            yield self._closed(key, members, due[0])
-            self.due.update((due[0] + self.interval, None))
-            self.open.clear()
-
-    def _closed(self, key, members: list[tuple], time: int) -> Row:
-        _, source, type_, _, seq = members[0]
-        payload = "[" + ",".join("null" if text is None else text for _, _, _, text, _ in members) + "]"
-        topic = members[-1][0]
-        members.clear()
-        line = (key[0], topic, source, type_ + "_batch", time, payload, seq)
-        return Row(**dict(zip(COLUMNS, line)))
-
-
-def _time_mode(live: bool) -> str:
-    """Timers keep a query going for ever, so a replay must have none."""
-    return "ProcessingTime" if live else "None"
+    def settled(self, rows, ids, held, clock):
+        whole = rows["_whole"]
+        bare, rows = rows.filter(pc.invert(whole)).select(COLUMNS), rows.filter(whole)
+        rows, places = with_members(rows, [id_ for id_, fits in zip(ids, whole.to_pylist()) if fits], held)
+        cut, changes = Cut(), {}
+        size, interval = self.size, self.interval
+        times = rows["timestamp"].to_pylist()
+        for id_, (start, fresh, end) in places.items():
+            due = held[id_][0] if id_ in held else times[fresh] + interval
+            for i in range(fresh, end):
+                time = times[i]
+                if time >= due:
+                    if i > start:
+                        cut.close(range(start, i), due)
+                        start = i
+                    due += interval * ((time - due) // interval + 1)
+                if i + 1 - start == size:
+                    cut.close(range(start, i + 1), time)
+                    start, due = i + 1, time + interval
+            timer = clock + interval if self.live and start < end else None
+            changes[id_] = (due, timer, rows.slice(start, end - start).select(MEMBER_NAMES).to_pylist())
+        return pa.concat_tables([cut.envelopes(rows, COLUMNS), bare]), changes
+
+    def handed(self, rows):
+        return envelope_table(rows, COLUMNS)
+
+    def expired(self, id_, values):
+        due, _, members = values
+        closing = [batch_of(id_, members, due)] if members else []
+        return closing, (due + self.interval if members else due, None, [])
 
 
 def dedup(df: DataFrame, ttl_ms: int, live: bool = False) -> DataFrame:
@@ -165,14 +200,8 @@ def dedup(df: DataFrame, ttl_ms: int, live: bool = False) -> DataFrame:
     if ttl_ms < 0:
         return df
     keyed = df if "_key" in df.columns else df.withColumn("_key", payload_key(F.col("payload")))
-    keyed = keyed.withColumn("_key", F.hex("_key"))
     fields = [field for field in df.schema if field.name != "_key"]
-    return keyed.groupBy("stream_id", "_key").transformWithState(
-        statefulProcessor=_Dedup(ttl_ms, [field.name for field in fields], live),
-        outputStructType=T.StructType([T.StructField(f.name, f.dataType) for f in fields]),
-        outputMode="Append",
-        timeMode=_time_mode(live),
-    )
+    return stateful_stage(keyed, payload_id(), _Dedup(ttl_ms, live), fields, "_key")
 
 
 def threshold(df: DataFrame, path: str, delta: float) -> DataFrame:
@@ -181,13 +210,8 @@ def threshold(df: DataFrame, path: str, delta: float) -> DataFrame:
     if "_number" not in df.columns:
         valued = J.with_document(df).withColumn("_found", J.extract(F.col("_doc"), path))
         valued = valued.withColumn("_number", J.number(F.col("_found"))).drop("_doc", "_found")
-    fields = [field for field in df.schema if field.name != "_number"]
-    return valued.groupBy("stream_id").transformWithState(
-        statefulProcessor=_Threshold(float(delta), [field.name for field in fields]),
-        outputStructType=T.StructType([T.StructField(f.name, f.dataType) for f in fields]),
-        outputMode="Append",
-        timeMode="None",
-    )
+    fields = [field for field in valued.schema if field.name != "_number"]
+    return stateful_stage(valued, F.col("stream_id"), _Threshold(float(delta)), fields)
 
 
 def batch(df: DataFrame, max_size: int, interval_ms: int, live: bool = False) -> DataFrame:
@@ -202,12 +226,7 @@ def batch(df: DataFrame, max_size: int, interval_ms: int, live: bool = False) ->
     if "_whole" not in df.columns:
         whole = F.col("payload").isNull() | J.is_json(F.col("_doc"))
         checked = J.with_document(df).withColumn("_whole", whole).drop("_doc")
-    return checked.groupBy("stream_id").transformWithState(
-        statefulProcessor=_Batch(max_size, interval_ms, live),
-        outputStructType=T.StructType([T.StructField(f.name, f.dataType) for f in ENVELOPE]),
-        outputMode="Append",
-        timeMode=_time_mode(live),
-    )
+    return stateful_stage(checked, F.col("stream_id"), _Batch(max_size, interval_ms, live), ENVELOPE.fields)
 
 
 def open_batches(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -219,22 +238,18 @@ def open_batches(spark: SparkSession, checkpoint: str) -> DataFrame:
     number = operators.select("operatorId").first()
     if number is None:
         return spark.createDataFrame([], ENVELOPE)
-    state = spark.read.format("statestore").option("operatorId", number[0])
-    members = state.option("stateVarName", "open").option("flattenCollectionTypes", "false").load(checkpoint)
-    due = spark.read.format("statestore").option("operatorId", number[0]).option("stateVarName", "due").load(checkpoint)
-    epoch = ["epoch"] if "epoch" in due.schema["value"].dataType.fieldNames() else []
-    held = [F.col(f"value.{name}").alias(name) for name in ["due", *epoch]]
-    rows = members.select(F.col("key").getField("stream_id").alias("stream_id"), F.col("list_value").alias("m")).join(
-        due.select(F.col("key").getField("stream_id").alias("stream_id"), *held), "stream_id"
-    )
-    texts = F.transform("m", lambda member: F.coalesce(member["payload"], F.lit("null")))
-    return rows.filter(F.size("m") > 0).select(
-        "stream_id",
-        F.element_at("m", -1)["topic"].alias("topic"),
-        F.element_at("m", 1)["source"].alias("source"),
-        F.concat(F.element_at("m", 1)["type"], F.lit("_batch")).alias("type"),
-        F.col("due").alias("timestamp"),
-        F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias("payload"),
-        F.element_at("m", 1)["seq"].alias("seq"),
-        *epoch,
-    )
+    state = spark.read.format("statestore").option("operatorId", number[0]).option("stateVarName", "open")
+    packets = state.option("flattenCollectionTypes", "false").load(checkpoint).select(F.col("list_value.packet").alias("packets"))
+    held = packets.limit(1).select(F.element_at("packets", 1)).first()
+    epoch = [T.StructField("epoch", T.IntegerType())] if held and "epoch" in opened(held[0]).column_names else []
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in ENVELOPE), *epoch])
+    names = schema.fieldNames()
+
+    def left_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket in batch.column(0).to_pylist():
+                states = last_of([opened(packet) for packet in bucket]).to_pylist()
+                ends = [state | dict(zip(COLUMNS, batch_of(state["_id"], state["open"], state["due"]))) for state in states if state["open"]]
+                yield from envelope_table([tuple(end[name] for name in names) for end in ends], names).to_batches()
+
+    return packets.mapInArrow(left_open, schema)
