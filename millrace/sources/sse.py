@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from millrace.envelope import envelopes
 from millrace.functions import json_text as J
 from millrace.operators.slices import plan_slices, with_slices
+from millrace.session import checkpointed
 
 # What a line and an event without a name look like.
 DEFAULT_TYPE = "sse_message"
@@ -30,10 +31,11 @@ def sse_events(lines: DataFrame, slice_rows: int = SLICE) -> DataFrame:
 
     An event takes the sequence number and time of the blank line that ends it.
     """
-    told = told_lines(_sliced(lines, slice_rows))
-    counted = running_total(told, CONNECTION, "_slice", "seq", "_blank", "_block")
+    told = told_lines(_sliced(lines, slice_rows)).drop("line")
+    pieces = running_total(_pieces(told), CONNECTION, "_slice", "_from", "_blank", "_block", told)
     # What follows the last blank line is no block yet.
-    blocks = _blocks(counted.filter("_block < _total"))
+    # Blocks are looked at twice for their names; their lines must not be shuffled again for that.
+    blocks = checkpointed(_blocks(pieces.filter("_block < _total")))
     return as_envelopes(_with_pending_name(blocks, slice_rows).filter("_text is not null"))
 
 
@@ -74,17 +76,17 @@ def _trimmed(text: Column) -> Column:
 
 
 def running_total(
-    df: DataFrame, keys: list[str], slice_: str, order: str, value: str, output: str
+    df: DataFrame, keys: list[str], slice_: str, order: str, value: str, output: str, counted: DataFrame | None = None
 ) -> DataFrame:
     """Add the sum of ``value`` over all rows of ``keys`` before this one, and ``_total``, that over all.
 
     The sum runs inside each slice and starts from the total of the slices
-    before, which is computed on one row per slice.
+    before, which is computed on one row per slice, of ``counted`` if that gives the same sums for less.
     """
     group = [*keys, slice_]
     before = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     ahead = Window.partitionBy(*keys).orderBy(slice_).rowsBetween(Window.unboundedPreceding, -1)
-    totals = df.groupBy(*group).agg(F.sum(value).alias("_sum"))
+    totals = (df if counted is None else counted).groupBy(*group).agg(F.sum(value).alias("_sum"))
     totals = totals.select(
         *group,
         F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_ahead"),
@@ -95,23 +97,42 @@ def running_total(
     return joined.withColumn(output, F.col(output) + F.col("_ahead")).drop("_ahead")
 
 
-def _blocks(lines: DataFrame) -> DataFrame:
+def _pieces(lines: DataFrame) -> DataFrame:
+    """What each slice holds of a block, put together where the slice is, so that lines are shuffled only once."""
+    group = [*CONNECTION, "_slice"]
+    before = Window.partitionBy(*group).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    closing = F.col("_blank") == 1
+    # Only the line that ends a block carries its time and topic along.
+    narrow = lines.withColumns({name: F.when(closing, F.col(name)) for name in ("recv_ms", "topic")})
+    inside = narrow.withColumn("_inside", F.coalesce(F.sum("_blank").over(before), F.lit(0)))
+    ordered = F.sort_array(F.collect_list(F.when(F.col("_data").isNotNull(), F.struct("seq", "_data"))))
+    return inside.groupBy(*group, "_inside").agg(
+        F.min("seq").alias("_from"),
+        F.sum("_blank").alias("_blank"),
+        F.when(F.count("_data") > 0, _joined(ordered, "_data")).alias("_part"),
+        F.max(F.when(F.col("_name").isNotNull(), F.struct("seq", "_name"))).alias("_named"),
+        F.max(F.when(closing, F.col("seq"))).alias("seq"),
+        F.max("recv_ms").alias("recv_ms"),
+        F.max("topic").alias("topic"),
+    )
+
+
+def _joined(entries: Column, name: str) -> Column:
+    return F.array_join(F.transform(entries, lambda entry: entry[name]), "\n")
+
+
+def _blocks(pieces: DataFrame) -> DataFrame:
     """Finished blocks that hold data or a name.
 
     Empty data lines at the start add nothing, so they are cut off again.
     """
-    ordered = F.sort_array(
-        F.collect_list(F.when(F.col("_data").isNotNull(), F.struct("seq", "_data")))
-    )
-    joined = F.array_join(F.transform(ordered, lambda entry: entry["_data"]), "\n")
-    text = F.regexp_replace(joined, r"\A\n+", "")
-    closing = F.col("_blank") == 1
-    blocks = lines.groupBy(*CONNECTION, "_block").agg(
-        text.alias("_text"),
-        F.max_by("_name", F.when(F.col("_name").isNotNull(), F.col("seq"))).alias("_name"),
-        F.max(F.when(closing, F.col("seq"))).alias("seq"),
-        F.max(F.when(closing, F.col("recv_ms"))).alias("recv_ms"),
-        F.max(F.when(closing, F.col("topic"))).alias("topic"),
+    ordered = F.sort_array(F.collect_list(F.when(F.col("_part").isNotNull(), F.struct("_from", "_part"))))
+    blocks = pieces.groupBy(*CONNECTION, "_block").agg(
+        F.regexp_replace(_joined(ordered, "_part"), r"\A\n+", "").alias("_text"),
+        F.max("_named")["_name"].alias("_name"),
+        F.max("seq").alias("seq"),
+        F.max("recv_ms").alias("recv_ms"),
+        F.max("topic").alias("topic"),
     )
     blocks = blocks.withColumn("_text", F.when(F.col("_text") != "", F.col("_text")))
     return blocks.filter("seq is not null and (_text is not null or _name is not null)")

@@ -197,3 +197,13 @@ def test_sse_equals_fold(spark, slice_rows):
         (t, json.loads(p)["data"] if p.startswith("{") else p) for t, p in sse(spark, lines, slice_rows)
     ]
     assert got == want
+
+
+def test_lines_are_shuffled_once(spark):
+    """Blocks are put together where their slices are, and what they become reads no line again."""
+    schema = "stream_id string, topic string, conn_id string, seq long, recv_ms long, line string"
+    rows = [("s", "t", "c", i, i, "" if i % 5 == 4 else f"data: {i}") for i in range(60)]
+    events = sse_events(spark.createDataFrame(rows, schema), slice_rows=7)
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    assert "_data" not in plan and events.count() == 12
+    assert sorted(row.seq for row in events.collect()) == list(range(4, 60, 5))
