@@ -30,22 +30,26 @@ def websocket_events(frames: DataFrame) -> DataFrame:
     return envelopes(frames, F.lit(WEBSOCKET_TYPE), F.col("frame"))
 
 
-def json_or_string(df: DataFrame, text: str, output: str) -> DataFrame:
+def json_or_string(df: DataFrame, text: str, output: str, depth: int | None = None) -> DataFrame:
     """Add ``output``: ``text`` itself where it is JSON, else as a JSON string.
 
-    A text that the parser cannot judge stays as it is, for the sink to set aside.
+    A text that the parser cannot judge stays as it is, for the sink to set aside. With ``depth`` there
+    is no such text: each is judged, and those of up to ``depth`` levels count as JSON.
     """
+    if depth is not None:
+        told = J.with_verdict(df, text, "_judged", depth)
+        return told.withColumn(output, F.when(F.col("_judged"), F.col(text)).otherwise(J.as_json_string(F.col(text)))).drop("_judged")
     parsed = J.with_document(df, text, "_parsed")
     as_it_stands = J.is_json(F.col("_parsed")) | J.unjudged(F.col("_parsed"), text)
     value = F.when(as_it_stands, F.col(text)).otherwise(J.as_json_string(F.col(text)))
     return parsed.withColumn(output, value).drop("_parsed")
 
 
-def rest_events(responses: DataFrame) -> DataFrame:
-    """One event per successful, non-empty response; arrays stay whole."""
+def rest_events(responses: DataFrame, depth: int | None = None) -> DataFrame:
+    """One event per successful, non-empty response; arrays stay whole. ``depth`` as in ``json_or_string``."""
     answered = F.col("status").between(200, 299) & (F.octet_length("body") > 0)
     return envelopes(
-        json_or_string(responses.filter(answered), "body", "payload"), F.lit(REST_TYPE), F.col("payload")
+        json_or_string(responses.filter(answered), "body", "payload", depth), F.lit(REST_TYPE), F.col("payload")
     )
 
 

@@ -207,3 +207,20 @@ def test_lines_are_shuffled_once(spark):
     plan = events._jdf.queryExecution().optimizedPlan().toString()
     assert "_data" not in plan and events.count() == 12
     assert sorted(row.seq for row in events.collect()) == list(range(4, 60, 5))
+
+
+def test_judged_down_to_a_depth(spark):
+    """With a depth no text is set aside: JSON stays as it is, however long its numbers, all else is wrapped."""
+    texts = {
+        nested(1000): True, nested(1100, 1099): False, nested(1100, 1101): False, nested(10_000): True, nested(10_001): False,
+        '{"a":' * 1100 + '"]\\""' + "}" * 1100: True, '{"a":' * 1100 + '"\\q"' + "}" * 1100: False,
+        '{"a" : [ 1,' * 600 + "null" + "] }" * 600: True, '{"a" : [ 1,' * 600 + "nul" + "] }" * 600: False,
+        "7" * 1500: True, "0" + "7" * 1500: False, "-1." + "7" * 1500 + "e-5": True, "1." + "7" * 1500 + ".5": False,
+        '{"a":1}': True, " [1, 2]\r\n": True, '{"a":1,"a":2}': True, '{"a":1} x': False, "1 // c": False, "1,2": False, "1] x": False,
+        "01": False, "NaN": False, "[NaN]": False, "['a']": False, '{"a":1}}': False, "[1": False, "[1,]": False, '"\t"': False,
+        '1,"x":2': False, '1},"x":{"y":2': False, '1],"x":[2': False, '1}},"h":1}': False, '1,"h":5}': False, '"x': False,
+        '"x\\': False, "1}": False, '{"a":1},{"b":2}': False, '{},"b":[{}': False, "true": True, "truefalse": False, "-": False,
+    }
+    events = rest_events(capture(spark, "status int, body string", [(200, text) for text in texts]), 10_000)
+    got = [payload for _, _, payload in told(events)]
+    assert got == [text if whole else json.dumps(text) for text, whole in texts.items()]
