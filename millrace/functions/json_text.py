@@ -28,8 +28,11 @@ FIELDS = "map<string,variant>"
 ANY_START = r"\A[ \t\r\n]*[\[{\"0-9tfn-]"
 OBJECT_START = r"\A[ \t\r\n]*\{"
 
-# How they begin and end, and the levels that count as JSON.
-SHAPE = r'(?s)\A[ \t\r\n]*+(?:\{.*\}|\[.*\]|".*"|-?[0-9][-+.0-9eE]*+|true|false|null)[ \t\r\n]*+\z'
+# The texts of single values, how all others begin and end, and the levels that count as JSON.
+SINGLE = (
+    r'\A[ \t\r\n]*+(?:"[^"\\\x00-\x1f]*+"|-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?[0-9]++)?+|true|false|null)[ \t\r\n]*+\z'
+)
+SHAPE = r'(?s)\A[ \t\r\n]*+(?:\{.*\}|\[.*\]|".*\\.*")[ \t\r\n]*+\z'
 MAX_DEPTH = 10_000
 
 # The number spellings a numeric string may have.
@@ -70,7 +73,8 @@ def with_verdict(df: DataFrame, text: str = "payload", verdict: str = "_whole",
     Spark's reader is asked for the last member of an object and passes over the text in front of it, which is
     cheap, and cheaper still where the text is none. A second value after the first can only go unseen as a
     member of its own, with a comma and a colon; a text that has both is also read as an array's
-    element, where no member can stand. The text's own hash tells that the end was reached.
+    element, where no member can stand. The text's own hash tells that the end was reached. Single
+    values are told by their spelling, without a reader.
     """
     source = F.col(text)
     echo = F.xxhash64(source)
@@ -79,7 +83,7 @@ def with_verdict(df: DataFrame, text: str = "payload", verdict: str = "_whole",
     # The text stands two levels deep.
     limits = {"maxNestingDepth": str(depth + 2), "maxNumLen": _UNBOUNDED, "maxStringLen": _UNBOUNDED}
     found = F.from_json(asked, "h bigint", limits | {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"})["h"]
-    whole = F.when(source.rlike(SHAPE), F.coalesce(found == echo, F.lit(False))).otherwise(F.lit(False))
+    whole = F.when(source.rlike(SINGLE), True).when(source.rlike(SHAPE), F.coalesce(found == echo, F.lit(False))).otherwise(F.lit(False))
     return df.select(*df.columns, F.explode(F.array(whole)).alias(verdict))
 
 
@@ -203,7 +207,9 @@ def number(value: Column) -> Column:
 
 def as_json_string(text: Column) -> Column:
     """``text`` as a JSON string."""
-    return F.to_json(text.cast("variant"))
+    inside = as_data_object(text)
+    # Behind ``{"data":``, without the closing brace.
+    return F.when(text.isNotNull(), F.substr(inside, F.lit(9), F.length(inside) - 9))
 
 
 def as_data_object(text: Column) -> Column:

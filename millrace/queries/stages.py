@@ -461,8 +461,8 @@ SPELLINGS_SQL = """spelled as (
     from spelled"""
 )
 def json_check_and_wrap(spark, sf_dir):
-    df = J.with_document(_spellings(table(spark, sf_dir, "events")), "text")
-    valid = J.is_json(F.col("_doc"))
+    df = J.with_verdict(_spellings(table(spark, sf_dir, "events")), "text")
+    valid = F.col("_whole")
     return df.select(
         "event_id",
         "spelling",

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.functions import json_text as J
 from millrace.sources.captures import (
     grpc_events,
     grpc_processed,
@@ -224,3 +225,16 @@ def test_judged_down_to_a_depth(spark):
     events = rest_events(capture(spark, "status int, body string", [(200, text) for text in texts]), 10_000)
     got = [payload for _, _, payload in told(events)]
     assert got == [text if whole else json.dumps(text) for text, whole in texts.items()]
+
+
+def test_strings_are_quoted_alike(spark):
+    """Single values are told by their spelling, and a wrapped text reads back as itself, control characters and all."""
+    singles = {
+        '"ä \U0001f600"': True, '"a\\u0041"': True, '"\\x"': False, '"a\\': False, '"a"b"': False, '"\\""': True, '"\x01"': False,
+        "-0": True, "0.5e+10": True, "1.": False, ".5": False, "+1": False, "-01": False, "1e": False, "\tnull\n": True, "nul": False,
+    }
+    df = spark.createDataFrame([(text,) for text in [*singles, None, "", "\\", '"', "\x00\x1f\x7f\t\r\n/< "]], "text string")
+    rows = J.with_verdict(df, "text").select("*", J.as_json_string(F.col("text")).alias("as_string")).collect()
+    assert {r.text: r._whole for r in rows if r.text in singles} == singles
+    for r in rows:
+        assert (None if r.as_string is None else json.loads(r.as_string)) == r.text
