@@ -31,6 +31,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -339,6 +340,8 @@ class Join:
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         pairs = saved(pairs)
+        if pairs.isEmpty():
+            return
         one = self.sets.select(F.col("cid").alias("a"), F.col("found").alias("one"))
         two = self.sets.select(F.col("cid").alias("b"), F.col("found").alias("two"))
         percent = self.law.percent
@@ -352,15 +355,17 @@ class Join:
         joined = pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two")
         links = saved(joined.mapInArrow(run, "a long, b long"))
         self.tested = pairs if self.tested is None else self.tested.union(pairs)
+        if links.isEmpty():
+            return
         self.links = links if self.links is None else self.links.union(links)
         self.roots = components(self.links)
 
     def compared(self) -> DataFrame:
         """Rows (block, cid, left, right) of all parts of nodes in which links are possible."""
         level = saved(_sized(self.classes.select("cid", _root_nodes(self.law).alias("node"))))
-        blocks = [self._parts(self._leaves(level))]
+        first, later = self._parts(self._leaves(level)), []
         large = level.filter(F.col("size") > self.leaf).select("node", "cid")
-        wanted = blocks[0].select("cid").union(large.select("cid")).distinct()
+        wanted = first.select("cid").union(large.select("cid")).distinct()
         wanted = wanted.join(self.classes, "cid").select("cid", "set_key", "min_id", "min_key")
         self.sets = saved(_sets(self.docs, wanted).dropDuplicates(["cid"]) if self._repeated() else _sets(self.docs, wanted))
         depth = 0
@@ -372,16 +377,14 @@ class Join:
             rest = main.select("node", "size", F.col("main.comp").alias("main"), (F.col("size") - F.col("main.n")).alias("outside"))
             rows = saved(rows.join(rest.filter("outside > 0"), "node"))
             few = F.lit(True) if depth >= DEEPEST else F.col("outside") <= self.leaf
-            blocks.append(self._parts(self._grid(rows.filter(few))))
+            later.append(self._grid(rows.filter(few)))
             going = self.sketched(rows.filter(~few).select("node", "cid"))
             level = saved(_sized(going.select("cid", _branches(self.law).alias("node"))))
-            blocks.append(self._parts(self._leaves(level)))
+            later.append(self._leaves(level))
             large = level.filter(F.col("size") > self.leaf).select("node", "cid")
             depth += 1
-        out = blocks[0]
-        for block in blocks[1:]:
-            out = out.union(block)
-        return out
+        # Cut into parts once for all depths, with the components as they are by now.
+        return first.union(self._parts(reduce(DataFrame.union, later))) if later else first
 
     def _leaves(self, level: DataFrame) -> DataFrame:
         small = _distinct_nodes(level.filter(F.col("size") <= self.leaf))

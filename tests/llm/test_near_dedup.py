@@ -3,7 +3,8 @@ import re
 
 import pytest
 
-from millrace.llm import near_dedup
+from millrace.llm import components, near_dedup
+from millrace.llm.common import saved
 
 SCHEMA = "doc_id long, text string, kept int, CID long, sketch string"
 
@@ -109,3 +110,15 @@ def test_recall_follows_from_the_threshold():
         assert (law.roots, law.possible) == (roots, possible) and missed**law.roots <= near_dedup.MISSED
     with pytest.raises(ValueError):
         near_dedup.Law(50)
+
+
+def test_few_links_stay_together(spark, monkeypatch):
+    """Components are the same whether links are kept in one partition or dealt out in each step."""
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(70, 60), (60, 65), (90, 90)], "a long, b long").repartition(3)
+    want = {i: 0 for i in range(41)} | {60: 60, 65: 60, 70: 60}
+    for few, parts in ((components.FEW, 1), (0, None)):
+        monkeypatch.setattr(components, "FEW", few)
+        written = []
+        monkeypatch.setattr(components, "saved", lambda df: written.append(df.rdd.getNumPartitions()) or saved(df))
+        assert {r.member: r.root for r in components.components(links).collect()} == want
+        assert parts is None or set(written[1:-1]) == {parts}
