@@ -46,7 +46,9 @@ def captures(topics: DataFrame, patterns: DataFrame) -> DataFrame:
         F.array_join(F.slice("tokens", 1, F.col("depth")), ".").alias("next"),
     )
     edges = checkpointed(edges.distinct())
-    rows = edges.count()
+    # Near the root a few edges and ends meet all topics: what a level holds decides how it is joined.
+    held = {r.depth: r.n for r in edges.groupBy("depth").agg(F.count("*").alias("n")).collect()}
+    ended_at = {r.depth: r.n for r in ends.groupBy("depth").agg(F.count("*").alias("n")).collect()}
     at = topics.select("topic", F.split("topic", r"\.").alias("own"), F.lit("").alias("prefix"))
     matches = []
     for depth in range(size.depth + 1):
@@ -55,12 +57,12 @@ def captures(topics: DataFrame, patterns: DataFrame) -> DataFrame:
         # A rest is one token or more, none of them empty.
         going = (F.size("own") > depth) & ~F.array_contains(left, "")
         here = ends.filter(F.col("depth") == depth).drop("depth")
-        ended = bounded_join(at, here, ["prefix"], size.n, "inner")
+        ended = bounded_join(at, here, ["prefix"], ended_at.get(depth, 0), "inner")
         matches.append(ended.filter(F.when(F.col("rest"), going).otherwise(over)).select("topic", "log", "rank"))
         if depth < size.depth:
             token = F.get("own", F.lit(depth))
             tried = F.when(token == "", F.array(token)).otherwise(F.array_distinct(F.array(token, F.lit("*"))))
             walking = at.filter(F.size("own") > depth).withColumn("token", F.explode(tried))
             level = edges.filter(F.col("depth") == depth + 1).drop("depth")
-            at = bounded_join(walking, level, ["prefix", "token"], rows, "inner").select("topic", "own", F.col("next").alias("prefix"))
+            at = bounded_join(walking, level, ["prefix", "token"], held.get(depth + 1, 0), "inner").select("topic", "own", F.col("next").alias("prefix"))
     return reduce(DataFrame.unionByName, matches)

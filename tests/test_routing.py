@@ -99,3 +99,17 @@ def test_payloads_beside_other_things_are_the_same_json(spark):
     ]
     got = from_json_lines(spark.createDataFrame([(line,) for line, _ in lines], "value string")).collect()
     assert [r.payload and json.loads(r.payload) for r in got] == [want for _, want in lines]
+
+
+def test_levels_near_the_root_are_joined_by_their_own_size(spark, monkeypatch):
+    """All topics pass the root: what meets them there is counted by level, not over all patterns."""
+    from millrace.sinks import subjects
+
+    counted = []
+    join = subjects.bounded_join
+    monkeypatch.setattr(subjects, "bounded_join", lambda df, small, on, rows, how="left": counted.append((on, rows)) or join(df, small, on, rows, how))
+    patterns = spark.createDataFrame([("l", i, f"a.b.u{i}") for i in range(50)], "log string, rank int, pattern string")
+    topics = spark.createDataFrame([("a.b.u7",), ("a.b.x",)], "topic string")
+    assert [(r.topic, r["rank"]) for r in subjects.captures(topics, patterns).collect()] == [("a.b.u7", 7)]
+    ends, steps = ([rows for on, rows in counted if len(on) == n] for n in (1, 2))
+    assert ends == [0, 0, 0, 50] and steps == [1, 1, 50]
