@@ -3,8 +3,9 @@
 The lines of a connection form blocks that end with a blank line. A block with
 data becomes an event; an event name stays pending until one does. Connections
 live long, so one may hold a large share of all lines: everything that runs
-along a connection runs inside slices of about ``SLICE`` counted lines or blocks,
-and only one row per slice is looked at across slices.
+along a connection runs inside slices of about ``SLICE`` counted lines, which
+begin behind blank lines so that blocks stay whole, and only one row per slice is
+looked at across slices. Lines travel in packets (``lines``), shuffled once.
 """
 
 from __future__ import annotations
@@ -14,8 +15,10 @@ from pyspark.sql import functions as F
 
 from millrace.envelope import envelopes
 from millrace.functions import json_text as J
-from millrace.operators.slices import plan_slices, with_slices
+from millrace.operators.slices import MAX_SLICES, sorted_by
 from millrace.session import checkpointed
+from millrace.sources import lines as L
+from millrace.sources.lines import CONNECTION
 
 # What a line and an event without a name look like.
 DEFAULT_TYPE = "sse_message"
@@ -23,7 +26,6 @@ NAME_PREFIX = "event:"
 DATA_PREFIX = "data:"
 
 SLICE = 1_000_000
-CONNECTION = ["stream_id", "conn_id"]
 
 
 def sse_events(lines: DataFrame, slice_rows: int = SLICE) -> DataFrame:
@@ -31,25 +33,24 @@ def sse_events(lines: DataFrame, slice_rows: int = SLICE) -> DataFrame:
 
     An event takes the sequence number and time of the blank line that ends it.
     """
-    told = told_lines(_sliced(lines, slice_rows)).drop("line")
-    pieces = running_total(_pieces(told), CONNECTION, "_slice", "_from", "_blank", "_block", told)
-    # What follows the last blank line is no block yet.
-    # Blocks are looked at twice for their names; their lines must not be shuffled again for that.
-    blocks = checkpointed(_blocks(pieces.filter("_block < _total")))
-    return as_envelopes(_with_pending_name(blocks, slice_rows).filter("_text is not null"))
+    # Packets are looked at for slices first; lines must not be read and told apart again for that.
+    packets = checkpointed(_packets(lines, slice_rows))
+    cuts, named = _cuts(packets, slice_rows)
+    slices = sorted_by(_sliced(packets, cuts), [*CONNECTION, "_slice"], ["_from"])
+    blocks = slices.mapInArrow(L.finished, L.EVENTS)
+    return as_envelopes(_with_pending_name(blocks, slices, cuts) if cuts and named else blocks)
 
 
 def told_lines(lines: DataFrame) -> DataFrame:
     """Add what each line is: ``_blank`` is 1 for a blank one, ``_name`` and ``_data`` are what follows a prefix."""
-    text = F.regexp_replace("line", r"\r\z", "")
+    line = F.col("line")
+    text = F.when(line.endswith("\r"), F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
+    data = F.when(text.startswith(DATA_PREFIX + " "), F.substr(text, F.lit(7))).otherwise(F.substr(text, F.lit(6)))
     return lines.withColumns(
         {
             "_blank": (text == "").cast("long"),
             "_name": F.when(text.startswith(NAME_PREFIX), _trimmed(F.substr(text, F.lit(7)))),
-            "_data": F.when(
-                ~text.startswith(NAME_PREFIX) & text.startswith(DATA_PREFIX),
-                F.regexp_replace(F.substr(text, F.lit(6)), r"\A ", ""),
-            ),
+            "_data": F.when(text.startswith(DATA_PREFIX), data),
         }
     )
 
@@ -63,111 +64,83 @@ def as_envelopes(blocks: DataFrame) -> DataFrame:
     return envelopes(parsed, type_, payload)
 
 
-def _sliced(lines: DataFrame, slice_rows: int) -> DataFrame:
-    """Add ``_slice``: connections of more than ``slice_rows`` lines are cut by their counted lines."""
-    place = lines.select(F.struct(*CONNECTION).alias("stream_id"), F.col("seq").alias("timestamp"))
-    plan = plan_slices(place, slice_rows)
-    named = lines.withColumns({"_stream": F.col("stream_id"), "stream_id": F.struct(*CONNECTION), "timestamp": F.col("seq")})
-    return with_slices(named, plan).withColumn("stream_id", F.col("_stream")).drop("_stream", "timestamp")
+def _packets(lines: DataFrame, slice_rows: int) -> DataFrame:
+    """Lines that say something, packed where they are."""
+    told = told_lines(lines).filter("_blank = 1 or _data is not null or _name is not null")
+    closing = F.col("_blank") == 1
+    # Only the line that ends a block carries its time and topic along.
+    narrow = told.select(
+        *CONNECTION,
+        F.col("seq").cast("long"),
+        F.col("_data").alias("data"),
+        closing.alias("blank"),
+        F.col("_name").alias("name"),
+        F.when(closing, F.col("recv_ms").cast("long")).alias("recv_ms"),
+        F.when(closing, F.col("topic")).alias("topic"),
+    )
+    return narrow.mapInArrow(L.packed(slice_rows), L.PACKETS)
+
+
+def _cuts(packets: DataFrame, slice_rows: int) -> tuple[DataFrame | None, bool]:
+    """Where connections of more than ``slice_rows`` lines are cut, if any are, and whether any line is a name.
+
+    A cut is a blank line that ends a slice. There are ``MAX_SLICES`` of them at most, so they are broadcast.
+    """
+    sizes = packets.groupBy(*CONNECTION).agg(F.sum("_n").alias("_n"), F.max("_named").alias("_named"))
+    total, largest, named = sizes.agg(F.sum("_n"), F.max("_n"), F.max("_named")).first()
+    if not total or largest <= slice_rows:
+        return None, bool(named)
+    rows = max(slice_rows, total // MAX_SLICES)
+    heavy = sizes.filter(F.col("_n") > rows).select(*CONNECTION)
+    marks = packets.select(*CONNECTION, F.inline("_marks")).join(F.broadcast(heavy), CONNECTION)
+    along = Window.partitionBy(*CONNECTION).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    cuts = marks.withColumn("_slice", F.floor(F.sum("n").over(along) / rows)).filter("cut and _slice > 0")
+    cuts = cuts.groupBy(*CONNECTION, "_slice").agg(F.min("at").alias("_at"))
+    return checkpointed(cuts.groupBy(*CONNECTION).agg(F.array_sort(F.collect_list("_at")).alias("_cuts"))), bool(named)
+
+
+def _sliced(packets: DataFrame, cuts: DataFrame | None) -> DataFrame:
+    """Packets of one slice each, with ``_slice``, increasing along a connection."""
+    if cuts is None:
+        return packets.select(*CONNECTION, F.lit(0).cast("long").alias("_slice"), "_from", "_lines", "_texts")
+    joined = packets.join(F.broadcast(cuts), CONNECTION, "left")
+    passed = F.size(F.filter("_cuts", lambda at: at < F.col("_from")))
+    inner = F.filter("_cuts", lambda at: (at >= F.col("_from")) & (at < F.col("_to")))
+    slice_ = F.when(F.col("_cuts").isNull(), 0).otherwise(passed).cast("long")
+    return joined.select(
+        *CONNECTION, slice_.alias("_slice"), "_from", inner.alias("_inner"), "_lines", "_texts"
+    ).mapInArrow(L.cut, L.SLICED)
 
 
 def _trimmed(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
 
 
-def running_total(
-    df: DataFrame, keys: list[str], slice_: str, order: str, value: str, output: str, counted: DataFrame | None = None
-) -> DataFrame:
-    """Add the sum of ``value`` over all rows of ``keys`` before this one, and ``_total``, that over all.
+def running_total(df: DataFrame, keys: list[str], slice_: str, order: str, value: str, output: str) -> DataFrame:
+    """Add the sum of ``value`` over all rows of ``keys`` before this one.
 
     The sum runs inside each slice and starts from the total of the slices
-    before, which is computed on one row per slice, of ``counted`` if that gives the same sums for less.
+    before, which is computed on one row per slice.
     """
     group = [*keys, slice_]
     before = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     ahead = Window.partitionBy(*keys).orderBy(slice_).rowsBetween(Window.unboundedPreceding, -1)
-    totals = (df if counted is None else counted).groupBy(*group).agg(F.sum(value).alias("_sum"))
-    totals = totals.select(
-        *group,
-        F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_ahead"),
-        F.sum("_sum").over(Window.partitionBy(*keys)).alias("_total"),
-    )
+    totals = df.groupBy(*group).agg(F.sum(value).alias("_sum"))
+    totals = totals.select(*group, F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_ahead"))
     inside = df.withColumn(output, F.coalesce(F.sum(value).over(before), F.lit(0)))
     joined = inside.join(totals, group)
     return joined.withColumn(output, F.col(output) + F.col("_ahead")).drop("_ahead")
 
 
-def _pieces(lines: DataFrame) -> DataFrame:
-    """What each slice holds of a block, put together where the slice is, so that lines are shuffled only once."""
-    group = [*CONNECTION, "_slice"]
-    before = Window.partitionBy(*group).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    closing = F.col("_blank") == 1
-    # Only the line that ends a block carries its time and topic along.
-    narrow = lines.withColumns({name: F.when(closing, F.col(name)) for name in ("recv_ms", "topic")})
-    inside = narrow.withColumn("_inside", F.coalesce(F.sum("_blank").over(before), F.lit(0)))
-    ordered = F.sort_array(F.collect_list(F.when(F.col("_data").isNotNull(), F.struct("seq", "_data"))))
-    return inside.groupBy(*group, "_inside").agg(
-        F.min("seq").alias("_from"),
-        F.sum("_blank").alias("_blank"),
-        F.when(F.count("_data") > 0, _joined(ordered, "_data")).alias("_part"),
-        F.max(F.when(F.col("_name").isNotNull(), F.struct("seq", "_name"))).alias("_named"),
-        F.max(F.when(closing, F.col("seq"))).alias("seq"),
-        F.max("recv_ms").alias("recv_ms"),
-        F.max("topic").alias("topic"),
-    )
-
-
-def _joined(entries: Column, name: str) -> Column:
-    return F.array_join(F.transform(entries, lambda entry: entry[name]), "\n")
-
-
-def _blocks(pieces: DataFrame) -> DataFrame:
-    """Finished blocks that hold data or a name.
-
-    Empty data lines at the start add nothing, so they are cut off again.
-    """
-    ordered = F.sort_array(F.collect_list(F.when(F.col("_part").isNotNull(), F.struct("_from", "_part"))))
-    blocks = pieces.groupBy(*CONNECTION, "_block").agg(
-        F.regexp_replace(_joined(ordered, "_part"), r"\A\n+", "").alias("_text"),
-        F.max("_named")["_name"].alias("_name"),
-        F.max("seq").alias("seq"),
-        F.max("recv_ms").alias("recv_ms"),
-        F.max("topic").alias("topic"),
-    )
-    blocks = blocks.withColumn("_text", F.when(F.col("_text") != "", F.col("_text")))
-    return blocks.filter("seq is not null and (_text is not null or _name is not null)")
-
-
-def _with_pending_name(blocks: DataFrame, slice_rows: int) -> DataFrame:
-    """Add ``_type``, the last name since the event before."""
-    group = [*CONNECTION, "_slice"]
-    emits = F.col("_text").isNotNull()
-    inside = Window.partitionBy(*group).orderBy("_block")
-    before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    # Blocks up to and including the next event form one turn.
-    turned = blocks.withColumn("_slice", F.floor(F.col("_block") / slice_rows)).withColumn(
-        "_turn", F.coalesce(F.sum(emits.cast("long")).over(before), F.lit(0))
-    )
-    in_turn = (
-        Window.partitionBy(*group, "_turn").orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    named = turned.withColumn("_type", F.last("_name", ignorenulls=True).over(in_turn))
-    # What a slice leaves pending: the last name after its last event.
-    left = turned.groupBy(*group).agg(
-        F.max(F.when(emits, F.col("_block"))).alias("_last"),
-        F.max_by(
-            F.struct("_block", "_name"), F.when(F.col("_name").isNotNull(), F.col("_block"))
-        ).alias("_named"),
-    )
-    after = F.col("_last").isNull() | (F.col("_named._block") > F.col("_last"))
-    left = left.withColumn("_tail", F.when(after, F.col("_named._name")))
+def _with_pending_name(blocks: DataFrame, slices: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Complete ``_type``, the last name since the event before, by what the slices before have left."""
+    left = slices.mapInArrow(L.left, L.LEFT).join(F.broadcast(cuts), CONNECTION, "left_semi")
     along = Window.partitionBy(*CONNECTION).orderBy("_slice")
-    left = left.withColumn(
-        "_stretch", F.sum(F.col("_last").isNotNull().cast("long")).over(along)
-    )
+    # Slices up to the next with an event form one stretch.
+    left = left.withColumn("_stretch", F.sum(F.col("_seen").cast("long")).over(along))
     stretch = Window.partitionBy(*CONNECTION, "_stretch").orderBy("_slice")
     left = left.withColumn("_pending", F.last("_tail", ignorenulls=True).over(stretch))
-    left = left.select(*group, F.lag("_pending").over(along).alias("_pending"))
-    joined = named.join(left, group)
-    first_turn = F.when(F.col("_turn") == 0, F.col("_pending"))
-    return joined.withColumn("_type", F.coalesce("_type", first_turn))
+    pending = left.select(*CONNECTION, "_slice", F.lag("_pending").over(along).alias("_pending"))
+    pending = pending.filter("_pending is not null")
+    joined = blocks.join(F.broadcast(pending), [*CONNECTION, "_slice"], "left")
+    return joined.withColumn("_type", F.coalesce("_type", F.when(F.col("_first"), F.col("_pending"))))
