@@ -24,7 +24,25 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and continue from the copy."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def checkpointed(df: DataFrame, drop_shuffles: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and continue from the copy.
+
+    With ``drop_shuffles`` the shuffle files that led to it go once it is written, not when the driver collects garbage.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
+    if not drop_shuffles:
+        return df.checkpoint(eager=True)
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        # The option is read when a frame is made.
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)

@@ -34,7 +34,7 @@ def sse_events(lines: DataFrame, slice_rows: int = SLICE) -> DataFrame:
     An event takes the sequence number and time of the blank line that ends it.
     """
     # Packets are looked at for slices first; lines must not be read and told apart again for that.
-    packets = checkpointed(_packets(lines, slice_rows))
+    packets = checkpointed(_packets(lines, slice_rows), drop_shuffles=True)
     cuts, named = _cuts(packets, slice_rows)
     slices = sorted_by(_sliced(packets, cuts), [*CONNECTION, "_slice"], ["_from"])
     blocks = slices.mapInArrow(L.finished, L.EVENTS)
@@ -65,15 +65,15 @@ def as_envelopes(blocks: DataFrame) -> DataFrame:
 
 
 def _packets(lines: DataFrame, slice_rows: int) -> DataFrame:
-    """Lines that say something, packed where they are."""
-    told = told_lines(lines).filter("_blank = 1 or _data is not null or _name is not null")
+    """Lines, packed where they are."""
+    told = told_lines(lines)
     closing = F.col("_blank") == 1
     # Only the line that ends a block carries its time and topic along.
     narrow = told.select(
         *CONNECTION,
         F.col("seq").cast("long"),
         F.col("_data").alias("data"),
-        closing.alias("blank"),
+        F.coalesce(closing, F.lit(False)).alias("blank"),
         F.col("_name").alias("name"),
         F.when(closing, F.col("recv_ms").cast("long")).alias("recv_ms"),
         F.when(closing, F.col("topic")).alias("topic"),

@@ -9,11 +9,12 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.session import DROP_SHUFFLES
 from millrace.sources import lines as L
 from millrace.sources.sse import sse_events
 from test_sources import follow, told
 
-KINDS = ["", "", "data:{n}", "data:", "data:ä{n}", "data:" + "x" * 700, "event:e{n}", "event:"]
+KINDS = ["", "", ": c", "data:{n}", "data:", "data:ä{n}", "data:" + "x" * 700, "event:e{n}", "event:"]
 
 
 def line(seq, text):
@@ -34,8 +35,13 @@ def test_packets_equal_fold(monkeypatch, seed):
     shuffled = rows if seed % 3 == 0 else rng.sample(rows, len(rows))
     arrived = pa.Table.from_arrays([pa.array(column, field.type) for column, field in zip(zip(*shuffled), schema)], schema=schema)
     step = rng.randrange(1, 50)
-    packets = pa.Table.from_batches(L.packed(step)(arrived.to_batches(rng.randrange(1, 40))))
-    assert max(packets["_to"].to_pylist()) == rows[-1][2] and sum(packets["_n"].to_pylist()) >= len(rows)
+    packets = list(L.packed(step)(arrived.to_batches(rng.randrange(1, 40))))
+    packets = pa.Table.from_batches(packets, packets[0].schema if packets else schema)
+    said = [row[2] for row in rows if row[3] is not None or row[4] or row[5] is not None]
+    if not said:
+        assert not packets.num_rows
+        return
+    assert max(packets["_to"].to_pylist()) == said[-1] and sum(packets["_n"].to_pylist()) >= len(said)
     marks = [mark for part in packets["_marks"].to_pylist() for mark in part]
     assert sum(mark["n"] for mark in marks) == sum(packets["_n"].to_pylist())
     blanks = {row[2] for row in rows if row[4]}
@@ -108,3 +114,22 @@ def test_lines_take_little_disk(spark):
     used = sum(size for path, size in written(spark).items() if path not in before)
     assert {row.timestamp: json.loads(row.payload)["data"].split("\n") for row in rows} == dict(enumerate(texts))
     assert used < 1.5 * blocks * each * 6, f"{used / (blocks * each * 6):.2f} bytes a byte of text"
+
+
+def test_texts_are_not_shuffled_while_their_lines_are(spark):
+    """What was shuffled to make the lines is gone once the lines are packed."""
+    word = F.substring(F.md5(F.concat_ws("-", "block", "n").cast("binary")), 1, 5)
+    numbered = spark.range(50, numPartitions=4).select(F.col("id").alias("block"), F.explode(F.sequence(F.lit(1), F.lit(4_000))).alias("n"))
+    blocks = numbered.select("block", F.struct("n", F.concat(F.lit("data: "), word).alias("w")).alias("_w")).repartition(4, "block")
+    lines = blocks.groupBy("block").agg(F.sort_array(F.collect_list("_w"))["w"].alias("_lines")).select(
+        F.col("block").alias("recv_ms"), F.posexplode(F.concat("_lines", F.array(F.lit("")))).alias("n", "line")
+    )
+    lines = lines.select(
+        F.lit("s").alias("stream_id"), F.lit("t").alias("topic"), F.lit("c").alias("conn_id"),
+        (F.col("recv_ms") * 5_000 + F.col("n")).alias("seq"), "recv_ms", "line",
+    )
+    before = written(spark)
+    assert sse_events(lines, 30_000).count() == 50
+    left = {path: size for path, size in written(spark).items() if path not in before}
+    assert sum(left.values()) < 1.5 * 50 * 4_000 * 6
+    assert spark.conf.get(DROP_SHUFFLES) == "false"
