@@ -67,16 +67,15 @@ def as_envelopes(blocks: DataFrame) -> DataFrame:
 def _packets(lines: DataFrame, slice_rows: int) -> DataFrame:
     """Lines, packed where they are."""
     told = told_lines(lines)
-    closing = F.col("_blank") == 1
-    # Only the line that ends a block carries its time and topic along.
+    closing, data, name = F.col("_blank") == 1, F.col("_data"), F.col("_name")
+    kind = F.when(closing, L.BLANK).when(data.isNotNull(), L.DATA).when(name.isNotNull(), L.NAME).otherwise(L.OTHER)
     narrow = told.select(
         *CONNECTION,
         F.col("seq").cast("long"),
-        F.col("_data").alias("data"),
-        F.coalesce(closing, F.lit(False)).alias("blank"),
-        F.col("_name").alias("name"),
+        kind.cast("byte").alias("kind"),
+        # Only the line that ends a block carries its time and topic along.
+        F.when(closing, F.col("topic")).otherwise(F.coalesce(data, name)).alias("text"),
         F.when(closing, F.col("recv_ms").cast("long")).alias("recv_ms"),
-        F.when(closing, F.col("topic")).alias("topic"),
     )
     return narrow.mapInArrow(L.packed(slice_rows), L.PACKETS)
 
